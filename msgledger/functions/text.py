@@ -52,12 +52,20 @@ def header(headers: Column, name: str) -> Column:
 
 def header_map(headers: Column) -> Column:
     """name -> value; of equal names the last one wins."""
-    indexed = F.transform(headers, lambda h, i: F.struct(h["name"].alias("name"), h["value"].alias("value"), i.alias("at")))
-    last = F.filter(
-        indexed,
-        lambda e: ~F.exists(indexed, lambda o: (o["name"] == e["name"]) & (o["at"] > e["at"])),
+    indexed = F.transform(
+        headers,
+        lambda h, i: F.struct(h["name"].alias("name"), h["value"].alias("value"), i.alias("at")),
+    )
+
+    def latest(entries: Column) -> Column:
+        return F.filter(
+            entries,
+            lambda e: ~F.exists(entries, lambda o: (o["name"] == e["name"]) & (o["at"] > e["at"])),
+        )
+
+    return F.map_from_entries(
+        F.transform(let(indexed, latest), lambda e: F.struct(e["name"], e["value"]))
     )
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["name"], e["value"])))
 
 
 def canonical_id(headers: Column, source_id: Column) -> Column:
@@ -217,7 +225,7 @@ _TAG = r"""(?s)<[a-zA-Z/!?](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
 # call decodes one level only.
 _COMMON_ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
 
 # What the plain replacements cannot settle: another named or numeric reference.

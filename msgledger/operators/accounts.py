@@ -1,7 +1,7 @@
 """Account resolution: suffixes, transfers, owners."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from msgledger.functions.clean import digits_only, merchant_name
 from msgledger.operators.joins import lookup
@@ -50,7 +50,7 @@ def ends_with_lookup(rows: DataFrame, accounts: DataFrame, number: str, limits:
     return lookup(keyed, ending_dimension(accounts), ["ending"], "left", limits).drop("ending")
 
 
-def is_transfer() -> F.Column:
+def is_transfer() -> Column:
     return F.lower(F.coalesce("transaction_type", F.lit(""))) == "transfer"
 
 
@@ -150,7 +150,7 @@ def classify_owners(rows: DataFrame, owners: DataFrame, limits: Limits = LIMITS)
     )
 
 
-def duplicate_suffixes(accounts: DataFrame, length: int = 4) -> DataFrame:
+def duplicate_suffixes(accounts: DataFrame, length: int = 4, limits: Limits = LIMITS) -> DataFrame:
     """Accounts whose last digits also belong to a different account, one row each."""
     keyed = (
         accounts.withColumn("number", F.trim("internal_account_number"))
@@ -162,4 +162,4 @@ def duplicate_suffixes(accounts: DataFrame, length: int = 4) -> DataFrame:
         keyed.groupBy("suffix").agg(F.min("number").alias("low"), F.max("number").alias("high"))
         .where("low <> high").select("suffix")
     )
-    return keyed.join(clashing, "suffix", "left_semi").distinct()
+    return lookup(keyed, clashing, ["suffix"], "left_semi", limits).distinct()

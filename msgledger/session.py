@@ -67,3 +67,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
+
+
+def ship_package() -> None:
+    """Send the package's own functions to the workers by value.
+
+    For running from a checkout; not needed where the package is installed on all nodes.
+    """
+    import msgledger
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(msgledger)

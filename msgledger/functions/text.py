@@ -5,7 +5,7 @@ import html
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # One MIME part; its children stay JSON text so any depth can be walked.
 PART = (
@@ -232,7 +232,7 @@ _COMMON_ENTITIES = (
 _OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)(?:#|[a-zA-Z])"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(html.unescape, na_action="ignore")

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +11,7 @@ from msgledger.operators.joins import collect_small
 
 _WORDS = 4
 _WORD_HEX = 16
-_MODULUS = 1 << 64
+_MODULUS = Decimal(1 << 64)
 
 # Columns that order a table by time, best first.
 TIME_COLUMNS = ("timestamp", "date", "run_timestamp")
@@ -32,7 +33,7 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
         F.count("*").alias("n_rows"),
         *[F.coalesce(F.sum(f"w{i}"), F.lit(0)).cast("decimal(38,0)").alias(f"s{i}") for i in range(_WORDS)],
     )
-    parts = [F.col(f"s{i}") % F.lit(_MODULUS).cast("decimal(38,0)") for i in range(_WORDS)]
+    parts = [F.col(f"s{i}") % F.lit(_MODULUS) for i in range(_WORDS)]
     text = F.concat_ws(":", F.col("n_rows").cast("string"), *[p.cast("decimal(20,0)").cast("string") for p in parts])
     return sums.select("n_rows", F.sha2(text, 256).alias("fingerprint"))
 

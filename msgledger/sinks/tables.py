@@ -4,7 +4,7 @@ from __future__ import annotations
 import logging
 
 from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from msgledger.operators.validate import FLAG_COLUMNS, blank_nulls
@@ -30,11 +30,12 @@ def write_ledger(rows: DataFrame, path: str) -> None:
 def read_ledger(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The whole ledger, or an empty one when there is none yet."""
     fields = schema or T.StructType([*RECORD.fields, T.StructField("ord", T.LongType())])
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    try:
+        return spark.read.schema(fields).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], fields)
-    return spark.read.schema(fields).parquet(path)
 
 
 def read_run(spark: SparkSession, path: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:

@@ -24,7 +24,8 @@ def _month(name: Column) -> Column:
 
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
-    return F.concat_ws("-", y, F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date")
+    two = [F.lpad(x.cast("string"), 2, "0") for x in (m, d)]
+    return F.concat(y, F.lit("-"), two[0], F.lit("-"), two[1]).try_cast("date")
 
 
 def to_date(text: Column) -> Column:

@@ -1,11 +1,36 @@
 """Account resolution: suffixes, transfers, owners."""
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from msgledger.functions.clean import digits_only, merchant_name
 from msgledger.operators.joins import lookup
 from msgledger.options import LIMITS, Limits, MaskOptions
+from msgledger.session import stage_table
+
+
+@dataclass(frozen=True)
+class Sizes:
+    """Upper bounds for everything derived from an account table; None when it is not small."""
+
+    accounts: int | None
+    endings: int | None
+
+    @property
+    def small(self) -> bool:
+        return self.accounts is not None and self.endings is not None
+
+
+def account_sizes(accounts: DataFrame, limits: Limits = LIMITS) -> Sizes:
+    """One count of the account table that bounds all look-ups made from it."""
+    top = limits.broadcast_rows
+    counted = accounts.limit(top + 1).agg(
+        F.count("*").alias("n"), F.sum(F.length("internal_account_number")).alias("endings")
+    ).first()
+    n, endings = counted["n"], counted["endings"] or 0
+    return Sizes(n if n <= top else None, endings if n <= top and endings <= top else None)
 
 
 def suffix_dimension(accounts: DataFrame, length: int = 4) -> DataFrame:
@@ -54,55 +79,101 @@ def is_transfer() -> Column:
     return F.lower(F.coalesce("transaction_type", F.lit(""))) == "transfer"
 
 
-def resolve_transfers(rows: DataFrame, accounts: DataFrame, mask: MaskOptions = MaskOptions(),
-                      limits: Limits = LIMITS) -> DataFrame:
-    """Both sides of a transfer, from the masked numbers in its description.
+def _resolution_keys(rows: DataFrame, mask: MaskOptions) -> DataFrame:
+    """Adds the look-up keys: ``_ours`` and ``_other`` for transfers, ``_ending`` for the rest.
 
     Our side is the ending of the internal number; the other side is the second mask when
-    the first is ours, else the first. Unless both resolve, the row stays as it is.
+    the first is ours, else the first.
     """
-    masks = F.regexp_extract_all(F.coalesce("description", F.lit("")), F.lit(mask.pattern), F.lit(1))
+    masks = F.regexp_extract_all(
+        F.when(is_transfer(), F.coalesce("description", F.lit(""))), F.lit(mask.pattern), F.lit(1)
+    )
+    first, second = F.get("_masks", F.lit(0)), F.get("_masks", F.lit(1))
     ours = F.right(F.coalesce("internal_account_number", F.lit("")), F.lit(mask.suffix_length))
-    keyed = (
+    return (
         rows.withColumn("_masks", masks)
-        .withColumn("_two", is_transfer() & (F.size("_masks") >= 2))
-        .withColumn("_ours", F.when(F.col("_two"), ours))
-        .withColumn(
-            "_other",
-            F.when(F.col("_two"), F.when(F.get("_masks", F.lit(0)) == F.col("_ours"), F.get("_masks", F.lit(1)))
-                   .otherwise(F.get("_masks", F.lit(0)))),
-        )
+        .withColumn("_ours", F.when(F.size("_masks") >= 2, ours))
+        .withColumns({
+            "_other": F.when(F.col("_ours").isNotNull(), F.when(first == F.col("_ours"), second).otherwise(first)),
+            "_ending": F.when(~is_transfer(), F.nullif("internal_account_number", F.lit(""))),
+        })
+        .drop("_masks")
     )
-    dim = suffix_dimension(accounts, mask.suffix_length)
-    own = dim.select(F.col("suffix").alias("_ours"), F.col("account").alias("_own_account"))
-    other = dim.select(F.col("suffix").alias("_other"), F.col("account").alias("_other_account"))
-    joined = lookup(lookup(keyed, own, ["_ours"], "left", limits), other, ["_other"], "left", limits)
-    both = F.col("_own_account").isNotNull() & F.col("_other_account").isNotNull()
-    resolved = {
-        "internal_account_number": "_own_account.internal_account_number",
-        "internal_entity": "_own_account.internal_entity",
-        "institution": "_own_account.institution",
-        "external_account_number": "_other_account.internal_account_number",
-        "external_entity": "_other_account.internal_entity",
-    }
-    kept = rows.columns + [c for c in ("external_account_number",) if c not in rows.columns]
-    old = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in kept}
-    return joined.select(*[
-        (F.when(both, F.col(resolved[c])).otherwise(old[c]) if c in resolved else old[c]).alias(c)
-        for c in kept
-    ])
-
-
-def resolve_owners(rows: DataFrame, accounts: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Entity and institution of rows that are no transfers, from the account they end with."""
-    keyed = rows.withColumn(
-        "_number", F.when(~is_transfer(), F.nullif(F.col("internal_account_number"), F.lit("")))
-    )
-    found = ends_with_lookup(keyed, accounts, "_number", limits)
-    return found.withColumns({
-        "internal_entity": F.coalesce("owner.internal_entity", "internal_entity"),
-        "institution": F.coalesce("owner.institution", "institution"),
-    }).drop("owner", "_number")
+
+
+_TRANSFER_FIELDS = {
+    "internal_account_number": "_own_account.internal_account_number",
+    "internal_entity": "_own_account.internal_entity",
+    "institution": "_own_account.institution",
+    "external_account_number": "_other_account.internal_account_number",
+    "external_entity": "_other_account.internal_entity",
+}
+
+
+def resolve_accounts(
+    rows: DataFrame, accounts: DataFrame, mask: MaskOptions = MaskOptions(), limits: Limits = LIMITS,
+    transfers: bool = True, owners: bool = True, merchants: bool = True, check_allowed: bool = False,
+) -> DataFrame:
+    """Transfers from both masked numbers, other rows from the account they end with, then merchants.
+
+    A transfer of which not both sides resolve stays as it is. ``check_allowed`` adds
+    ``entity_allowed`` and ``institution_allowed``: whether the resolved value is one of the
+    account table's. All look-ups are keyed on the rows as they come in; when the account
+    table is too big to broadcast, those rows are staged once and every hot key is counted
+    on the staged key columns.
+    """
+    sizes = account_sizes(accounts, limits)
+    if "external_account_number" not in rows.columns:
+        rows = rows.withColumn("external_account_number", F.lit(None).cast("string"))
+    keyed = _resolution_keys(rows, mask)
+    if not sizes.small:
+        keyed = stage_table(keyed, "keyed")
+    out = keyed
+
+    def find(dim: DataFrame, key: str, dim_rows: int | None) -> DataFrame:
+        count_on = None if sizes.small else keyed
+        return lookup(out, dim, [key], "left", limits, limits.broadcast_rows + 1 if dim_rows is None else dim_rows, count_on)
+
+    if transfers:
+        dim = suffix_dimension(accounts, mask.suffix_length)
+        for key in ("_ours", "_other"):
+            name = {"_ours": "_own_account", "_other": "_other_account"}[key]
+            out = find(dim.select(F.col("suffix").alias(key), F.col("account").alias(name)), key, sizes.accounts)
+    if owners:
+        out = find(ending_dimension(accounts).select(F.col("ending").alias("_ending"), F.col("owner").alias("_owner")),
+                   "_ending", sizes.endings)
+    if check_allowed:
+        for column in ("internal_entity", "institution"):
+            known = accounts.select(column).distinct().withColumn(f"_{column}_known", F.lit(True))
+            out = find(known, column, sizes.accounts)
+
+    both = F.lit(False)
+    if transfers:
+        both = F.col("_own_account").isNotNull() & F.col("_other_account").isNotNull()
+
+    def resolved(column: str) -> Column:
+        value = F.col(column)
+        if owners and column in ("internal_entity", "institution"):
+            value = F.coalesce(F.col(f"_owner.{column}"), value)
+        if transfers and column in _TRANSFER_FIELDS:
+            value = F.when(both, F.col(_TRANSFER_FIELDS[column])).otherwise(value)
+        return value
+
+    found = [resolved(c).alias(c) for c in rows.columns]
+    if check_allowed:
+        from_account = both | F.col("_owner").isNotNull() if owners else both
+        found += [
+            (from_account | F.coalesce(F.col(f"_{c}_known"), F.lit(False))).alias(flag)
+            for c, flag in (("internal_entity", "entity_allowed"), ("institution", "institution_allowed"))
+        ]
+    out = out.select(*found)
+    return fix_merchants(out) if merchants else out
+
+
+def resolve_transfers(rows: DataFrame, accounts: DataFrame, mask: MaskOptions = MaskOptions(),
+                      limits: Limits = LIMITS) -> DataFrame:
+    """Only the two-sided transfers."""
+    return resolve_accounts(rows, accounts, mask, limits, owners=False, merchants=False)
 
 
 def fix_merchants(rows: DataFrame) -> DataFrame:
@@ -111,12 +182,6 @@ def fix_merchants(rows: DataFrame) -> DataFrame:
     return rows.withColumn("external_entity", F.when(is_transfer(), F.col("external_entity")).otherwise(fixed))
 
 
-def resolve_accounts(rows: DataFrame, accounts: DataFrame, mask: MaskOptions = MaskOptions(),
-                     limits: Limits = LIMITS) -> DataFrame:
-    """Transfers, then owners, then merchants."""
-    return fix_merchants(resolve_owners(resolve_transfers(rows, accounts, mask, limits), accounts, limits))
-
-
 def classify_owners(rows: DataFrame, owners: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Adds ``full_number``, ``owner_institution`` and ``owner_class``.
 

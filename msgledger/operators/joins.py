@@ -37,32 +37,37 @@ def lookup(
     on: Sequence[str],
     how: str = "left",
     limits: Limits = LIMITS,
+    dim_rows: int | None = None,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join a large frame with a dimension that is unique in ``on``.
 
     A dimension counted as small is broadcast. A larger one is joined by shuffle, except
     that the hot keys of ``facts`` (and null keys, which match nothing) are joined against
     just their few dimension rows by broadcast, so that no task gets a whole hot key.
+
+    ``dim_rows``: an upper bound the caller has already counted. ``count_on``: a frame with
+    the same key columns that is cheaper to count than ``facts``.
     """
     on = list(on)
-    if is_small(dim, limits.broadcast_rows):
+    small = is_small(dim, limits.broadcast_rows) if dim_rows is None else dim_rows <= limits.broadcast_rows
+    if small:
         return facts.join(F.broadcast(dim), on, how)
+    counted = (facts if count_on is None else count_on).select(*on).dropna()
     hot = collect_small(
-        hot_keys(facts.dropna(subset=on), on, limits.hot_key_rows).select(*on),
-        limits.broadcast_rows, "hot join keys",
+        hot_keys(counted, on, limits.hot_key_rows).select(*on), limits.broadcast_rows, "hot join keys"
     )
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     nullable = [f.nullable for f in facts.schema.fields if f.name in on]
     if not hot and not any(nullable):
         return facts.join(dim, on, how)
-    schema = facts.select(*on).schema
-    hot_df = facts.sparkSession.createDataFrame(hot, schema)
-    marked = facts.join(F.broadcast(hot_df.withColumn("_hot", F.lit(True))), on, "left")
+    hot_df = F.broadcast(facts.sparkSession.createDataFrame(hot, facts.select(*on).schema))
+    marked = facts.join(hot_df.withColumn("_hot", F.lit(True)), on, "left")
     aside = F.col("_hot").isNotNull() | no_key
     hot_part = marked.where(aside).drop("_hot")
     cold_part = marked.where(~aside).drop("_hot")
-    hot_dim = dim.join(F.broadcast(hot_df), on, "left_semi")
-    return cold_part.join(dim, on, how).unionByName(hot_part.join(F.broadcast(hot_dim), on, how))
+    hot_dim = F.broadcast(dim.join(hot_df, on, "left_semi"))
+    return cold_part.join(dim, on, how).unionByName(hot_part.join(hot_dim, on, how))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], count_as: str | None = None) -> DataFrame:

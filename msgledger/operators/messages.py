@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from msgledger.functions import extract, text as tx
-from msgledger.functions.clean import account_number, coerce
+from msgledger.functions.clean import account_number
 from msgledger.operators.accounts import resolve_accounts
 from msgledger.operators.joins import lookup
-from msgledger.operators.validate import record_errors, with_allowed
+from msgledger.operators.validate import record_errors, typed_record
 from msgledger.options import FIELD_RENAMES, LIMITS, Limits, Options
 from msgledger.schema import RECORD, TRANSACTIONS
 from msgledger.session import stage_table
@@ -132,12 +132,11 @@ def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, option
         present_fields(F.col("_json.keys"), syn).alias("_keys"),
         *[raw[f].alias(f) for f in fields],
     )
-    resolved = resolve_accounts(flat, accounts, options.mask, options.limits)
-    checked = with_allowed(resolved, accounts, options.limits)
-    typed = checked.select(
-        "ord", "body", "message_id", "_found",
-        F.when(F.col("_found"), record_errors(F.col("_keys"))).otherwise(F.array(F.lit("no JSON object"))).alias("errors"),
-        F.struct(*[coerce(F.col(f.name), f.dataType).alias(f.name) for f in RECORD.fields]).alias("_rec"),
+    resolved = resolve_accounts(flat, accounts, options.mask, options.limits, check_allowed=True)
+    typed = resolved.withColumn("_rec", typed_record()).select(
+        "ord", "body", "message_id", "_rec",
+        F.when(F.col("_found"), record_errors(F.col("_keys"), F.col("_rec")))
+        .otherwise(F.array(F.lit("no JSON object"))).alias("errors"),
     )
     from_text = F.when(F.size("errors") > 0, extract.text_record(F.col("body"), syn))
     both = typed.withColumn("_text", from_text)

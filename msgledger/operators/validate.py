@@ -24,22 +24,26 @@ def with_allowed(rows: DataFrame, accounts: DataFrame, limits: Limits = LIMITS)
     return rows
 
 
-def record_errors(keys: Column | None = None, schema: T.StructType = RECORD,
-                  allowed: bool = True) -> Column:
+def typed_record(schema: T.StructType = RECORD) -> Column:
+    """struct of the record fields read into their types; null where a text does not fit."""
+    return F.struct(*[coerce(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def record_errors(keys: Column, typed: Column, schema: T.StructType = RECORD, allowed: bool = True) -> Column:
     """array<string>: what is wrong with a row of raw (text) record columns; empty when valid.
 
     ``keys`` lists the fields that were present; a required field may be present and null
-    unless the schema says otherwise.
+    unless the schema says otherwise. ``typed`` is the row's ``typed_record``.
     """
     checks: list[Column] = []
     for f in schema.fields:
         col = F.col(f.name)
         if not f.metadata["nullable"]:
             checks.append(F.when(col.isNull(), F.lit(f"{f.name}: null")))
-        elif f.metadata["required"] and keys is not None and f.name not in STAMPED:
+        elif f.metadata["required"] and f.name not in STAMPED:
             checks.append(F.when(~F.array_contains(keys, f.name), F.lit(f"{f.name}: missing")))
         if not isinstance(f.dataType, T.StringType):
-            checks.append(F.when(col.isNotNull() & coerce(col, f.dataType).isNull(), F.lit(f"{f.name}: unreadable")))
+            checks.append(F.when(col.isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: unreadable")))
     if allowed:
         for name, flag in (("internal_entity", "entity_allowed"), ("institution", "institution_allowed")):
             checks.append(F.when(F.col(name).isNotNull() & ~F.col(flag), F.lit(f"{name}: not allowed")))

@@ -368,7 +368,9 @@ def _checked(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validate_records(spark, sf):
-    return _checked(spark, sf).withColumn("errors", val.record_errors(F.col("keys"))).select(
+    return _checked(spark, sf).withColumn("rec", val.typed_record()).withColumn(
+        "errors", val.record_errors(F.col("keys"), F.col("rec"))
+    ).select(
         "message_id", (F.size("errors") == 0).alias("valid"), words("errors")
     )
 

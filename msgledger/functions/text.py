@@ -232,25 +232,34 @@ _COMMON_ENTITIES = (
 _OTHER_ENTITY = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|copy|middot|amp);)(?:#|[a-zA-Z])"
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield texts.map(html.unescape, na_action="ignore")
+def _unescape(text: Column, times: int) -> Column:
+    @F.pandas_udf(T.StringType())
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for _ in range(times):
+                texts = texts.map(html.unescape, na_action="ignore")
+            yield texts
 
+    return decode(text)
 
-def unescape(text: Column) -> Column:
-    """Decode HTML entities once.
 
-    Common names are plain replacements; only texts holding any other reference are
-    sent to Python, in Arrow batches (the rest travel as nulls).
-    """
-    def common(t: Column) -> Column:
-        for name, char in _COMMON_ENTITIES:
-            t = F.replace(t, F.lit(name), F.lit(char))
-        return t
+def _common(text: Column) -> Column:
+    for name, char in _COMMON_ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
 
-    rare = text.rlike(_OTHER_ENTITY)
-    return F.coalesce(_unescape(F.when(rare, text)), common(text))
+def unescape(text: Column, times: int = 1) -> Column:
+    """Decode HTML entities, ``times`` over.
+
+    Common names are plain replacements; only texts in which another reference shows up
+    at any level are sent to Python, in Arrow batches (the rest travel as nulls).
+    """
+    plain, rare = text, F.lit(False)
+    for _ in range(times):
+        rare = rare | plain.rlike(_OTHER_ENTITY)
+        plain = _common(plain)
+    return F.coalesce(_unescape(F.when(rare, text), times), plain)
 
 
 def strip_markup(source: Column) -> Column:
@@ -261,11 +270,14 @@ def strip_markup(source: Column) -> Column:
 
 def html_text(source: Column) -> Column:
     """Visible text of an HTML source, decoded twice as the mail path does."""
-    return collapse(unescape(unescape(strip_markup(source))))
+    return collapse(unescape(strip_markup(source), 2))
 
 
 def body_text(kind: Column, data: Column, snippet: Column) -> Column:
     """Readable body from a chosen part, else the snippet, else an empty text."""
     decoded = decode_base64url(data)
-    text = F.when(kind == "text/html", unescape(strip_markup(decoded))).otherwise(decoded)
-    return F.when(data.isNotNull(), collapse(unescape(text))).otherwise(F.coalesce(snippet, F.lit("")))
+    is_html = kind == "text/html"
+    source = F.when(is_html, strip_markup(decoded))
+    plain = F.when(is_html, F.lit(None)).otherwise(decoded)
+    text = collapse(F.coalesce(unescape(source, 2), unescape(plain)))
+    return F.when(data.isNotNull(), text).otherwise(F.coalesce(snippet, F.lit("")))

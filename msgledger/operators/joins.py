@@ -31,6 +31,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > rows)
 
 
+def hottest(df: DataFrame, keys: Sequence[str], limits: Limits) -> list[Row]:
+    """The hot keys with their counts, hottest first, as many as may be broadcast.
+
+    The list only chooses which rows take the split path; keys left out of it take the
+    ordinary path and give the same result.
+    """
+    return (
+        hot_keys(df, keys, limits.hot_key_rows).orderBy(F.desc("n"), *keys)
+        .limit(max(limits.broadcast_rows, 1)).collect()
+    )
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -39,6 +51,7 @@ def lookup(
     limits: Limits = LIMITS,
     dim_rows: int | None = None,
     count_on: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Equi-join a large frame with a dimension that is unique in ``on``.
 
@@ -47,16 +60,17 @@ def lookup(
     just their few dimension rows by broadcast, so that no task gets a whole hot key.
 
     ``dim_rows``: an upper bound the caller has already counted. ``count_on``: a frame with
-    the same key columns that is cheaper to count than ``facts``.
+    the same key columns that is cheaper to count than ``facts``. ``unique``: ``facts`` has
+    each key once, so there is nothing hot to look for.
     """
     on = list(on)
     small = is_small(dim, limits.broadcast_rows) if dim_rows is None else dim_rows <= limits.broadcast_rows
     if small:
         return facts.join(F.broadcast(dim), on, how)
+    if unique:
+        return facts.join(dim, on, how)
     counted = (facts if count_on is None else count_on).select(*on).dropna()
-    hot = collect_small(
-        hot_keys(counted, on, limits.hot_key_rows).select(*on), limits.broadcast_rows, "hot join keys"
-    )
+    hot = [tuple(row[c] for c in on) for row in hottest(counted, on, limits)]
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     nullable = [f.nullable for f in facts.schema.fields if f.name in on]
     if not hot and not any(nullable):

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from msgledger.operators.joins import collect_small, first_per_key, hot_keys, lookup
+from msgledger.operators.joins import first_per_key, hottest, lookup
 from msgledger.operators.ordered import chunk_count, global_rank, ordered_chunks
 from msgledger.options import LIMITS, Limits
 
@@ -19,9 +19,9 @@ def dedupe_batch(rows: DataFrame, key: str = "message_id", order: str = "ord",
 
 
 def new_records(rows: DataFrame, master_ids: DataFrame, key: str = "message_id",
-                limits: Limits = LIMITS) -> DataFrame:
-    """Rows whose id the master does not hold yet."""
-    return lookup(rows, master_ids.select(key), [key], "left_anti", limits)
+                limits: Limits = LIMITS, deduped: bool = False) -> DataFrame:
+    """Rows whose id the master does not hold yet. ``deduped``: the rows' ids are unique."""
+    return lookup(rows, master_ids.select(key), [key], "left_anti", limits, unique=deduped)
 
 
 def processed_ids(master: DataFrame, key: str = "message_id") -> DataFrame:
@@ -124,9 +124,7 @@ def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False
     Accounts are counted first (key column only). Those within the limit take one window;
     the others are split in order over many tasks. A missing amount counts as zero.
     """
-    hot = collect_small(
-        hot_keys(rows, [ACCOUNT], limits.hot_key_rows), limits.broadcast_rows, "hot accounts"
-    )
+    hot = hottest(rows, [ACCOUNT], limits)
     if not hot:
         return _fill_by_window(rows, list(order), mode, forward_only)
     spark = rows.sparkSession
@@ -166,8 +164,12 @@ def max_record_id(master: DataFrame, column: str = "record_id") -> int:
 
 def assign_record_ids(rows: DataFrame, start: int | Column = 0, name: str = "record_id",
                       limits: Limits = LIMITS) -> DataFrame:
-    """Sequential ids in ledger order, from ``start`` + 1."""
-    return global_rank(bucket_order(rows, limits), BATCH_ORDER, name, start, limits=limits).drop("bucket_ord")
+    """Sequential ids in ledger order, from ``start`` + 1.
+
+    Uses the rows' ``bucket_ord`` where :func:`bucket_order` has already been applied.
+    """
+    placed = rows if "bucket_ord" in rows.columns else bucket_order(rows, limits)
+    return global_rank(placed, BATCH_ORDER, name, start, limits=limits).drop("bucket_ord")
 
 
 def append(master: DataFrame, batch: DataFrame) -> DataFrame:

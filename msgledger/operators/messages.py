@@ -41,12 +41,12 @@ def joined_texts(texts: Column) -> Column:
 
 
 def append_attachment_text(messages: DataFrame, attachments: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Body plus attachment text after a blank line.
+    """Body plus attachment text after a blank line. Both sides have one row per message.
 
     ``attachments``: message_id, texts (array, one row per message).
     """
     added = attachments.select("message_id", joined_texts(F.col("texts")).alias("_pdf"))
-    return lookup(messages, added, ["message_id"], "left", limits).withColumn(
+    return lookup(messages, added, ["message_id"], "left", limits, unique=True).withColumn(
         "body", F.when(F.col("_pdf").isNotNull(), F.concat_ws("\n\n", "body", "_pdf")).otherwise(F.col("body"))
     ).drop("_pdf")
 

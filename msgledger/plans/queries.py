@@ -400,8 +400,8 @@ def missing_flags(spark, sf):
 def flag_log(spark, sf):
     path = stage_path(spark, "flags")
     flags = val.missing_flags(_gappy(spark, sf))
-    sinks.append_flags(flags.where("run_id < 'run-2'"), path)
-    sinks.append_flags(flags.where("run_id >= 'run-2'"), path)
+    sinks.write_flags(flags.where("run_id < 'run-3'"), path)
+    sinks.write_flags(flags.where("run_id >= 'run-2'"), path)
     return spark.read.schema(flags.schema).parquet(path).groupBy("run_id", "reason").agg(F.count("*").alias("n"))
 
 

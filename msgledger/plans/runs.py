@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from msgledger.operators.fingerprint import table_fingerprint
 from msgledger.operators.ledger import (
-    assign_record_ids, dedupe_batch, fill_balances, max_record_id, new_records, processed_ids,
+    assign_record_ids, bucket_order, dedupe_batch, fill_balances, max_record_id, new_records, processed_ids,
 )
 from msgledger.operators.messages import parse_messages, unparsed_flags
-from msgledger.operators.monitor import run_summary
+from msgledger.operators.monitor import batch_summary
 from msgledger.operators.replicates import replicate_matches, replicate_summary
 from msgledger.operators.validate import missing_flags
 from msgledger.options import Options
@@ -46,21 +46,18 @@ def batch_run(messages: DataFrame, accounts: DataFrame, run_id: str, paths: Path
     master = sinks.read_ledger(spark, paths.ledger, LEDGER).where(F.col("run_id") != run_id)
 
     good = parsed.where(F.col("parse_path") != "failed").drop("parse_path", "errors")
-    fresh = new_records(dedupe_batch(good), processed_ids(master), limits=limits)
-    filled = fill_balances(stage_table(fresh, "fresh"), limits=limits)
+    # Staged: used more than once below, and the ledger cannot be read and written in one job.
+    fresh = stage_table(
+        new_records(dedupe_batch(good), processed_ids(master), limits=limits, deduped=True), "fresh"
+    )
+    filled = fill_balances(bucket_order(fresh, limits), limits=limits)
     numbered = assign_record_ids(filled, max_record_id(master), limits=limits)
-    written = numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
-    staged = stage_table(written, "ledger")
-    sinks.write_ledger(staged, paths.ledger)
-    sinks.append_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags)
-
-    kept = staged.select("message_id", "ord", F.lit(True).alias("_kept"))
-    batch = parsed.join(kept, ["message_id", "ord"], "left").select(
-        "message_id", "date",
-        (F.col("parse_path") != "failed").alias("parsed"),
-        ((F.col("parse_path") != "failed") & F.col("_kept").isNull()).alias("duplicate"),
+    sinks.write_ledger(
+        numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger
     )
-    return run_summary(batch, run_id)
+    sinks.write_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags)
+    written = fresh.agg(F.count("*").alias("n"), F.max("date").alias("last")).first()
+    return batch_summary(parsed, run_id, written["n"], written["last"])
 
 
 def replicate_run(messages: DataFrame, parse: Callable[[DataFrame, int], DataFrame], runs: int,

@@ -50,8 +50,12 @@ def export_run_csv(rows: DataFrame, directory: str, run_id: str) -> str:
     return path
 
 
-def append_flags(flags: DataFrame, path: str) -> None:
-    flags.select(*FLAG_COLUMNS).write.mode("append").parquet(path)
+def write_flags(flags: DataFrame, path: str) -> None:
+    """Add the flags of one or more runs; writing a run's flags again replaces them."""
+    (
+        flags.select(*FLAG_COLUMNS).hint("rebalance", "run_id").write.partitionBy("run_id")
+        .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    )
 
 
 def append_run_log(runs: DataFrame, path: str) -> None:
@@ -83,7 +87,7 @@ def load_warehouse(rows: DataFrame, url: str, table: str, properties: dict[str,
 
 def write_replicates(matches: DataFrame, summary: DataFrame, directory: str) -> None:
     """Replicate results (one folder per run) and their summary, as CSV."""
-    matches.write.partitionBy("run").mode("overwrite").option("header", True).csv(f"{directory}/results")
+    matches.hint("rebalance", "run").write.partitionBy("run").mode("overwrite").option("header", True).csv(f"{directory}/results")
     summary.write.mode("overwrite").option("header", True).csv(f"{directory}/summary")
 
 

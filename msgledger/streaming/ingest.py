@@ -40,7 +40,7 @@ def run_incremental(
         master = read_ledger(batch.sparkSession, ledger, first.schema)
         others = master.where(F.col("run_id") != run)
         # Staged, because the ledger cannot be read and written in one job.
-        fresh = stage_table(new_records(first, others, limits=limits), "batch")
+        fresh = stage_table(new_records(first, others, limits=limits, deduped=True), "batch")
         write_ledger(fresh, ledger)
 
     query = (

@@ -25,6 +25,11 @@ SIMPLE_BALANCE = r"(?iu)Available balance[^\d]{0,20}?(?:R|ZAR)?\s*([\d.,]+)"
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1c-\x1e\x85\u2028\u2029]"
 COUNTERPARTY_CHARS = 50
 
+# Cheap tests that every amount and every date pass; they spare texts without any the
+# slower patterns.
+_CENTS = r"\d[.,]\d{2}"
+_DIGIT = r"(?U)\d"
+
 
 def _group(text: Column, pattern: str, idx: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, idx), F.lit(""))
@@ -45,7 +50,7 @@ def labelled_value(text: Column, aliases: Sequence[str]) -> Column:
         return F.lit(None).cast("string")
     names = "|".join(rf"\Q{a}\E" for a in aliases)
     pattern = rf"(?iudU)(?:{names})\s*:\s*(.+)"
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    values = F.regexp_extract_all(F.when(F.contains(text, F.lit(":")), text), F.lit(pattern), F.lit(1))
     return let(values, lambda v: strip(F.get(v, F.size(v) - 1)))
 
 
@@ -64,7 +69,8 @@ def first_amount(text: Column) -> Column:
         code = F.coalesce(_group(match, AMOUNT, 1), _group(match, AMOUNT, 4))
         return F.struct(clean_number(raw).alias("amount"), F.upper(code).alias("currency"))
 
-    return let(F.regexp_extract(text, AMOUNT, 0), read)
+    match = F.when(text.rlike(_CENTS), F.regexp_extract(text, AMOUNT, 0))
+    return let(F.coalesce(match, F.lit("")), read)
 
 
 def masked_last4(text: Column) -> Column:
@@ -97,7 +103,11 @@ def simple_balance(text: Column) -> Column:
 def counterparty_line(text: Column) -> Column:
     """First line that is not blank and holds neither a date nor an amount, cut to 50 characters."""
     lines = F.transform(F.split(text, LINE_BREAK), strip)
-    plain = F.filter(lines, lambda l: (l != "") & ~l.rlike(ISO_DATE) & ~l.rlike(AMOUNT))
+
+    def has_value(line: Column) -> Column:
+        return line.rlike(_DIGIT) & (line.rlike(ISO_DATE) | line.rlike(AMOUNT))
+
+    plain = F.filter(lines, lambda l: (l != "") & ~has_value(l))
     return F.substring(F.get(plain, F.lit(0)), 1, COUNTERPARTY_CHARS)
 
 

@@ -1,10 +1,11 @@
 """Joins that hold up when one key has a third of the rows."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from msgledger.options import LIMITS, Limits
 
@@ -55,9 +56,9 @@ def lookup(
 ) -> DataFrame:
     """Equi-join a large frame with a dimension that is unique in ``on``.
 
-    A dimension counted as small is broadcast. A larger one is joined by shuffle, except
-    that the hot keys of ``facts`` (and null keys, which match nothing) are joined against
-    just their few dimension rows by broadcast, so that no task gets a whole hot key.
+    A dimension counted as small is broadcast. A larger one is joined by shuffle; the rows
+    of a hot key (null counts as one) are then spread over as many salts as they need, and
+    only the dimension rows of those keys are repeated, once per salt.
 
     ``dim_rows``: an upper bound the caller has already counted. ``count_on``: a frame with
     the same key columns that is cheaper to count than ``facts``. ``unique``: ``facts`` has
@@ -69,19 +70,26 @@ def lookup(
         return facts.join(F.broadcast(dim), on, how)
     if unique:
         return facts.join(dim, on, how)
-    counted = (facts if count_on is None else count_on).select(*on).dropna()
-    hot = [tuple(row[c] for c in on) for row in hottest(counted, on, limits)]
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    nullable = [f.nullable for f in facts.schema.fields if f.name in on]
-    if not hot and not any(nullable):
+    hot = hottest((facts if count_on is None else count_on).select(*on), on, limits)
+    if not hot:
         return facts.join(dim, on, how)
-    hot_df = F.broadcast(facts.sparkSession.createDataFrame(hot, facts.select(*on).schema))
-    marked = facts.join(hot_df.withColumn("_hot", F.lit(True)), on, "left")
-    aside = F.col("_hot").isNotNull() | no_key
-    hot_part = marked.where(aside).drop("_hot")
-    cold_part = marked.where(~aside).drop("_hot")
-    hot_dim = F.broadcast(dim.join(hot_df, on, "left_semi"))
-    return cold_part.join(dim, on, how).unionByName(hot_part.join(hot_dim, on, how))
+    spread = _splits(facts, hot, on, limits)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on])
+    # By row content, not at random: a repeated task must put each row where it was.
+    hashable = [f.name for f in facts.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt = F.when(F.col("_splits").isNotNull(), F.pmod(F.xxhash64(*hashable), F.col("_splits"))).otherwise(F.lit(0))
+    salted = facts.join(spread, same, "left").withColumn("_salt", salt.cast("bigint")).select(*facts.columns, "_salt")
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_splits", F.lit(1)) - 1))
+    repeated = dim.join(spread, same, "left").select(*dim.columns, salts.alias("_salt"))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def _splits(facts: DataFrame, hot: list[Row], on: list[str], limits: Limits) -> DataFrame:
+    """Hot keys with the number of salts each needs, for broadcast."""
+    rows = [(*(r[c] for c in on), math.ceil(r["n"] / max(limits.hot_key_rows, 1)) + 1) for r in hot]
+    keys = [T.StructField(f"_hot_{c}", facts.schema[c].dataType) for c in on]
+    schema = T.StructType([*keys, T.StructField("_splits", T.LongType())])
+    return F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], count_as: str | None = None) -> DataFrame:

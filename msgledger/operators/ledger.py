@@ -163,13 +163,17 @@ def max_record_id(master: DataFrame, column: str = "record_id") -> int:
 
 
 def assign_record_ids(rows: DataFrame, start: int | Column = 0, name: str = "record_id",
-                      limits: Limits = LIMITS) -> DataFrame:
+                      limits: Limits = LIMITS, total: int | None = None) -> DataFrame:
     """Sequential ids in ledger order, from ``start`` + 1.
 
     Uses the rows' ``bucket_ord`` where :func:`bucket_order` has already been applied.
+    ``total``: the number of rows, if known, sets how many pieces they are sorted in.
     """
+    chunks = None if total is None else max(
+        chunk_count(total, limits), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    )
     placed = rows if "bucket_ord" in rows.columns else bucket_order(rows, limits)
-    return global_rank(placed, BATCH_ORDER, name, start, limits=limits).drop("bucket_ord")
+    return global_rank(placed, BATCH_ORDER, name, start, chunks, limits).drop("bucket_ord")
 
 
 def append(master: DataFrame, batch: DataFrame) -> DataFrame:

@@ -50,13 +50,13 @@ def batch_run(messages: DataFrame, accounts: DataFrame, run_id: str, paths: Path
     fresh = stage_table(
         new_records(dedupe_batch(good), processed_ids(master), limits=limits, deduped=True), "fresh"
     )
+    written = fresh.agg(F.count("*").alias("n"), F.max("date").alias("last")).first()
     filled = fill_balances(bucket_order(fresh, limits), limits=limits)
-    numbered = assign_record_ids(filled, max_record_id(master), limits=limits)
+    numbered = assign_record_ids(filled, max_record_id(master), limits=limits, total=written["n"])
     sinks.write_ledger(
         numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger
     )
     sinks.write_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags)
-    written = fresh.agg(F.count("*").alias("n"), F.max("date").alias("last")).first()
     return batch_summary(parsed, run_id, written["n"], written["last"])
 
 

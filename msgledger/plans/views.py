@@ -228,7 +228,7 @@ def day_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 def replicates(spark: SparkSession, sf: str, runs: int = 5) -> DataFrame:
     """Each order parsed ``runs`` times, with a changed value or a dropped key here and there."""
-    base = ledger(spark, sf).withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs))))
+    base = spread(ledger(spark, sf), "ord").withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs))))
     changed = (F.col("run") > 1) & ((F.col("ord") * F.col("run")) % 97 == 0)
     dropped = (F.col("run") > 1) & ((F.col("ord") * F.col("run")) % 211 == 0)
     entries = F.array_compact(F.array(

@@ -231,3 +231,31 @@ def test_replicate_run(spark):
 
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    """Two runs over JSON files, the second after a new delivery, then replicates and monitors."""
+    from msgledger.__main__ import main
+
+    mail = views.mail(spark, SF).select("id", "internalDate", "snippet", "payload", "labels", "ord")
+    lines = mail.select(F.concat(
+        F.expr("substring(to_json(struct(id, internalDate, snippet, labels, ord)), 1, length(to_json(struct(id, internalDate, snippet, labels, ord))) - 1)"),
+        F.lit(',"payload":'), "payload", F.lit("}"),
+    ).alias("value"), "ord")
+    lines.where("ord < 100").select("value").write.text(f"{tmp_path}/in")
+    answers = views.answers(spark, SF).select("message_id", "generated_text", "ord").where("ord < 200")
+    answers.drop("ord").write.json(f"{tmp_path}/gen")
+    views.accounts(spark, SF).select("internal_account_number", "internal_entity", "institution", "currency", "position").coalesce(1).write.csv(
+        f"{tmp_path}/acc", header=True)
+    common = ["--messages", f"{tmp_path}/in", "--generated", f"{tmp_path}/gen", "--accounts", f"{tmp_path}/acc", "--out", f"{tmp_path}/out"]
+    main(["run", *common, "--run-id", "r1", "--query", "subject:transaction"])
+    lines.where("ord BETWEEN 80 AND 150").select("value").write.mode("append").text(f"{tmp_path}/in")
+    main(["run", *common, "--run-id", "r2", "--force"])
+    ledger = sinks.read_ledger(spark, f"{tmp_path}/out/ledger", LEDGER)
+    assert {r["run_id"]: r["count"] for r in ledger.groupBy("run_id").count().collect()} == {"r1": 100, "r2": 51}
+    assert ledger.select("message_id").distinct().count() == 151
+    assert src.scan_run_log(spark, f"{tmp_path}/out/run_log").count() == 2
+    main(["replicates", *common, "--out", f"{tmp_path}/rep", "--runs", "2", "--force"])
+    main(["quality", "--meta", f"{tmp_path}/out/run_meta"])
+    main(["zscores", "--ledger", f"{tmp_path}/out/ledger"])
+    assert "p_struct" in capsys.readouterr().out

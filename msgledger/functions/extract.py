@@ -150,12 +150,17 @@ def text_record_found(record: Column) -> Column:
 
 # --- generated JSON ----------------------------------------------------------
 
+# The first brace opens an object, and the next one closes it.
+_FLAT_OBJECT = r"^[^{}]*+(\{[^{}]*+\})"
+
+
 def first_json_object(text: Column) -> Column:
     """First balanced ``{...}`` of a text, to any depth; braces inside strings count.
 
-    The text is cut after each brace, and one pass keeps the positions of the braces
-    still open. Of all pairs that close, the one opened first wins, so a brace that is
-    never closed does not hide the object behind it.
+    An object without braces inside is found by one plain pattern. Else the text is cut
+    after each brace, and one pass keeps the positions of the braces still open. Of all
+    pairs that close, the one opened first wins, so a brace that is never closed does not
+    hide the object behind it.
     """
     pieces = F.split(text, r"(?<=[{}])")
     state = F.struct(
@@ -188,7 +193,10 @@ def first_json_object(text: Column) -> Column:
         return F.when(s["start"] > 0, F.substring(text, s["start"], s["end"] - s["start"] + 1))
 
     found = F.aggregate(pieces, state, step, cut)
-    return F.when(F.contains(text, F.lit("{")) & F.contains(text, F.lit("}")), found)
+    return (
+        F.when(text.rlike(_FLAT_OBJECT), F.regexp_extract(text, _FLAT_OBJECT, 1))
+        .when(F.contains(text, F.lit("{")) & F.contains(text, F.lit("}")), found)
+    )
 
 
 _CORRUPT = "_corrupt"

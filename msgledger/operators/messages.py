@@ -1,6 +1,7 @@
 """From raw messages to parsed records."""
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -10,7 +11,7 @@ from msgledger.functions import extract, text as tx
 from msgledger.functions.clean import account_number
 from msgledger.operators.accounts import resolve_accounts
 from msgledger.operators.joins import lookup
-from msgledger.operators.validate import record_errors, typed_record
+from msgledger.operators.validate import STAMPED, record_errors, typed_record
 from msgledger.options import FIELD_RENAMES, LIMITS, Limits, Options
 from msgledger.schema import RECORD, TRANSACTIONS
 from msgledger.session import stage_table
@@ -81,22 +82,27 @@ def prompt(accounts: Sequence[Mapping[str, str]], sender: Column, subject: Colum
     )
 
 
-def generated_record(generated: Column, synonyms: Mapping[str, Sequence[str]]) -> Column:
-    """struct<keys, rec>: keys present and raw record of the first JSON object, null if none is valid."""
+def generated_record(generated: Column, synonyms: Mapping[str, Sequence[str]], all_keys: bool = True) -> Column:
+    """struct<keys, rec>: keys present and raw record of the first JSON object, null if none is valid.
+
+    Without ``all_keys``, keys are read only where a required field has no value, which is
+    where it matters whether its key was there.
+    """
+    required = [f.name for f in RECORD.fields if f.metadata["required"] and f.metadata["nullable"] and f.name not in STAMPED]
     fields = [f.name for f in RECORD.fields]
     aliases = extract.record_aliases(fields, synonyms, FIELD_RENAMES)
     wanted = list(dict.fromkeys(n for names in aliases.values() for n in names))
 
     def read(json: Column) -> Column:
+        def with_keys(rec: Column) -> Column:
+            keys = F.json_object_keys(json)
+            if not all_keys:
+                keys = F.when(reduce(operator.or_, [rec[f].isNull() for f in required]), keys)
+            return F.struct(keys.alias("keys"), rec.alias("rec"))
+
         return tx.let(
             extract.decode_object(json, wanted),
-            lambda d: F.when(
-                d.isNotNull(),
-                F.struct(
-                    F.json_object_keys(json).alias("keys"),
-                    extract.canonical_fields(d, aliases).alias("rec"),
-                ),
-            ),
+            lambda d: F.when(d.isNotNull(), tx.let(extract.canonical_fields(d, aliases), with_keys)),
         )
 
     return tx.let(extract.first_json_object(generated), read)
@@ -121,7 +127,7 @@ def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, option
     carry no fields; they are there to be flagged.
     """
     syn, fields = options.synonyms, [f.name for f in RECORD.fields]
-    decoded = messages.withColumn("_json", generated_record(F.col("generated_text"), syn))
+    decoded = messages.withColumn("_json", generated_record(F.col("generated_text"), syn, all_keys=False))
     # The message's own id and the run id always replace what was generated.
     raw = {f: F.col(f"_json.rec.{f}") for f in fields}
     raw["message_id"], raw["run_id"] = F.col("message_id"), F.lit(run_id)

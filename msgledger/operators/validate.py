@@ -1,7 +1,9 @@
 """Record validation and flagging."""
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -35,19 +37,23 @@ def record_errors(keys: Column, typed: Column, schema: T.StructType = RECORD, al
     ``keys`` lists the fields that were present; a required field may be present and null
     unless the schema says otherwise. ``typed`` is the row's ``typed_record``.
     """
-    checks: list[Column] = []
+    checks: list[tuple[Column, str]] = []
     for f in schema.fields:
         col = F.col(f.name)
         if not f.metadata["nullable"]:
-            checks.append(F.when(col.isNull(), F.lit(f"{f.name}: null")))
+            checks.append((col.isNull(), f"{f.name}: null"))
         elif f.metadata["required"] and f.name not in STAMPED:
-            checks.append(F.when(~F.array_contains(keys, f.name), F.lit(f"{f.name}: missing")))
+            present = F.coalesce(F.array_contains(keys, f.name), F.lit(False))
+            checks.append((col.isNull() & ~present, f"{f.name}: missing"))
         if not isinstance(f.dataType, T.StringType):
-            checks.append(F.when(col.isNotNull() & typed[f.name].isNull(), F.lit(f"{f.name}: unreadable")))
+            checks.append((col.isNotNull() & typed[f.name].isNull(), f"{f.name}: unreadable"))
     if allowed:
         for name, flag in (("internal_entity", "entity_allowed"), ("institution", "institution_allowed")):
-            checks.append(F.when(F.col(name).isNotNull() & ~F.col(flag), F.lit(f"{name}: not allowed")))
-    return F.array_compact(F.array(*checks))
+            checks.append((F.col(name).isNotNull() & ~F.col(flag), f"{name}: not allowed"))
+    # Most rows are valid: those stop at the plain test and build no list.
+    wrong = reduce(operator.or_, [c for c, _ in checks])
+    found = F.array_compact(F.array(*[F.when(c, F.lit(text)) for c, text in checks]))
+    return F.when(wrong, found).otherwise(F.array().cast("array<string>"))
 
 
 def missing_fields(schema: T.StructType = RECORD, also: Sequence[str] = ("available_balance",)) -> Column:

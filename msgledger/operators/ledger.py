@@ -118,13 +118,15 @@ def _fill_by_chunks(rows: DataFrame, order: list[str], mode: str, forward_only:
 
 
 def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False,
-                  order: tuple[str, ...] = ("date", "ord"), limits: Limits = LIMITS) -> DataFrame:
+                  order: tuple[str, ...] = ("date", "ord"), limits: Limits = LIMITS,
+                  count_on: DataFrame | None = None) -> DataFrame:
     """Missing balances per account, forward from the last known one, then backward.
 
     Accounts are counted first (key column only). Those within the limit take one window;
     the others are split in order over many tasks. A missing amount counts as zero.
+    ``count_on``: a frame with the same rows that is cheaper to count.
     """
-    hot = hottest(rows, [ACCOUNT], limits)
+    hot = hottest(rows if count_on is None else count_on, [ACCOUNT], limits)
     if not hot:
         return _fill_by_window(rows, list(order), mode, forward_only)
     spark = rows.sparkSession

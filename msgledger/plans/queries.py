@@ -704,8 +704,8 @@ def snapshot_roundtrip(spark, sf):
     """Runs written, one of them twice, then one run exported as CSV and all read back."""
     rows = views.ledger(spark, sf).select("message_id", "ord", "date", "amount", "run_id")
     path = stage_path(spark, "ledger")
-    sinks.write_ledger(rows.withColumn("amount", F.lit(0).cast("decimal(18,2)")), path)
-    sinks.write_ledger(rows, path)
+    sinks.write_ledger(rows.withColumn("amount", F.lit(0).cast("decimal(18,2)")), path, many_runs=True)
+    sinks.write_ledger(rows, path, many_runs=True)
     back = sinks.read_ledger(spark, path, rows.schema)
     return back.groupBy("run_id").agg(F.count("*").alias("n"), money("total", F.sum("amount")))
 

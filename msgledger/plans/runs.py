@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from msgledger.operators.fingerprint import table_fingerprint
 from msgledger.operators.ledger import (
-    assign_record_ids, bucket_order, dedupe_batch, fill_balances, max_record_id, new_records, processed_ids,
+    assign_record_ids, dedupe_batch, fill_balances, max_record_id, new_records, processed_ids,
 )
 from msgledger.operators.messages import parse_messages, unparsed_flags
 from msgledger.operators.monitor import batch_summary
@@ -51,10 +51,12 @@ def batch_run(messages: DataFrame, accounts: DataFrame, run_id: str, paths: Path
         new_records(dedupe_batch(good), processed_ids(master), limits=limits, deduped=True), "fresh"
     )
     written = fresh.agg(F.count("*").alias("n"), F.max("date").alias("last")).first()
-    filled = fill_balances(bucket_order(fresh, limits), limits=limits)
-    numbered = assign_record_ids(filled, max_record_id(master), limits=limits, total=written["n"])
+    # Ids depend on dates and input order only, so they come before the balances: sampling
+    # for the range shuffle then reads a staged table and not the outcome of a window.
+    numbered = assign_record_ids(fresh, max_record_id(master), limits=limits, total=written["n"])
+    filled = fill_balances(numbered, limits=limits, count_on=fresh)
     sinks.write_ledger(
-        numbered.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger
+        filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger
     )
     sinks.write_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags)
     return batch_summary(parsed, run_id, written["n"], written["last"])

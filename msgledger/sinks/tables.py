@@ -14,15 +14,17 @@ from msgledger.sources.tables import RUN_LOG, RUN_META
 log = logging.getLogger(__name__)
 
 
-def write_ledger(rows: DataFrame, path: str) -> None:
+def write_ledger(rows: DataFrame, path: str, many_runs: bool = False) -> None:
     """Write rows into the ``run_id`` partitions they belong to, replacing those runs only.
 
-    Writing a run again gives the same table. Partitions are rebalanced by size, so one
-    huge run becomes many files and small ones do not leave tiny files behind. Order is
-    made when reading, so an older batch never forces a rewrite.
+    Writing a run again gives the same table. Order is made when reading, so an older batch
+    never forces a rewrite. One run is written as it comes, a file per task, without a
+    shuffle. ``many_runs`` at once are rebalanced by size first, so that a huge run becomes
+    many files and small ones do not leave a tiny file per task.
     """
+    laid_out = rows.hint("rebalance", "run_id") if many_runs else rows
     (
-        rows.hint("rebalance", "run_id").write.partitionBy("run_id").mode("overwrite")
+        laid_out.write.partitionBy("run_id").mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").parquet(path)
     )
 

@@ -126,12 +126,8 @@ def attachment_inventory_top(spark, sf):
 
 @query
 def attachment_layout(spark, sf):
-    mails = views.mail(spark, sf)
-    found = landing.pdf_attachments(mails)
-    rows = lookup(
-        found, mails.select(F.col("id").alias("message_id"), F.col("account").alias("internal_account_number"), F.col("day").alias("date")),
-        ["message_id"], "inner",
-    )
+    mails = views.mail(spark, sf).withColumnsRenamed({"account": "internal_account_number", "day": "date"})
+    rows = landing.pdf_attachments(mails, keep=("internal_account_number", "date"))
     owners = views.accounts(spark, sf).select("internal_account_number", "institution", "owner_type", "position")
     classed = acc.classify_owners(rows, owners).withColumn("content", F.encode("filename", "UTF-8"))
     path = stage_path(spark, "attachments")
@@ -352,18 +348,19 @@ def coerce_types(spark, sf):
 
 
 def _checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Decoded answers with the right entity, a wrong institution on every third, and allowed flags."""
     rows = views.answers(spark, sf).withColumn("j", msg.generated_record(F.col("generated_text"), SYNONYMS))
-    fields = [f.name for f in RECORD.fields]
-    flat = rows.where(F.col("j").isNotNull()).select(
-        "ord", "institution", F.col("entity"), msg.present_fields(F.col("j.keys"), SYNONYMS).alias("keys"),
-        *[F.col(f"j.rec.{f}").alias(f"_{f}") for f in fields],
-        F.col("message_id").alias("mid"),
+    given = {
+        "internal_entity": F.col("entity"),
+        "institution": F.when(F.col("ord") % 3 == 0, F.lit("Elsewhere")).otherwise(F.col("institution")),
+        "message_id": F.col("message_id"),
+        "run_id": F.lit("run-1"),
+    }
+    records = rows.where(F.col("j").isNotNull()).select(
+        "ord", msg.present_fields(F.col("j.keys"), SYNONYMS).alias("keys"),
+        *[given.get(f.name, F.col(f"j.rec.{f.name}")).alias(f.name) for f in RECORD.fields],
     )
-    named = flat.select("mid", "ord", "keys", *[
-        (F.col("entity") if f == "internal_entity" else F.when(F.col("ord") % 3 == 0, F.lit("Elsewhere")).otherwise(F.col("institution")) if f == "institution"
-         else F.lit("run-1") if f == "run_id" else F.col("mid") if f == "message_id" else F.col(f"_{f}")).alias(f) for f in fields
-    ])
-    return val.with_allowed(named, views.accounts(spark, sf))
+    return val.with_allowed(records, views.accounts(spark, sf))
 
 
 @query
@@ -800,16 +797,15 @@ def stream_overlap_dedupe(spark, sf):
     schema = views.table(spark, sf, "events").schema
 
     def stream() -> DataFrame:
-        events = ingest.landed_stream(spark, sf, schema, pattern="events.parquet")
-        return events.withColumn("ts", F.col("ts").cast("timestamp"))
+        return ingest.landed_stream(spark, sf, schema, pattern="events.parquet")
 
-    both = stream().unionByName(stream().where(F.col("ts") >= F.lit("2024-01-20").cast("timestamp")))
-    guarded = ingest.drop_overlap(both.select("event_id", "ts", "user_id", "value"), "ts", "240 hours", "event_id")
+    both = stream().unionByName(stream().where(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")))
+    guarded = ingest.drop_overlap(both.select("event_id", "user_id", "value"), "240 hours", "event_id")
     out = stage_path(spark, "overlap")
     guarded.writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", stage_path(spark, "overlap-state")
     ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("event_id bigint, ts timestamp, user_id bigint, value double").parquet(out).select("event_id", "user_id", "value")
+    return spark.read.schema("event_id bigint, user_id bigint, value double").parquet(out)
 
 
 # --- plug-ins ----------------------------------------------------------------

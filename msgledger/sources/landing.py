@@ -106,15 +106,19 @@ def from_senders(messages: DataFrame, allowed: DataFrame | None, limits: Limits
     return keyed.where(F.col("_address_ok") | F.col("_domain_ok")).select(*messages.columns)
 
 
-def pdf_attachments(messages: DataFrame, top_level_only: bool = False) -> DataFrame:
+def pdf_attachments(messages: DataFrame, top_level_only: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One row per PDF attachment that can be fetched: message_id, part, filename, attachment_id.
 
     Parts are walked inside the row, to any depth unless only the top level is asked for.
+    ``keep`` carries message columns along, so that no join back is needed.
     """
-    parts = messages.select(F.col("id").alias("message_id"), F.posexplode(tx.all_parts(F.col("payload"))).alias("part", "p"))
+    parts = messages.select(
+        F.col("id").alias("message_id"), *keep, F.posexplode(tx.all_parts(F.col("payload"))).alias("part", "p")
+    )
     wanted = F.endswith(F.lower("p.filename"), F.lit(".pdf")) & (F.coalesce("p.attachmentId", F.lit("")) != "")
     if top_level_only:
         wanted = wanted & (F.col("p.depth") == 1)
     return parts.where(wanted).select(
-        "message_id", "part", F.col("p.filename").alias("filename"), F.col("p.attachmentId").alias("attachment_id")
+        "message_id", *keep, "part",
+        F.col("p.filename").alias("filename"), F.col("p.attachmentId").alias("attachment_id"),
     )

@@ -50,15 +50,16 @@ def run_incremental(
     query.awaitTermination()
 
 
-def drop_overlap(stream: DataFrame, time: str, overlap: str, key: str = "message_id", salts: int = 16) -> DataFrame:
-    """Drop re-read messages within the overlap, with state bounded by it.
+def drop_overlap(stream: DataFrame, overlap: str, key: str = "message_id", salts: int = 16) -> DataFrame:
+    """Drop messages read again within the overlap, with state bounded by it.
 
-    One id may have very many copies, so copies are first dropped per (id, input task):
-    what then meets in one place is at most ``salts`` rows per id. Ids older than the
-    overlap may come back; the id check against the ledger catches those.
+    The overlap is counted from when a message first came in, not from its own date, so a
+    message that arrives late is kept. An id may have very many copies: they are dropped
+    per (id, input task) first, so that at most ``salts`` rows per id meet in one place.
+    Ids older than the overlap may come back; the id check against the ledger catches those.
     """
-    marked = stream.withWatermark(time, overlap)
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", overlap)
     if salts > 1:
         salt = F.pmod(F.spark_partition_id(), F.lit(salts))
-        marked = marked.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-    return marked.dropDuplicatesWithinWatermark([key])
+        arrived = arrived.withColumn("_salt", salt).dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived")

@@ -197,12 +197,28 @@ def test_overlap_guard(spark, tmp_path):
     spark.range(100).select(F.concat(F.lit("m"), (F.col("id") % 60).cast("string")).alias("message_id"),
                             F.timestamp_seconds(1_700_000_000 + F.col("id") % 60).alias("ts")).repartition(4).write.parquet(f"{tmp_path}/in")
     stream = ingest.landed_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema, max_files=1)
-    ingest.drop_overlap(stream, "ts", "1 hour").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+    ingest.drop_overlap(stream, "1 hour").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
         "checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
     out = spark.read.schema(schema).parquet(f"{tmp_path}/out")
     assert out.count() == 60 and out.distinct().count() == 60
 
 
+def test_overlap_guard_keeps_late_messages(spark, tmp_path):
+    """A restart with old mail and copies: the old mail stays, the copies go."""
+    schema = "message_id string, ts timestamp"
+
+    def deliver(lo, hi, start):
+        spark.range(lo, hi).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("message_id"),
+                                   F.timestamp_seconds(F.lit(start) + F.col("id")).alias("ts")).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = ingest.landed_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+        ingest.drop_overlap(stream, "1 hour").writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+            "checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+
+    deliver(0, 50, 1_700_000_000)
+    deliver(40, 90, 1_000_000_000)
+    assert sorted(r["message_id"] for r in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()) == sorted(f"m{i}" for i in range(90))
+
+
 def test_batch_runs(spark, tmp_path):
     paths = Paths(f"{tmp_path}/ledger", f"{tmp_path}/flags", f"{tmp_path}/log")
     inbox = stage_table(views.answers(spark, SF).select("message_id", "ord", "body", "generated_text"), "test")

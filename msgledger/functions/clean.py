@@ -7,10 +7,12 @@ from msgledger.functions.text import let
 from msgledger.schema import MONEY
 
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_NUMERIC_DATE = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4})\b"
+_YEAR = r"(\d{4}|\d{2})(?!\d)"
+_NUMERIC_DATE = rf"^(\d{{1,2}})[-/. ](\d{{1,2}})[-/. ]{_YEAR}"
 _YEAR_FIRST = r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?!\d)"
-_DAY_MONTH = r"^(?:[A-Za-z]+,\s*)?(\d{1,2})(?:st|nd|rd|th)?[-\s]+([A-Za-z]{3})[a-z]*\.?,?[-\s]+(\d{4})\b"
-_MONTH_DAY = r"^(?:[A-Za-z]+,\s*)?([A-Za-z]{3})[a-z]*\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})\b"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?!\d)"
+_DAY_MONTH = rf"^(?:[A-Za-z]+,\s*)?(\d{{1,2}})(?:st|nd|rd|th)?[-\s]+([A-Za-z]{{3}})[a-z]*\.?,?[-\s]+{_YEAR}"
+_MONTH_DAY = rf"^(?:[A-Za-z]+,\s*)?([A-Za-z]{{3}})[a-z]*\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+{_YEAR}"
 
 
 def to_number(text: Column, to: T.DataType | str = MONEY) -> Column:
@@ -23,6 +25,14 @@ def _month(name: Column) -> Column:
     return F.when(at % 3 == 1, ((at + 2) / 3).cast("int"))
 
 
+def _full_year(year: Column) -> Column:
+    """Two digits mean the year nearest to today that ends in them (fewer than 50 years ahead)."""
+    now = F.year(F.current_date())
+    guess = (now / 100).cast("int") * 100 + year.cast("int")
+    near = F.when(guess >= now + 50, guess - 100).when(guess < now - 50, guess + 100).otherwise(guess)
+    return F.when(F.length(year) == 2, near.cast("string")).otherwise(year)
+
+
 def _ymd(y: Column, m: Column, d: Column) -> Column:
     two = [F.lpad(x.cast("string"), 2, "0") for x in (m, d)]
     return F.concat(y, F.lit("-"), two[0], F.lit("-"), two[1]).try_cast("date")
@@ -31,19 +41,27 @@ def _ymd(y: Column, m: Column, d: Column) -> Column:
 def to_date(text: Column) -> Column:
     """Free-form date; month first when both readings are possible."""
     def numeric(g: Column) -> Column:
-        first, second, year = F.get(g, 0).cast("int"), F.get(g, 1).cast("int"), F.get(g, 2)
+        first, second, year = F.get(g, 0).cast("int"), F.get(g, 1).cast("int"), _full_year(F.get(g, 2))
         return F.when(first <= 12, _ymd(year, first, second)).otherwise(_ymd(year, second, first))
 
     def groups(t: Column, pattern: str) -> Column:
         return F.array(*[F.regexp_extract(t, pattern, i) for i in (1, 2, 3)])
 
     def read(t: Column) -> Column:
-        return (
-            F.when(t.rlike(_YEAR_FIRST), let(groups(t, _YEAR_FIRST), lambda g: _ymd(F.get(g, 0), F.get(g, 1), F.get(g, 2))))
-            .when(t.rlike(_NUMERIC_DATE), let(groups(t, _NUMERIC_DATE), numeric))
-            .when(t.rlike(_DAY_MONTH), let(groups(t, _DAY_MONTH), lambda g: _ymd(F.get(g, 2), _month(F.get(g, 1)), F.get(g, 0))))
-            .when(t.rlike(_MONTH_DAY), let(groups(t, _MONTH_DAY), lambda g: _ymd(F.get(g, 2), _month(F.get(g, 0)), F.get(g, 1))))
+        def ymd(g: Column) -> Column:
+            return _ymd(F.get(g, 0), F.get(g, 1), F.get(g, 2))
+
+        readers = (
+            (_YEAR_FIRST, ymd),
+            (_COMPACT, ymd),
+            (_NUMERIC_DATE, numeric),
+            (_DAY_MONTH, lambda g: _ymd(_full_year(F.get(g, 2)), _month(F.get(g, 1)), F.get(g, 0))),
+            (_MONTH_DAY, lambda g: _ymd(_full_year(F.get(g, 2)), _month(F.get(g, 0)), F.get(g, 1))),
         )
+        found = F.lit(None).cast("date")
+        for pattern, reader in reversed(readers):
+            found = F.when(t.rlike(pattern), let(groups(t, pattern), reader)).otherwise(found)
+        return found
 
     return let(F.trim(text), read)
 

@@ -1,9 +1,11 @@
 """Digests of texts and rows."""
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 _BLANKS = " \t\n\r\x0b\x0c"
 
@@ -13,6 +15,15 @@ def text_digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+@F.pandas_udf(T.StringType())
+def blake2b_digest(texts: pd.Series) -> pd.Series:
+    """BLAKE2b-256 of a text, as hex, for logs that hold such digests already.
+
+    Spark has no such function; :func:`text_digest` does not leave the JVM.
+    """
+    return texts.map(lambda t: hashlib.blake2b(t.encode(), digest_size=32).hexdigest(), na_action="ignore")
+
+
 def row_digest(columns: Sequence[str]) -> Column:
     """Digest of one row: columns in alphabetical order, cells stripped, nulls as empty.
 

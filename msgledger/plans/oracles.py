@@ -153,11 +153,22 @@ _TRAILING = """scored AS (SELECT date, tx_count,
 _LEDGER_RUN = """good AS (SELECT * FROM parsed WHERE parse_path <> 'failed'),
   firsts AS (SELECT internal_account_number, min(ord) AS bucket_ord FROM good GROUP BY 1)"""
 
+# The body each MIME shape of the derived mail holds.
+_BODY = """CASE ord % 6 WHEN 0 THEN regexp_replace(text, '\\s+', ' ', 'g') || ' Terms & more €'
+    WHEN 3 THEN 'snippet ' || ord
+    WHEN 5 THEN regexp_replace(text, '\\s+', ' ', 'g') || ' end'
+    ELSE regexp_replace(text, '\\s+', ' ', 'g') END"""
+
 ORACLES: dict[str, str] = {
     # --- sources
     "message_filter_limit": _with(_NOTICES, _MAILBOX) + f"""
         SELECT message_id, ord, sender, subject, cast(sent_date AS varchar) AS sent_date FROM mailbox
         WHERE {_WANTED} ORDER BY ord LIMIT 500""",
+    "message_scan": _with(_NOTICES, _TEXTS) + f"""SELECT message_id, ord,
+        CASE WHEN ord % 3 < 2 THEN ord || '@bank.example' ELSE message_id END AS canonical_id,
+        'Bank <alerts@' || lower(institution) || '.example>' AS sender, 'transaction ' || status AS subject,
+        cast(CASE WHEN ord % 2 = 0 THEN day + 1 ELSE day END AS varchar) AS sent_date, 'INBOX|' || priority AS labels,
+        {_BODY} AS body FROM texts""",
     "message_filter": _with(_NOTICES, _MAILBOX) + f"SELECT sender, subject, count(*) AS n FROM mailbox WHERE {_WANTED} GROUP BY 1, 2",
     "sender_allowlist": """SELECT doc_id, source FROM documents WHERE source IN (
         SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY source HAVING count(*) % 2 = 1)""",
@@ -182,12 +193,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN o_orderkey % 3 < 2 THEN o_orderkey || '@bank.example' ELSE 'm' || o_orderkey END AS canonical_id FROM {_ORDERS}""",
     "sent_date": f"""SELECT 'm' || o_orderkey AS id, cast(cast(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + INTERVAL 1 DAY
         ELSE o_orderdate END AS date) AS varchar) AS sent_date FROM {_ORDERS}""",
-    "mime_body": _with(_NOTICES, _TEXTS) + """SELECT message_id AS id,
-        CASE WHEN ord % 6 = 0 THEN 'text/html' WHEN ord % 6 <> 3 THEN 'text/plain' END AS kind,
-        CASE ord % 6 WHEN 0 THEN replace(regexp_replace(text, '\\s+', ' ', 'g'), '  ', ' ') || ' Terms & more €'
-          WHEN 3 THEN 'snippet ' || ord
-          WHEN 5 THEN regexp_replace(text, '\\s+', ' ', 'g') || ' end'
-          ELSE regexp_replace(text, '\\s+', ' ', 'g') END AS body FROM texts""",
+    "mime_body": _with(_NOTICES, _TEXTS) + f"""SELECT message_id AS id,
+        CASE WHEN ord % 6 = 0 THEN 'text/html' WHEN ord % 6 <> 3 THEN 'text/plain' END AS kind, {_BODY} AS body FROM texts""",
     "html_text": f"SELECT page_id, trim(regexp_replace({_entities(_entities(_HTML))}, '\\s+', ' ', 'g')) AS text FROM pages",
     "collapse_space": "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM documents",
     "attach_text": _with(_NOTICES, _TEXTS) + """SELECT message_id, text || CASE

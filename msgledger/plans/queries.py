@@ -69,6 +69,19 @@ def message_filter_limit(spark, sf):
     )
 
 
+@query
+def message_scan(spark, sf):
+    """Raw mail as JSON lines, read back with its nested payload, then headers, date and body."""
+    mails = views.mail(spark, sf)
+    head = F.to_json(F.struct("id", "internalDate", "snippet", "labels", "ord"))
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"payload":'), "payload", F.lit("}"))
+    path = stage_path(spark, "mail")
+    mails.select(line.alias("value")).write.text(path)
+    return msg.read_messages(landing.scan_messages(spark, path)).select(
+        "message_id", "ord", "canonical_id", "sender", "subject", day("sent_date"), words("labels"), "body"
+    )
+
+
 @query
 def message_filter(spark, sf):
     cond = landing.query_filter({"subject": "transaction", "after": "1997/01/01"}, label="1-URGENT",

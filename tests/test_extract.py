@@ -116,6 +116,7 @@ def test_coercion(column):
         "2024-01-05": (2024, 1, 5), "01/02/2024": (2024, 1, 2), "13/02/2024": (2024, 2, 13), "5 Jan 2024": (2024, 1, 5),
         "January 5, 2024": (2024, 1, 5), "Fri, 5 Jan 2024 10:00": (2024, 1, 5), "2024/01/05": (2024, 1, 5),
         "2024-01-05T10:00:00Z": (2024, 1, 5), "5th March 2023": (2023, 3, 5), "02-30-2024": None, "soon": None, "1 Foo 2024": None,
+        "20240105": (2024, 1, 5), "01/02/24": (2024, 1, 2), "5 Jan 99": (1999, 1, 5), "2024010": None, "01/02/202": None,
     }
     assert column(clean.to_date, list(dates)) == [date(*d) if d else None for d in dates.values()]
     assert column(clean.account_number, ["12345.0", "12.5", "x.0", "007.0", None]) == ["12345", "12.5", "x.0", "007", None]

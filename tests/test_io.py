@@ -234,6 +234,14 @@ def test_batch_runs(spark, tmp_path):
     assert ids == list(range(1, len(ids) + 1))
 
 
+def test_empty_batch(spark, tmp_path):
+    paths = Paths(f"{tmp_path}/ledger", f"{tmp_path}/flags", f"{tmp_path}/log")
+    inbox = spark.createDataFrame([], "message_id string, ord bigint, body string, generated_text string")
+    row = batch_run(inbox, src.accounts_from(spark, []), "r1", paths).first()
+    assert (row["fetched"], row["written"], row["last_transaction"]) == (0, 0, None)
+    assert sinks.read_ledger(spark, paths.ledger, LEDGER).count() == 0
+
+
 def test_replicate_run(spark):
     messages = spark.createDataFrame([("a",), ("b",)], "message_id string")
 

@@ -141,6 +141,18 @@ def test_folder_fingerprint_depends_on_each_table(spark):
     assert one != fp.folder_fingerprint({"a": b, "b": a}).first() and one["n_rows"] == 14
 
 
+def test_text_digests(spark):
+    import hashlib
+
+    from msgledger.functions.digest import blake2b_digest, text_digest
+
+    df = spark.createDataFrame([("é x",), (None,)], "t string")
+    got = df.select(text_digest(F.col("t")).alias("a"), blake2b_digest(F.col("t")).alias("b")).collect()
+    assert got[0]["a"] == hashlib.sha256("é x".encode()).hexdigest()
+    assert got[0]["b"] == hashlib.blake2b("é x".encode(), digest_size=32).hexdigest()
+    assert got[1]["b"] is None
+
+
 def test_canonical_order(spark):
     df = spark.createDataFrame([("b", "2024-01-02", 1), ("a", "2024-01-02", 2), ("z", "2024-01-01", 3)], "z string, date string, a int")
     out = fp.canonical_order(df)

@@ -18,9 +18,7 @@ NUMBER = r"\d{1,3}(?:[ ,]\d{3})*(?:[.,]\d{2})|\d+(?:[.,]\d{2})"
 AMOUNT = rf"(?iu)({CURRENCY}){SPACE}?({NUMBER})|({NUMBER}){SPACE}?({CURRENCY})"
 ISO_DATE = r"(?U)\b(\d{4}-\d{2}-\d{2})\b"
 MASKED_LAST4 = r"\*{2,}(\d{4})"
-BALANCE_LABEL = r"(?:Available\s*balance|Balance\s*after\s*.*?transaction|New\s*balance)"
-BALANCE = rf"(?iudU){BALANCE_LABEL}[^\d]*{SPACE}?({NUMBER})"
-BALANCE_WITH_CURRENCY = rf"(?iudU){BALANCE_LABEL}[^\d]*?({CURRENCY})?{SPACE}?({NUMBER})"
+BALANCE_LABELS = (r"Available\s*balance", r"Balance\s*after\s*.*?transaction", r"New\s*balance")
 SIMPLE_BALANCE = r"(?iu)Available balance[^\d]{0,20}?(?:R|ZAR)?\s*([\d.,]+)"
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1c-\x1e\x85\u2028\u2029]"
 COUNTERPARTY_CHARS = 50
@@ -84,14 +82,24 @@ def balance(text: Column, with_currency: bool = False) -> Column:
     The label pattern eats everything up to the first digit, so by default no currency
     is read; ``with_currency`` reads it.
     """
-    pattern = BALANCE_WITH_CURRENCY if with_currency else BALANCE
+    def pattern_of(labels: Sequence[str]) -> str:
+        gap = rf"[^\d]*?({CURRENCY})?" if with_currency else r"[^\d]*"
+        return rf"(?iudU)(?:{'|'.join(labels)}){gap}{SPACE}?({NUMBER})"
+
+    pattern = pattern_of(BALANCE_LABELS)
+    # Without its last word the second label cannot match, and looking for it in vain from
+    # every 'Balance after' would read a long line many times over.
+    short = pattern_of((BALANCE_LABELS[0], BALANCE_LABELS[2]))
+    match = F.when(text.rlike(r"(?iu)transaction"), F.regexp_extract(text, pattern, 0)).otherwise(
+        F.regexp_extract(text, short, 0)
+    )
 
     def read(match: Column) -> Column:
         number = _group(match, pattern, 2 if with_currency else 1)
         code = _group(match, pattern, 1) if with_currency else F.lit(None).cast("string")
         return F.struct(clean_number(number).alias("balance"), F.upper(code).alias("currency"))
 
-    return let(F.regexp_extract(text, pattern, 0), read)
+    return let(match, read)
 
 
 def simple_balance(text: Column) -> Column:

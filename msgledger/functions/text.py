@@ -271,8 +271,15 @@ def unescape(text: Column, times: int = 1) -> Column:
 
 def strip_markup(source: Column) -> Column:
     """HTML source -> its text with the markup blanked out, entities still encoded."""
-    visible = F.regexp_replace(source, _HIDDEN, " ")
-    return F.regexp_replace(F.regexp_replace(visible, _COMMENT, " "), _TAG, " ")
+    visible = F.regexp_replace(F.regexp_replace(source, _HIDDEN, " "), _COMMENT, " ")
+
+    def blank_tags(text: Column) -> Column:
+        # No tag ends behind the last '>'; not looking there keeps open tags linear.
+        tail = F.substring_index(text, ">", -1)
+        head = F.substring(text, F.lit(1), F.length(text) - F.length(tail))
+        return F.concat(F.regexp_replace(head, _TAG, " "), tail)
+
+    return let(visible, blank_tags)
 
 
 def html_text(source: Column) -> Column:

@@ -119,6 +119,8 @@ def test_html(column):
         "<template><p>t</p></template>u": "u",
         "<br/>": "",
         "open <script>never closed": "open",
+        "a <b>c</b> d <p class": "a c d <p class",
+        "<p " * 20000 + "x": ("<p " * 20000 + "x"),
     }
     assert column(tx.html_text, list(cases)) == list(cases.values())
 

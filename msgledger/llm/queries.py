@@ -3,9 +3,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import quality
+from msgledger.llm import lines, quality, token_counts
 from msgledger.llm.common import documents
 
 
@@ -13,8 +14,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select("doc_id", "result.n_lines", "result.n_dropped", F.sha2("result.text", 256).alias("kept_sha256"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -64,5 +76,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND word_length <= coalesce(hi_length, word_length) AND word_length >= coalesce(lo_length, word_length)
     AND dup_line_share <= coalesce(hi_dup, dup_line_share) AND repeat_share <= coalesce(hi_repeat, repeat_share) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+""",
+    "op7_line_dedup": r"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM cut),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+shared AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+           GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT doc_id, line, pos, keeper IS NOT NULL AND keeper <> doc_id AS lost FROM k LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+FROM j GROUP BY doc_id
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import lines, quality, token_counts
+from msgledger.llm import language, lines, pieces, quality, token_counts
 from msgledger.llm.common import documents
 
 
@@ -19,14 +19,26 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "result.n_lines", "result.n_dropped", F.sha2("result.text", 256).alias("kept_sha256"))
 
 
+def op8_piece_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.summary(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", language.held_out().alias("held_out"))
+    learned = language.fit(docs.where(~F.col("held_out")))
+    return language.predict(docs.select("doc_id", "text", "held_out"), learned).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op7_line_dedup": op7_line_dedup,
+    "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {

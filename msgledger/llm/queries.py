@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, lines, pieces, quality, token_counts
+from msgledger.llm import language, lines, mixing, pieces, quality, token_counts
 from msgledger.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "result.n_lines", "result.n_dropped", F.sha2("result.text", 256).alias("kept_sha256"))
@@ -35,6 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,
@@ -88,6 +93,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND word_length <= coalesce(hi_length, word_length) AND word_length >= coalesce(lo_length, word_length)
     AND dup_line_share <= coalesce(hi_dup, dup_line_share) AND repeat_share <= coalesce(hi_repeat, repeat_share) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+""",
+    "op4_source_mixing": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+             ('0x' || substr(md5('mix-1|' || coalesce(source, '\N') || '|' || doc_id), 1, 15))::BIGINT AS u FROM documents),
+b0 AS (SELECT *, u >> 50 AS block FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS cap,
+        row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+f AS (SELECT *, row_number() OVER (ORDER BY cap::DOUBLE / weight, place) AS rn,
+        (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+        / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+      FROM w),
+l AS (SELECT min_by(level, rn) AS level FROM f WHERE level * weight < cap),
+t AS (SELECT source, source_size, least(cap::DOUBLE, coalesce((SELECT level FROM l) * weight, cap::DOUBLE)) AS target FROM f),
+blocks AS (SELECT source, block, sum(size)::BIGINT AS words,
+             ('0x' || substr(md5('mix-1|block|' || coalesce(source, '\N') || '|' || block), 1, 15))::BIGINT AS drawn
+           FROM b0 GROUP BY source, block),
+q AS (SELECT b.*, floor(target)::BIGINT // source_size AS passes, floor(target)::BIGINT % source_size AS rest,
+        sum(words) OVER (PARTITION BY b.source ORDER BY drawn, block) - words AS before
+      FROM blocks b JOIN t ON b.source IS NOT DISTINCT FROM t.source WHERE source_size > 0),
+r AS (SELECT *, greatest(least(rest - before, words), 0)::BIGINT AS room FROM q),
+x AS (SELECT doc_id, b0.source, size, passes, room, words,
+        sum(size) OVER (PARTITION BY b0.source, b0.block ORDER BY u, doc_id) - size AS ahead
+      FROM b0 LEFT JOIN r ON b0.source IS NOT DISTINCT FROM r.source AND b0.block = r.block)
+SELECT doc_id, size, source_size, target, coalesce(passes * size
+    + CASE WHEN room = words THEN size ELSE greatest(least(room - ahead, size), 0) END, 0)::BIGINT AS taken
+FROM x JOIN t ON x.source IS NOT DISTINCT FROM t.source
 """,
     "op7_line_dedup": r"""
 WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, lines, mixing, pieces, quality, token_counts
+from msgledger.llm import language, lines, mixing, pieces, quality, simhash, token_counts
 from msgledger.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir))
 
 
+def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(documents(spark, sf_dir))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "result.n_lines", "result.n_dropped", F.sha2("result.text", 256).alias("kept_sha256"))
@@ -40,6 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_source_mixing": op4_source_mixing,
+    "op5_simhash_neardup": op5_simhash_neardup,
     "op7_line_dedup": op7_line_dedup,
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,

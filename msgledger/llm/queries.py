@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, lines, mixing, pieces, quality, simhash, token_counts
+from msgledger.llm import language, lines, mixing, pieces, quality, simhash, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -14,6 +14,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir))
 
@@ -43,6 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_exact_topk": op3_exact_topk,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_neardup": op5_simhash_neardup,
     "op7_line_dedup": op7_line_dedup,
@@ -98,6 +104,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND word_length <= coalesce(hi_length, word_length) AND word_length >= coalesce(lo_length, word_length)
     AND dup_line_share <= coalesce(hi_dup, dup_line_share) AND repeat_share <= coalesce(hi_repeat, repeat_share) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+""",
+    "op3_exact_topk": r"""
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([z[1] * z[2] FOR z IN list_zip(q.e, c.e)])::BIGINT AS score
+      FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
 """,
     "op4_source_mixing": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, lines, mixing, pieces, quality, simhash, token_counts, topk
+from msgledger.llm import language, license_scan, lines, mixing, pieces, quality, simhash, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir), license_scan.template_table(spark))
+
+
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return topk.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
@@ -48,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scan": op2_license_scan,
     "op3_exact_topk": op3_exact_topk,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_neardup": op5_simhash_neardup,
@@ -57,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
+_NOTICES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
@@ -104,6 +111,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND word_length <= coalesce(hi_length, word_length) AND word_length >= coalesce(lo_length, word_length)
     AND dup_line_share <= coalesce(hi_dup, dup_line_share) AND repeat_share <= coalesce(hi_repeat, repeat_share) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source
+""",
+    "op2_license_scan": rf"""
+WITH n AS (SELECT * FROM (VALUES {_NOTICES}) v(template, text)),
+tw AS (SELECT template, string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM n),
+ts AS (SELECT template, w, len(w) - 4 AS size, unnest(range(1, len(w) - 3)) AS i FROM tw),
+t AS (SELECT DISTINCT template, size, array_to_string(w[i:i + 4], ' ') AS g FROM ts),
+c AS (SELECT template, count(*) AS total, (CASE WHEN any_value(size) = 1 THEN 1 ELSE 1 << length(bin(any_value(size) - 1)) END)::BIGINT AS span
+      FROM t GROUP BY template),
+dw AS (SELECT doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM documents),
+ds AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw),
+d AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS g FROM ds),
+m AS (SELECT doc_id, template, g, total, span, unnest([pos // span, greatest(pos // span - 1, 0)]) AS k
+      FROM d JOIN t USING (g) JOIN c USING (template)),
+x AS (SELECT doc_id, template, k * span AS first, count(DISTINCT g) / any_value(total) AS share
+      FROM m GROUP BY doc_id, template, k, span)
+SELECT doc_id, template, max(share) AS containment, min(first)::BIGINT AS first_word
+FROM x WHERE share >= 0.8 GROUP BY doc_id, template
 """,
     "op3_exact_topk": r"""
 WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings

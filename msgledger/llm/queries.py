@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, license_scan, lines, mixing, pieces, quality, simhash, token_counts, topk
+from msgledger.llm import language, license_scan, lines, mixing, pieces, quality, repeats, simhash, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -31,6 +31,11 @@ def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(documents(spark, sf_dir))
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(documents(spark, sf_dir), keep_bytes=False)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.col("left").alias("kept_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "result.n_lines", "result.n_dropped", F.sha2("result.text", 256).alias("kept_sha256"))
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_topk": op3_exact_topk,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_neardup": op5_simhash_neardup,
+    "op6_repeated_strings": op6_repeated_strings,
     "op7_line_dedup": op7_line_dedup,
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,

@@ -15,11 +15,10 @@ from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from msgledger.llm.common import stage_table
+from msgledger.llm.common import map_arrow, stage_table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
@@ -131,14 +130,15 @@ def placements(takings: DataFrame, shards: int = SHARDS, seed: str = SEED) -> Da
     names, counts = [q["s"] for q in quotas], np.array([q["n"] for q in quotas], np.int64)
     number = int.from_bytes(seed.encode(), "big") % (1 << 63)
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for shard in batch["id"]:
-                start, size = split(counts, shards, int(shard), number)
-                has = np.flatnonzero(size)
-                yield pd.DataFrame({"p": [names[k] for k in has], "first": start[has], "size": size[has], "shard": int(shard)})
+    def walk(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for shard in batch.column(0).to_pylist():
+            start, size = split(counts, shards, shard, number)
+            has = np.flatnonzero(size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[k] for k in has], pa.string()), pa.array(start[has]), pa.array(size[has]),
+                 pa.array(np.full(len(has), shard, np.int32))], ["p", "first", "size", "shard"])
 
-    stretches = spark.range(shards).mapInPandas(walk, "p string, first long, size long, shard int").select(
+    stretches = map_arrow(spark.range(shards), walk, "p string, first long, size long, shard int").select(
         "p", "shard", F.explode(F.expr("sequence(first, first + size - 1)")).alias("at"))
     return numbered.join(stretches, _same(F.col("s"), F.col("p")) & (F.col("pos") == F.col("at"))).select(
         "s", "block", "epoch", "cut", "shard")

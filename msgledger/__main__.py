@@ -33,7 +33,8 @@ def inbox(spark: SparkSession, args) -> DataFrame:
     if args.max_results:
         messages = landing.first_messages(messages, args.max_results)
     generated = spark.read.schema("message_id string, generated_text string").format(args.format).load(args.generated)
-    return messages.join(generated, "message_id", "left").select("message_id", "ord", "body", "generated_text")
+    return messages.join(generated, "message_id", "left").select(
+        "message_id", "ord", "sender", "subject", "body", "generated_text")
 
 
 def accounts(spark: SparkSession, path: str) -> DataFrame:
@@ -79,7 +80,7 @@ def replicates(spark: SparkSession, args) -> None:
         start = time.time()
         parsed = stage_table(parse_messages(rows, listed, f"replicate-{n}"), "replicate")
         latency = int((time.time() - start) * 1000)
-        fields = [c for c in parsed.columns if c not in ("ord", "errors", "parse_path")]
+        fields = [c for c in parsed.columns if c not in ("ord", "sender", "subject", "errors", "parse_path")]
         record = F.map_from_arrays(
             F.array(*[F.lit(c) for c in fields]), F.array(*[F.col(c).cast("string") for c in fields])
         )

@@ -10,6 +10,7 @@ _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _YEAR = r"(\d{4}|\d{2})(?!\d)"
 _NUMERIC_DATE = rf"^(\d{{1,2}})[-/. ](\d{{1,2}})[-/. ]{_YEAR}"
 _YEAR_FIRST = r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?!\d)"
+_SCIENTIFIC = r"^\d(?:\.\d+)?[eE]\+?\d{1,2}$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?!\d)"
 _DAY_MONTH = rf"^(?:[A-Za-z]+,\s*)?(\d{{1,2}})(?:st|nd|rd|th)?[-\s]+([A-Za-z]{{3}})[a-z]*\.?,?[-\s]+{_YEAR}"
 _MONTH_DAY = rf"^(?:[A-Za-z]+,\s*)?([A-Za-z]{{3}})[a-z]*\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+{_YEAR}"
@@ -76,8 +77,16 @@ def coerce(value: Column, to: T.DataType) -> Column:
 
 
 def account_number(value: Column) -> Column:
-    """'12345.0' -> '12345'; anything else stays."""
-    return F.regexp_replace(value, r"^(\d+)\.0$", "$1")
+    """'12345.0' -> '12345', and the same in scientific notation; anything else stays.
+
+    JSON numbers with a point come back as doubles, from 10^7 on with an exponent.
+    """
+    def plain(v: Column) -> Column:
+        number = F.when(v.rlike(_SCIENTIFIC), v.try_cast("decimal(38,8)"))
+        whole = F.when(number == F.floor(number), F.floor(number).cast("string"))
+        return F.coalesce(whole, F.regexp_replace(v, r"^(\d+)\.0$", "$1"))
+
+    return let(value, plain)
 
 
 def account_number_of(value: Column, dtype: T.DataType) -> Column:

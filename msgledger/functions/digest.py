@@ -27,10 +27,12 @@ def blake2b_digest(texts: pd.Series) -> pd.Series:
 def row_digest(columns: Sequence[str]) -> Column:
     """Digest of one row: columns in alphabetical order, cells stripped, nulls as empty.
 
-    Each cell is written as ``length:cell`` so that no two rows share a text.
+    Names and cells are written as ``length:text`` so that no two rows share a text, and equal
+    cells under other names are another row.
     """
     cells = []
     for name in sorted(columns):
+        cells.append(F.lit(f"{len(name)}:{name}"))
         cell = F.coalesce(F.btrim(F.col(f"`{name}`").cast("string"), F.lit(_BLANKS)), F.lit(""))
         cells.append(F.concat(F.length(cell).cast("string"), F.lit(":"), cell))
     return F.sha2(F.concat(*cells), 256)

@@ -44,7 +44,7 @@ def _fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             step = c * d
             h *= step
-        if abs(step - 1) < 1e-15 or m > 10_000_000:
+        if abs(step - 1) < 1e-15:
             return h
 
 

@@ -211,13 +211,23 @@ def all_parts(payload: Column) -> Column:
 
 
 def decode_base64url(data: Column) -> Column:
-    """base64url -> text; bytes that are not UTF-8 are left out."""
+    """base64url -> text; bytes that are not UTF-8 are left out, what is no base64 gives null.
+
+    Padding may be missing, and blanks are ignored.
+    """
     def clean(text: Column) -> Column:
         return F.when(F.is_valid_utf8(text), text).otherwise(
             F.replace(F.make_valid_utf8(text), F.lit("�"), F.lit(""))
         )
 
-    return let(F.unbase64(F.translate(data, "-_", "+/")).cast("string"), clean)
+    def decode(packed: Column) -> Column:
+        bare = F.rtrim(packed, F.lit("="))
+        padded = F.concat(bare, F.repeat(F.lit("="), F.pmod(-F.length(bare), F.lit(4))))
+        valid = bare.rlike(r"^[A-Za-z0-9+/]*$") & (F.length(bare) % 4 != 1)
+        return let(F.when(valid, F.try_to_binary(padded, F.lit("base64"))).cast("string"), clean)
+
+    # Blanks are dropped, the two letters of the URL alphabet replaced.
+    return let(F.translate(data, "-_ \t\r\n", "+/"), decode)
 
 
 # --- HTML --------------------------------------------------------------------
@@ -288,10 +298,13 @@ def html_text(source: Column) -> Column:
 
 
 def body_text(kind: Column, data: Column, snippet: Column) -> Column:
-    """Readable body from a chosen part, else the snippet, else an empty text."""
+    """Readable body from a chosen part, else the snippet, else an empty text.
+
+    A part that cannot be decoded counts as none.
+    """
     decoded = decode_base64url(data)
     is_html = kind == "text/html"
     source = F.when(is_html, strip_markup(decoded))
     plain = F.when(is_html, F.lit(None)).otherwise(decoded)
     text = collapse(F.coalesce(unescape(source, 2), unescape(plain)))
-    return F.when(data.isNotNull(), text).otherwise(F.coalesce(snippet, F.lit("")))
+    return F.coalesce(text, snippet, F.lit(""))

@@ -23,18 +23,20 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     """One row: ``n_rows`` and ``fingerprint`` of the table as a multiset of rows.
 
     Row digests are added up word by word modulo 2^64, so each task sends on one row
-    whatever the size or skew, and copies count as often as they occur.
+    whatever the size or skew, and copies count as often as they occur. The sums hold 10^18
+    rows. A table without rows is told from others by its column names, too.
     """
     words = df.select(row_digest(df.columns).alias("h")).select(*[
-        F.conv(F.substring("h", 1 + i * _WORD_HEX, _WORD_HEX), 16, 10).cast("decimal(20,0)").alias(f"w{i}")
+        F.conv(F.substring("h", 1 + i * _WORD_HEX, _WORD_HEX), 16, 10).cast("decimal(38,0)").alias(f"w{i}")
         for i in range(_WORDS)
     ])
     sums = words.agg(
         F.count("*").alias("n_rows"),
-        *[F.coalesce(F.sum(f"w{i}"), F.lit(0)).cast("decimal(38,0)").alias(f"s{i}") for i in range(_WORDS)],
+        # Null only without rows: a sum that overflows must not pass for zero.
+        *[F.when(F.count("*") == 0, F.lit(0).cast("decimal(38,0)")).otherwise(F.sum(f"w{i}")).alias(f"s{i}") for i in range(_WORDS)],
     )
     parts = [F.col(f"s{i}") % F.lit(_MODULUS) for i in range(_WORDS)]
-    text = F.concat_ws(":", F.col("n_rows").cast("string"), *[p.cast("decimal(20,0)").cast("string") for p in parts])
+    text = F.concat_ws(":", F.lit(",".join(sorted(df.columns))), F.col("n_rows").cast("string"), *[p.cast("decimal(20,0)").cast("string") for p in parts])
     return sums.select("n_rows", F.sha2(text, 256).alias("fingerprint"))
 
 

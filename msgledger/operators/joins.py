@@ -33,15 +33,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
 
 
 def hottest(df: DataFrame, keys: Sequence[str], limits: Limits) -> list[Row]:
-    """The hot keys with their counts, hottest first, as many as may be broadcast.
+    """The hot keys with their counts, hottest first.
 
-    The list only chooses which rows take the split path; keys left out of it take the
-    ordinary path and give the same result.
+    A key is hot above ``hot_key_rows`` rows and above its share of all rows divided by
+    ``broadcast_rows``; no more than ``broadcast_rows`` keys can be, so none is cut off and
+    the list may be broadcast.
     """
-    return (
-        hot_keys(df, keys, limits.hot_key_rows).orderBy(F.desc("n"), *keys)
-        .limit(max(limits.broadcast_rows, 1)).collect()
-    )
+    counts = hot_keys(df, keys, 0)
+    top = counts.agg(F.max("n").alias("top"), F.sum("n").alias("every")).first()
+    least = max(limits.hot_key_rows, (top["every"] or 0) // max(limits.broadcast_rows, 1))
+    if (top["top"] or 0) <= least:
+        return []
+    return sorted(counts.where(F.col("n") > least).collect(), key=lambda r: -r["n"])
 
 
 def lookup(

@@ -10,6 +10,11 @@ from msgledger.options import LIMITS, Limits
 ACCOUNT = "internal_account_number"
 
 
+def account_key() -> Column:
+    """Rows without an account are one account, whether null or empty."""
+    return F.coalesce(F.col(ACCOUNT), F.lit(""))
+
+
 # --- duplicates --------------------------------------------------------------
 
 def dedupe_batch(rows: DataFrame, key: str = "message_id", order: str = "ord",
@@ -63,7 +68,7 @@ def _first_base(running: Column, mode: str) -> Column:
 
 def _fill_by_window(rows: DataFrame, order: list[str], mode: str, forward_only: bool) -> DataFrame:
     """One shuffle by account; the frames run over the same sorted rows."""
-    by_account = Window.partitionBy(ACCOUNT).orderBy(*order)
+    by_account = Window.partitionBy(account_key()).orderBy(*order)
     so_far = by_account.rowsBetween(Window.unboundedPreceding, 0)
     # The whole partition, not "from here on": that frame is evaluated once per account,
     # and only rows before the first known balance use it.
@@ -85,18 +90,19 @@ def _fill_by_chunks(rows: DataFrame, order: list[str], mode: str, forward_only:
     The account's rows are cut into contiguous pieces, each piece is filled on its own, and
     one summary row per (account, piece) carries totals and known balances across pieces.
     """
-    placed = ordered_chunks(rows, [ACCOUNT, *order], chunks, "balances")
-    in_chunk = Window.partitionBy(ACCOUNT, "_chunk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_account", account_key())
+    placed = ordered_chunks(rows, ["_account", *order], chunks, "balances")
+    in_chunk = Window.partitionBy("_account", "_chunk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumn("_s", F.sum(_amount()).over(in_chunk)).withColumn(
         "_last", F.last(F.col("available_balance") - F.col("_s"), ignorenulls=True).over(in_chunk)
     )
     known_at = F.when(F.col("available_balance").isNotNull(), F.col("_pos"))
-    summary = local.groupBy(ACCOUNT, "_chunk").agg(
+    summary = local.groupBy("_account", "_chunk").agg(
         F.sum(_amount()).alias("_total"),
         F.max_by(F.col("available_balance") - F.col("_s"), known_at).alias("_chunk_last"),
         F.min_by(_first_base(F.col("_s"), mode), known_at).alias("_chunk_first"),
     )
-    pieces = Window.partitionBy(ACCOUNT).orderBy("_chunk")
+    pieces = Window.partitionBy("_account").orderBy("_chunk")
     before = pieces.rowsBetween(Window.unboundedPreceding, -1)
     whole = pieces.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carried = (
@@ -106,15 +112,15 @@ def _fill_by_chunks(rows: DataFrame, order: list[str], mode: str, forward_only:
             "_first": F.lit(None).cast("decimal(28,2)") if forward_only
             else F.first(F.col("_chunk_first") - F.col("_base"), ignorenulls=True).over(whole),
         })
-        # Null-safe account key for the join back: the piece number alone is not unique.
-        .select(F.struct(ACCOUNT, "_chunk").alias("_piece"), "_base", "_carry", "_first")
+        # The piece number alone is not unique.
+        .select(F.struct("_account", "_chunk").alias("_piece"), "_base", "_carry", "_first")
     )
-    keyed = local.withColumn("_piece", F.struct(ACCOUNT, "_chunk"))
+    keyed = local.withColumn("_piece", F.struct("_account", "_chunk"))
     joined = lookup(keyed, carried, ["_piece"], "left", limits)
     total = F.col("_base") + F.col("_s")
     last_base = F.coalesce(F.col("_last") - F.col("_base"), F.col("_carry"))
     filled = _filled(F.col("available_balance"), last_base, F.col("_first"), total, _amount(), mode)
-    return joined.withColumn("available_balance", filled).select(*rows.columns)
+    return joined.withColumn("available_balance", filled).select(*[c for c in rows.columns if c != "_account"])
 
 
 def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False,
@@ -126,12 +132,13 @@ def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False
     the others are split in order over many tasks. A missing amount counts as zero.
     ``count_on``: a frame with the same rows that is cheaper to count.
     """
-    hot = hottest(rows if count_on is None else count_on, [ACCOUNT], limits)
+    counted = (rows if count_on is None else count_on).select(account_key().alias(ACCOUNT))
+    hot = hottest(counted, [ACCOUNT], limits)
     if not hot:
         return _fill_by_window(rows, list(order), mode, forward_only)
     spark = rows.sparkSession
     names = spark.createDataFrame([(r[ACCOUNT],) for r in hot], "hot_account string")
-    is_hot = F.col(ACCOUNT).eqNullSafe(F.col("hot_account"))
+    is_hot = account_key() == F.col("hot_account")
     hot_rows = rows.join(F.broadcast(names), is_hot, "left_semi")
     cold_rows = rows.join(F.broadcast(names), is_hot, "left_anti")
     chunks = chunk_count(sum(r["n"] for r in hot), limits)
@@ -144,9 +151,8 @@ def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False
 
 def bucket_order(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Adds ``bucket_ord``: where the row's account first appears in the input."""
-    key = F.coalesce(F.col(ACCOUNT), F.lit("")).alias("_bucket")
-    first = rows.groupBy(key).agg(F.min("ord").alias("bucket_ord"))
-    keyed = rows.withColumn("_bucket", F.coalesce(F.col(ACCOUNT), F.lit("")))
+    first = rows.groupBy(account_key().alias("_bucket")).agg(F.min("ord").alias("bucket_ord"))
+    keyed = rows.withColumn("_bucket", account_key())
     return lookup(keyed, first, ["_bucket"], "inner", limits).drop("_bucket")
 
 

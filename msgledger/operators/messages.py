@@ -121,7 +121,8 @@ def present_fields(keys: Column, synonyms: Mapping[str, Sequence[str]]) -> Colum
 def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, options: Options = Options()) -> DataFrame:
     """Hybrid parse: the generated JSON if it is valid, else what the text patterns read.
 
-    ``messages``: message_id, ord, body, generated_text. Returns the record columns plus ord,
+    ``messages``: message_id, ord, body, generated_text; sender and subject are carried along
+    where they are there. Returns the record columns plus ord,
     parse_path ('json', 'regex' or 'failed') and errors (why the JSON was not used).
     Every step is narrow except the look-ups in the account table. Rows of path 'failed'
     carry no fields; they are there to be flagged.
@@ -132,15 +133,16 @@ def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, option
     raw = {f: F.col(f"_json.rec.{f}") for f in fields}
     raw["message_id"], raw["run_id"] = F.col("message_id"), F.lit(run_id)
     raw["internal_account_number"] = account_number(raw["internal_account_number"])
+    shown = [c for c in ("sender", "subject") if c in messages.columns]
     flat = decoded.select(
-        "ord", "body",
+        "ord", "body", *shown,
         F.col("_json").isNotNull().alias("_found"),
         present_fields(F.col("_json.keys"), syn).alias("_keys"),
         *[raw[f].alias(f) for f in fields],
     )
     resolved = resolve_accounts(flat, accounts, options.mask, options.limits, check_allowed=True)
     typed = resolved.withColumn("_rec", typed_record()).select(
-        "ord", "body", "message_id", "_rec",
+        "ord", "body", *shown, "message_id", "_rec",
         F.when(F.col("_found"), record_errors(F.col("_keys"), F.col("_rec")))
         .otherwise(F.array(F.lit("no JSON object"))).alias("errors"),
     )
@@ -161,7 +163,7 @@ def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, option
         )
 
     return both.withColumn("parse_path", path).select(
-        *[pick(f).alias(f.name) for f in RECORD.fields], "ord", "parse_path", "errors"
+        *[pick(f).alias(f.name) for f in RECORD.fields], "ord", *shown, "parse_path", "errors"
     )
 
 
@@ -170,7 +172,7 @@ def unparsed_flags(parsed: DataFrame) -> DataFrame:
     sender = F.col("sender") if "sender" in parsed.columns else F.lit("")
     subject = F.col("subject") if "subject" in parsed.columns else F.lit("")
     return parsed.where(F.col("parse_path") == "failed").select(
-        "run_id", "message_id", sender.alias("sender"), subject.alias("subject"),
+        "run_id", "message_id", F.coalesce(sender, F.lit("")).alias("sender"), F.coalesce(subject, F.lit("")).alias("subject"),
         F.lit("All parsers failed").alias("reason"),
     )
 

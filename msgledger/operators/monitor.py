@@ -1,7 +1,6 @@
 """Control charts over runs and days."""
 from __future__ import annotations
 
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -98,16 +97,3 @@ def run_summary(batch: DataFrame, run_id: str | Column) -> DataFrame:
         F.count_if(written).alias("written"),
         F.max(F.when(written, F.col("date"))).alias("last_transaction"),
     ).select(run.alias("run_id"), "*")
-
-
-def batch_summary(parsed: DataFrame, run_id: str, written: int, last: date | None) -> DataFrame:
-    """The same row from a parse result and what of it was written: no row-by-row matching."""
-    ok = F.col("parse_path") != "failed"
-    return parsed.agg(
-        F.count("*").alias("fetched"), F.count_if(ok).alias("parsed"),
-        (F.count_if(ok) - F.lit(written)).alias("duplicate"),
-        F.count_if(~ok).alias("failed"),
-    ).select(
-        F.lit(run_id).alias("run_id"), "*", F.lit(written).cast("bigint").alias("written"),
-        F.lit(last).cast("date").alias("last_transaction"),
-    )

@@ -64,15 +64,17 @@ def missing_fields(schema: T.StructType = RECORD, also: Sequence[str] = ("availa
 
 
 def missing_flags(rows: DataFrame, schema: T.StructType = RECORD) -> DataFrame:
-    """One flag row per record with missing fields."""
+    """One flag row per record with missing fields, with the message's sender and subject where known."""
+    sender = [F.col(c) for c in ("sender", "source_email") if c in rows.columns]
+    subject = [F.col("subject")] if "subject" in rows.columns else []
     return (
         rows.withColumn("_missing", missing_fields(schema))
         .where(F.size("_missing") > 0)
         .select(
             F.coalesce("run_id", F.lit("")).alias("run_id"),
             F.coalesce("message_id", F.lit("")).alias("message_id"),
-            F.coalesce("source_email", F.lit("")).alias("sender"),
-            F.lit("").alias("subject"),
+            F.coalesce(*sender, F.lit("")).alias("sender"),
+            F.coalesce(*subject, F.lit("")).alias("subject"),
             F.concat(F.lit("missing: "), F.array_join("_missing", ", ")).alias("reason"),
         )
     )

@@ -62,10 +62,10 @@ def _fingerprint(table: str, columns: list[str]) -> str:
     cells = []
     for c in sorted(columns):
         cell = f"coalesce(trim(cast({c} AS varchar), chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)), '')"
-        cells.append(f"length({cell})::varchar || ':' || {cell}")
+        cells.append(f"'{len(c)}:{c}' || length({cell})::varchar || ':' || {cell}")
     row = " || ".join(cells)
     return (
-        f"SELECT count(*) AS n_rows, sha256(count(*)::varchar || ':' || {' || chr(58) || '.join(_WORDS)}) AS fingerprint "
+        f"SELECT count(*) AS n_rows, sha256('{','.join(sorted(columns))}:' || count(*)::varchar || ':' || {' || chr(58) || '.join(_WORDS)}) AS fingerprint "
         f"FROM (SELECT sha256({row}) AS h FROM {table})"
     )
 
@@ -379,11 +379,14 @@ ORACLES: dict[str, str] = {
         row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id, 'run-1' AS run_id
         FROM good JOIN firsts ON good.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
     "ledger_run_summary": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED) + """SELECT 'run-1' AS run_id, 2 * count(*) AS fetched,
-        2 * count(*) FILTER (parse_path <> 'failed') AS parsed, count(*) FILTER (parse_path <> 'failed') AS duplicate,
-        2 * count(*) FILTER (parse_path = 'failed') AS failed, count(*) FILTER (parse_path <> 'failed') AS written,
+        count(*) FILTER (parse_path <> 'failed') AS parsed, count(*) AS duplicate,
+        count(*) FILTER (parse_path = 'failed') AS failed, count(*) FILTER (parse_path <> 'failed') AS written,
         cast(max(d) AS varchar) AS last_transaction FROM parsed""",
     # --- streaming
-    "stream_incremental": _with(_LEDGER) + "SELECT message_id, cast(date AS varchar) AS date, cast(amount AS double) AS amount FROM ledger",
+    "stream_incremental": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED, _LEDGER_RUN) + """SELECT message_id, cast(d AS varchar) AS date,
+        good.internal_account_number, external_entity, cast(amount AS double) AS amount,
+        row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id
+        FROM good JOIN firsts ON good.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
     "stream_overlap_dedupe": "SELECT event_id, user_id, value FROM events",
     # --- plug-ins
     "parser_plugin": _with(_NOTICES) + """SELECT message_id, CASE WHEN ord % 8 IN (5, 6) THEN 'text' ELSE 'json' END AS parser,

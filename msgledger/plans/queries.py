@@ -792,16 +792,16 @@ def ledger_run_summary(spark, sf):
 
 @query
 def stream_incremental(spark, sf):
-    """Orders as a stream into the ledger, in two calls; the second finds nothing new."""
-    schema = views.table(spark, sf, "orders").schema
-    ledger, checkpoint = stage_path(spark, "stream-ledger"), stage_path(spark, "stream-state")
+    """Landed mail as a stream through the whole batch path, in two calls; the second finds nothing new."""
+    landed, checkpoint, paths = stage_path(spark, "landed"), stage_path(spark, "stream-state"), _paths(spark)
+    inbox, accounts = _inbox(spark, sf), views.accounts(spark, sf)
+    inbox.write.parquet(landed)
     for _ in range(2):
-        stream = ingest.landed_stream(spark, sf, schema, pattern="orders.parquet")
-        ingest.run_incremental(
-            stream, lambda batch: batch.selectExpr(*views.exprs(views.LEDGER)), ledger, checkpoint
-        )
-    fields = views.ledger(spark, sf).schema
-    return sinks.read_ledger(spark, ledger, fields).select("message_id", day("date"), money("amount"))
+        stream = ingest.landed_stream(spark, landed, inbox.schema)
+        ingest.ingest_messages(stream, lambda batch: batch, accounts, paths, checkpoint)
+    return sinks.read_ledger(spark, paths.ledger, LEDGER).select(
+        "message_id", day("date"), "internal_account_number", "external_entity", money("amount"), "record_id"
+    )
 
 
 @query

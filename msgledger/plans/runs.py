@@ -7,16 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from msgledger.operators.fingerprint import table_fingerprint
-from msgledger.operators.ledger import (
-    assign_record_ids, dedupe_batch, fill_balances, max_record_id, new_records, processed_ids,
-)
+from msgledger.operators.ledger import assign_record_ids, fill_balances, max_record_id, new_records
 from msgledger.operators.messages import parse_messages, unparsed_flags
-from msgledger.operators.monitor import batch_summary
 from msgledger.operators.replicates import replicate_matches, replicate_summary
 from msgledger.operators.validate import missing_flags
 from msgledger.options import Options
 from msgledger.schema import RECORD
-from msgledger.session import stage_table
+from msgledger.session import scratch, stage_table
 from msgledger.sinks import tables as sinks
 
 
@@ -27,6 +24,9 @@ LEDGER = T.StructType([
 ])
 
 
+SUMMARY = "run_id string, fetched long, parsed long, duplicate long, failed long, written long, last_transaction date"
+
+
 @dataclass(frozen=True)
 class Paths:
     ledger: str
@@ -36,30 +36,56 @@ class Paths:
 
 def batch_run(messages: DataFrame, accounts: DataFrame, run_id: str, paths: Paths,
               options: Options = Options()) -> DataFrame:
-    """Parse, drop duplicates, fill balances, number, write; returns the one-row run summary.
+    """Drop copies and known messages, parse, fill balances, number, write; the one-row run summary.
+
+    ``messages``: message_id, ord, body, generated_text, and sender and subject for the flags.
+    Ids are settled on their own before any text is read, so only new messages are parsed, once
+    each; the parse result is staged once and feeds ledger, flags and summary. A run may be
+    repeated: its own rows do not count as known, and ledger and flags are replaced. What was
+    staged is removed when the run has ended.
+    """
+    spark = messages.sparkSession
+    with scratch(spark):
+        return spark.createDataFrame([_run(messages, accounts, run_id, paths, options)], SUMMARY)
 
-    ``messages``: message_id, ord, body, generated_text. The parse result is staged once
-    and feeds the ledger, the flags and the summary.
+
+def new_messages(messages: DataFrame, master: DataFrame, options: Options = Options()) -> tuple[DataFrame, int]:
+    """First copies of messages the master does not have, and the number of messages there were.
+
+    Works on ids; texts move once, and not at all where every message is new.
     """
+    ids = messages.groupBy("message_id").agg(F.min("ord").alias("ord"), F.count("*").alias("copies"))
+    ids = stage_table(ids, "ids")
+    fetched = ids.agg(F.sum("copies").alias("n")).first()["n"] or 0
+    # An anti-join does not mind repeated ids on its right.
+    known = master.where(F.col("message_id") != "")
+    wanted = stage_table(new_records(ids, known, limits=options.limits, deduped=True), "wanted").select(
+        F.col("message_id").alias("_id"), F.col("ord").alias("_ord"))
+    if wanted.count() == fetched:
+        return messages, fetched
+    same = F.col("message_id").eqNullSafe(F.col("_id")) & F.col("ord").eqNullSafe(F.col("_ord"))
+    chosen = messages.join(wanted, same, "left_semi")
+    return chosen, fetched
+
+
+def _run(messages: DataFrame, accounts: DataFrame, run_id: str, paths: Paths, options: Options) -> tuple:
     spark, limits = messages.sparkSession, options.limits
-    parsed = stage_table(parse_messages(messages, accounts, run_id, options), "parsed")
     master = sinks.read_ledger(spark, paths.ledger, LEDGER).where(F.col("run_id") != run_id)
-
-    good = parsed.where(F.col("parse_path") != "failed").drop("parse_path", "errors")
-    # Staged: used more than once below, and the ledger cannot be read and written in one job.
-    fresh = stage_table(
-        new_records(dedupe_batch(good), processed_ids(master), limits=limits, deduped=True), "fresh"
-    )
-    written = fresh.agg(F.count("*").alias("n"), F.max("date").alias("last")).first()
+    chosen, fetched = new_messages(messages, master, options)
+    parsed = stage_table(parse_messages(chosen, accounts, run_id, options), "parsed")
+    ok = F.col("parse_path") != "failed"
+    good = parsed.where(ok)
+    count = parsed.agg(F.count_if(ok).alias("good"), F.count_if(~ok).alias("failed"), F.max(F.when(ok, F.col("date"))).alias("last")).first()
     # Ids depend on dates and input order only, so they come before the balances: sampling
     # for the range shuffle then reads a staged table and not the outcome of a window.
-    numbered = assign_record_ids(fresh, max_record_id(master), limits=limits, total=written["n"])
-    filled = fill_balances(numbered, limits=limits, count_on=fresh)
+    numbered = assign_record_ids(good, max_record_id(master), limits=limits, total=count["good"])
+    filled = fill_balances(numbered, limits=limits, count_on=good)
     sinks.write_ledger(
-        filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger
+        filled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields]), paths.ledger, run_id=run_id
     )
-    sinks.write_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags)
-    return batch_summary(parsed, run_id, written["n"], written["last"])
+    sinks.write_flags(missing_flags(good).unionByName(unparsed_flags(parsed)), paths.flags, run_id)
+    written = count["good"]
+    return run_id, fetched, written, fetched - written - count["failed"], count["failed"], written, count["last"]
 
 
 def replicate_run(messages: DataFrame, parse: Callable[[DataFrame, int], DataFrame], runs: int,

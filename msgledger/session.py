@@ -3,10 +3,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def get_spark(app: str = "msgledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,20 +59,43 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     and values fixed at run time (partition numbers) stay fixed for every later use.
     """
     path = stage_path(df.sparkSession, label)
+    if (staged := _STAGED.get()) is not None:
+        staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside when the block has ended, well or not.
+
+    Nothing that reads them may be used afterwards.
+    """
+    mark = _STAGED.set(paths := [])
+    try:
+        yield
+    finally:
+        _STAGED.reset(mark)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system it lies; whether there was one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than cores by a unique key, for CPU-heavy parsing.
+    """Spread a scan of one split by a unique key, for CPU-heavy parsing.
 
-    Big inputs have more splits than cores and pass through without a shuffle.
+    One split is one file that cannot be divided, or less than one task's share of bytes, so
+    no more than that is ever moved. Anything larger passes through without a shuffle.
     Use on plain scans only: asking for the partition count plans the frame.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() > 1:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def ship_package() -> None:

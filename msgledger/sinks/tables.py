@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import logging
+import operator
+from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
@@ -9,19 +11,34 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from msgledger.operators.validate import FLAG_COLUMNS, blank_nulls
 from msgledger.schema import RECORD
+from msgledger.session import delete_folder, stage_table
 from msgledger.sources.tables import RUN_LOG, RUN_META
 
 log = logging.getLogger(__name__)
 
 
-def write_ledger(rows: DataFrame, path: str, many_runs: bool = False) -> None:
+def clear_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Remove one run's partition, if there is one.
+
+    Dynamic overwrite leaves a partition alone that gets no rows, so a run that is repeated
+    and comes out empty is cleared by this.
+    """
+    # Spark's own escaping of partition values.
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    delete_folder(spark, f"{path}/run_id={name}")
+
+
+def write_ledger(rows: DataFrame, path: str, many_runs: bool = False, run_id: str | None = None) -> None:
     """Write rows into the ``run_id`` partitions they belong to, replacing those runs only.
 
-    Writing a run again gives the same table. Order is made when reading, so an older batch
+    Writing a run again gives the same table; with ``run_id`` also if it has no rows any more. Order is made when reading, so an older batch
     never forces a rewrite. One run is written as it comes, a file per task, without a
     shuffle. ``many_runs`` at once are rebalanced by size first, so that a huge run becomes
     many files and small ones do not leave a tiny file per task.
     """
+    if run_id is not None and rows.isEmpty():
+        clear_run(rows.sparkSession, path, run_id)
+        return
     laid_out = rows.hint("rebalance", "run_id") if many_runs else rows
     (
         laid_out.write.partitionBy("run_id").mode("overwrite")
@@ -52,8 +69,12 @@ def export_run_csv(rows: DataFrame, directory: str, run_id: str) -> str:
     return path
 
 
-def write_flags(flags: DataFrame, path: str) -> None:
-    """Add the flags of one or more runs; writing a run's flags again replaces them."""
+def write_flags(flags: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add the flags of one or more runs; writing a run's flags again replaces them, with
+    ``run_id`` also if it has none any more."""
+    if run_id is not None and flags.isEmpty():
+        clear_run(flags.sparkSession, path, run_id)
+        return
     (
         flags.select(*FLAG_COLUMNS).hint("rebalance", "run_id").write.partitionBy("run_id")
         .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
@@ -106,7 +127,20 @@ def attachment_targets(attachments: DataFrame) -> DataFrame:
 
 
 def write_attachments(attachments: DataFrame, path: str) -> None:
-    """File attachments under bucket / year / month; big months become several files."""
+    """File attachments under bucket / year / month; big months become several files.
+
+    What is filed already, by message and part, is left out, so filing again adds nothing.
+    Attachments without these two columns are told apart by all their columns.
+    """
+    keys = [c for c in ("message_id", "part") if c in attachments.columns] or attachments.columns
+    try:
+        filed = attachments.sparkSession.read.parquet(path).select(*keys)
+        same = reduce(operator.and_, [attachments[k].eqNullSafe(filed[k]) for k in keys])
+        # Staged: a folder cannot be read and written in one job.
+        attachments = stage_table(attachments.join(filed, same, "left_anti"), "attachments")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     (
         attachment_targets(attachments).hint("rebalance", "bucket", "year", "month")
         .write.partitionBy("bucket", "year", "month").mode("append").parquet(path)

@@ -1,13 +1,16 @@
 """Incremental ingest of landed messages with Structured Streaming."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from msgledger.operators.ledger import dedupe_batch, new_records
-from msgledger.options import LIMITS, Limits
-from msgledger.session import stage_table
+from msgledger.options import LIMITS, Limits, Options
+from msgledger.plans.runs import LEDGER, Paths, batch_run
+from msgledger.session import scratch, stage_table
 from msgledger.sinks.tables import read_ledger, write_ledger
 
 
@@ -22,32 +25,78 @@ def landed_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: s
     return reader.load(folder)
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that belongs to a checkpoint: made with it, kept next to it, lost with it.
+
+    A stream that starts anew without its checkpoint counts its batches from zero again; under
+    another name it cannot take the partitions of the old one for its own.
+    """
+    path = f"{checkpoint}/name"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def check_replaced(ledger: DataFrame, run: str, ids: DataFrame) -> None:
+    """Refuse to replace a partition that holds ids the batch does not have."""
+    lost = ledger.where(F.col("run_id") == run).select("message_id").join(ids, "message_id", "left_anti")
+    if not lost.isEmpty():
+        raise RuntimeError(f"{run}: the ledger holds messages under this name that are not in the batch")
+
+
+def _each_batch(stream: DataFrame, checkpoint: str, one_batch: Callable[[DataFrame, str], None]) -> None:
+    name = stream_name(stream.sparkSession, checkpoint)
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, n: one_batch(batch, f"{name}-{n:08d}"))
+        .option("checkpointLocation", f"{checkpoint}/state").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 def run_incremental(
     stream: DataFrame, to_records: Callable[[DataFrame], DataFrame], ledger: str, checkpoint: str,
     limits: Limits = LIMITS,
 ) -> None:
-    """Process everything that has arrived since the last call, then stop.
+    """Records of everything that has arrived since the last call into the ledger, then stop.
 
-    Each micro-batch is parsed, freed of its own copies, freed of ids the ledger already
-    has, and written as its own run partition. A batch that is tried again after a failure
-    leaves its own partition out of the id check and overwrites it, so the ledger comes
-    out the same.
+    Each micro-batch is freed of its own copies and of ids the ledger already has, and written
+    as its own run partition, named by stream and batch. A batch that is tried again after a
+    failure leaves its own partition out of the id check and overwrites it, so the ledger
+    comes out the same; a partition that holds anything else is never replaced.
     """
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        run = f"batch-{batch_id:08d}"
-        records = to_records(batch).withColumn("run_id", F.lit(run))
-        first = dedupe_batch(records)
-        master = read_ledger(batch.sparkSession, ledger, first.schema)
-        others = master.where(F.col("run_id") != run)
-        # Staged, because the ledger cannot be read and written in one job.
-        fresh = stage_table(new_records(first, others, limits=limits, deduped=True), "batch")
-        write_ledger(fresh, ledger)
+    def one_batch(batch: DataFrame, run: str) -> None:
+        spark = batch.sparkSession
+        with scratch(spark):
+            first = stage_table(dedupe_batch(to_records(batch).withColumn("run_id", F.lit(run))), "batch")
+            master = read_ledger(spark, ledger, first.schema)
+            check_replaced(master, run, first)
+            # Staged, because the ledger cannot be read and written in one job.
+            fresh = stage_table(new_records(first, master.where(F.col("run_id") != run), limits=limits, deduped=True), "fresh")
+            write_ledger(fresh, ledger, run_id=run)
 
-    query = (
-        stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    _each_batch(stream, checkpoint, one_batch)
+
+
+def ingest_messages(
+    stream: DataFrame, to_messages: Callable[[DataFrame], DataFrame], accounts: DataFrame, paths: Paths,
+    checkpoint: str, options: Options = Options(),
+) -> None:
+    """Mail that has arrived since the last call through the whole batch path, then stop.
+
+    ``to_messages`` makes message_id, ord, body, generated_text (and sender, subject) of what
+    landed. Each micro-batch is one run: known messages dropped, the rest parsed, accounts
+    resolved, balances filled within the batch, records numbered on, flags written.
+    """
+    def one_batch(batch: DataFrame, run: str) -> None:
+        messages = to_messages(batch)
+        check_replaced(read_ledger(batch.sparkSession, paths.ledger, LEDGER), run, messages.select("message_id"))
+        batch_run(messages, accounts, run, paths, options)
+
+    _each_batch(stream, checkpoint, one_batch)
 
 
 def drop_overlap(stream: DataFrame, overlap: str, key: str = "message_id", salts: int = 16) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ ship_package()
 def spark():
     session = get_spark("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="msgledger-tests-"),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -11,6 +11,7 @@ import argparse
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from msgledger.operators import monitor as mon
@@ -26,15 +27,23 @@ from msgledger.sources import landing, tables as src
 def inbox(spark: SparkSession, args) -> DataFrame:
     """Landed messages that pass the filter, with the text generated for them."""
     messages = read_messages(landing.scan_messages(spark, args.messages, args.format))
-    cond = landing.query_filter(args.query, label=args.label, since=args.since)
+    cond = landing.query_filter(args.query, label=args.label, since=args.since, words_in=("subject", "body"))
     messages = messages.where(cond)
     if args.senders:
         messages = landing.from_senders(messages, landing.scan_senders(spark, args.senders))
     if args.max_results:
         messages = landing.first_messages(messages, args.max_results)
-    generated = spark.read.schema("message_id string, generated_text string").format(args.format).load(args.generated)
-    return messages.join(generated, "message_id", "left").select(
-        "message_id", "ord", "sender", "subject", "body", "generated_text")
+    return messages.select("message_id", "ord", "sender", "subject", "body")
+
+
+def generated(spark: SparkSession, args, run: int | None = None) -> DataFrame:
+    """message_id and generated_text, of one replicate if asked for."""
+    texts = spark.read.schema("message_id string, generated_text string, run int").format(args.format).load(args.generated)
+    if run is not None:
+        texts = texts.where(F.col("run") == run)
+        if texts.isEmpty():
+            raise ValueError(f"{args.generated}: no texts of run {run}; replicates compare texts generated once per run")
+    return texts.select("message_id", "generated_text")
 
 
 def accounts(spark: SparkSession, path: str) -> DataFrame:
@@ -43,13 +52,20 @@ def accounts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def since(spark: SparkSession, args) -> str | None:
-    """Where to start: nowhere when forced, the given date, else the last run's mark less the overlap."""
+    """Where to start: nowhere when forced, the given date, else when the last run began less the overlap.
+
+    Run times are this program's own; a date read from a message may lie in any year.
+    """
     if args.force:
         return None
     if args.start_date:
         return args.start_date
-    ledger = sinks.read_ledger(spark, f"{args.out}/ledger", LEDGER)
-    mark = src.high_water_mark(ledger, "date", args.overlap_hours).first()["since"]
+    try:
+        mark = src.high_water_mark(src.scan_run_log(spark, f"{args.out}/run_log"), "run_timestamp", args.overlap_hours).first()["since"]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     return mark.strftime("%Y-%m-%d") if mark else None
 
 
@@ -57,7 +73,8 @@ def run(spark: SparkSession, args) -> None:
     started, run_id = time.time(), args.run_id or uuid.uuid4().hex
     args.since = since(spark, args)
     paths = Paths(f"{args.out}/ledger", f"{args.out}/flags", f"{args.out}/run_log")
-    summary = batch_run(inbox(spark, args), accounts(spark, args.accounts), run_id, paths).first()
+    messages = inbox(spark, args).join(generated(spark, args), "message_id", "left")
+    summary = batch_run(messages, accounts(spark, args.accounts), run_id, paths).first()
     sinks.append_run_log(
         spark.createDataFrame(
             [(run_id, time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(started)), args.since, summary["fetched"], summary["written"])],
@@ -76,8 +93,9 @@ def replicates(spark: SparkSession, args) -> None:
     messages, listed = stage_table(inbox(spark, args), "inbox"), accounts(spark, args.accounts)
 
     def parse(rows: DataFrame, n: int) -> DataFrame:
-        """One replicate, timed over the whole parse."""
+        """One replicate: the texts generated for it, timed over the whole parse."""
         start = time.time()
+        rows = rows.join(generated(spark, args, n), "message_id", "left")
         parsed = stage_table(parse_messages(rows, listed, f"replicate-{n}"), "replicate")
         latency = int((time.time() - start) * 1000)
         fields = [c for c in parsed.columns if c not in ("ord", "sender", "subject", "errors", "parse_path")]

@@ -12,8 +12,12 @@ _NUMERIC_DATE = rf"^(\d{{1,2}})[-/. ](\d{{1,2}})[-/. ]{_YEAR}"
 _YEAR_FIRST = r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?!\d)"
 _SCIENTIFIC = r"^\d(?:\.\d+)?[eE]\+?\d{1,2}$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})(?!\d)"
-_DAY_MONTH = rf"^(?:[A-Za-z]+,\s*)?(\d{{1,2}})(?:st|nd|rd|th)?[-\s]+([A-Za-z]{{3}})[a-z]*\.?,?[-\s]+{_YEAR}"
-_MONTH_DAY = rf"^(?:[A-Za-z]+,\s*)?([A-Za-z]{{3}})[a-z]*\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+{_YEAR}"
+# A time of day and a weekday may come before the date, a time also before the year.
+_TIME = r"\d{1,2}:\d{2}(?::\d{2})?\s+"
+_BEFORE = rf"^(?:{_TIME})?(?:[A-Za-z]+(?:,\s*|\s+))?"
+_DAY_MONTH = rf"{_BEFORE}(\d{{1,2}})(?:st|nd|rd|th)?[-\s]*([A-Za-z]{{3}})[A-Za-z]*\.?,?[-\s]*(?:{_TIME})?{_YEAR}"
+_MONTH_DAY = rf"{_BEFORE}([A-Za-z]{{3}})[A-Za-z]*\.?[-\s]+(\d{{1,2}})(?:st|nd|rd|th)?(?:,\s*|[-\s]+)(?:{_TIME})?{_YEAR}"
+_YEAR_MONTH = r"^(\d{4})[-\s]+([A-Za-z]{3})[A-Za-z]*\.?[-\s]+(\d{1,2})(?!\d)"
 
 
 def to_number(text: Column, to: T.DataType | str = MONEY) -> Column:
@@ -58,6 +62,7 @@ def to_date(text: Column) -> Column:
             (_NUMERIC_DATE, numeric),
             (_DAY_MONTH, lambda g: _ymd(_full_year(F.get(g, 2)), _month(F.get(g, 1)), F.get(g, 0))),
             (_MONTH_DAY, lambda g: _ymd(_full_year(F.get(g, 2)), _month(F.get(g, 0)), F.get(g, 1))),
+            (_YEAR_MONTH, lambda g: _ymd(F.get(g, 0), _month(F.get(g, 1)), F.get(g, 2))),
         )
         found = F.lit(None).cast("date")
         for pattern, reader in reversed(readers):

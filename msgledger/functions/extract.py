@@ -80,10 +80,13 @@ def balance(text: Column, with_currency: bool = False) -> Column:
     """struct<balance, currency> after a balance label.
 
     The label pattern eats everything up to the first digit, so by default no currency
-    is read; ``with_currency`` reads it.
+    is read; ``with_currency`` reads it. The gap stops at another whole label: the number
+    behind it is the same, and a text of labels alone is read once, not once per label.
     """
+    again = f"(?!{BALANCE_LABELS[0]}|{BALANCE_LABELS[2]})"
+
     def pattern_of(labels: Sequence[str]) -> str:
-        gap = rf"[^\d]*?({CURRENCY})?" if with_currency else r"[^\d]*"
+        gap = rf"(?:{again}[^\d])*?({CURRENCY})?" if with_currency else rf"(?:{again}[^\d])*+"
         return rf"(?iudU)(?:{'|'.join(labels)}){gap}{SPACE}?({NUMBER})"
 
     pattern = pattern_of(BALANCE_LABELS)
@@ -166,44 +169,44 @@ def first_json_object(text: Column) -> Column:
     """First balanced ``{...}`` of a text, to any depth; braces inside strings count.
 
     An object without braces inside is found by one plain pattern. Else the text is cut
-    after each brace, and one pass keeps the positions of the braces still open. Of all
-    pairs that close, the one opened first wins, so a brace that is never closed does not
-    hide the object behind it.
+    after each brace. Read backward, a brace opens a pair if more have closed than opened
+    behind it, so a brace that is never closed does not hide the object behind it; the first
+    such brace starts the object, and counting forward from there finds its end. Both passes
+    keep two numbers.
     """
     pieces = F.split(text, r"(?<=[{}])")
-    state = F.struct(
-        F.lit(0).alias("pos"),
-        F.array().cast("array<int>").alias("open"),
-        F.lit(0).alias("start"),
-        F.lit(0).alias("end"),
-    )
 
-    def step(s: Column, piece: Column) -> Column:
-        pos = s["pos"] + F.length(piece)
+    def backward(s: Column, piece: Column) -> Column:
         brace = F.right(piece, F.lit(1))
-        depth = F.size(s["open"])
-        closes = (brace == "}") & (depth > 0)
-        opened = F.get(s["open"], depth - 1)
-        better = closes & ((s["start"] == 0) | (opened < s["start"]))
-        stack = (
-            F.when(brace == "{", F.concat(s["open"], F.array(pos)))
-            .when(closes, F.slice(s["open"], F.lit(1), depth - 1))
-            .otherwise(s["open"])
-        )
+        pairs = (brace == "{") & (s["closed"] > 0)
         return F.struct(
-            pos.alias("pos"),
-            stack.alias("open"),
-            F.when(better, opened).otherwise(s["start"]).alias("start"),
-            F.when(better, pos).otherwise(s["end"]).alias("end"),
+            (s["at"] - 1).alias("at"),
+            F.when(brace == "}", s["closed"] + 1).when(pairs, s["closed"] - 1).otherwise(s["closed"]).alias("closed"),
+            F.when(pairs, s["at"]).otherwise(s["start"]).alias("start"),
         )
 
-    def cut(s: Column) -> Column:
-        return F.when(s["start"] > 0, F.substring(text, s["start"], s["end"] - s["start"] + 1))
+    def forward(s: Column, piece: Column) -> Column:
+        brace = F.right(piece, F.lit(1))
+        depth = s["depth"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        done = F.struct(s["depth"].alias("depth"), s["size"].alias("size"))
+        return F.when((s["depth"] == 0) & (s["size"] > 0), done).otherwise(
+            F.struct(depth.alias("depth"), (s["size"] + 1).alias("size")))
+
+    def from_start(parts: Column, start: Column) -> Column:
+        tail = F.slice(parts, start, F.size(parts) - start + 1)
+        size = F.aggregate(tail, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("size")), forward, lambda s: s["size"])
+        inner = let(size, lambda n: F.concat(F.lit("{"), F.array_join(F.slice(tail, F.lit(2), n - 1), "")))
+        return F.when(start > 0, inner)
+
+    def cut(parts: Column) -> Column:
+        first = F.struct(F.size(parts).alias("at"), F.lit(0).alias("closed"), F.lit(0).alias("start"))
+        start = F.aggregate(F.reverse(parts), first, backward, lambda s: s["start"])
+        # Position 1 where nothing closes keeps the slice valid; its outcome is not used.
+        return let(start, lambda at: F.when(at > 0, from_start(parts, F.greatest(at, F.lit(1)))))
 
-    found = F.aggregate(pieces, state, step, cut)
     return (
         F.when(text.rlike(_FLAT_OBJECT), F.regexp_extract(text, _FLAT_OBJECT, 1))
-        .when(F.contains(text, F.lit("{")) & F.contains(text, F.lit("}")), found)
+        .when(F.contains(text, F.lit("{")) & F.contains(text, F.lit("}")), let(pieces, cut))
     )
 
 

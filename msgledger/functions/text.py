@@ -85,13 +85,16 @@ def canonical_id(headers: Column, source_id: Column) -> Column:
 
 
 _DATE_PARTS = (
-    r"^\s*(?:[A-Za-z]+,?\s+)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4})"
+    r"^\s*(?:[A-Za-z]+,?\s+)?(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4}|\d{2})"
     r"\s+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s+([+-]\d{4}|[A-Za-z]+))?"
 )
 
 
 def mail_timestamp(value: Column) -> Column:
-    """An RFC 2822 date header as a timestamp; null when it cannot be read."""
+    """An RFC 2822 date header as a timestamp; null when it cannot be read.
+
+    Years of two digits are those of the obsolete form: 50 to 99 are in the last century.
+    """
     zone_names = F.create_map(*[F.lit(x) for pair in ZONE_OFFSETS.items() for x in pair])
 
     def build(groups: Column) -> Column:
@@ -99,11 +102,13 @@ def mail_timestamp(value: Column) -> Column:
         offset = F.when(zone.rlike(r"^[+-]"), zone).otherwise(
             F.coalesce(F.element_at(zone_names, zone), F.lit("+0000"))
         )
+        year = F.get(groups, 2)
+        century = F.when(F.length(year) == 4, "").when(year < "50", "20").otherwise("19")
         stamp = F.concat_ws(
             " ",
             F.get(groups, 0),
             F.initcap(F.get(groups, 1)),
-            F.get(groups, 2),
+            F.concat(century, year),
             F.concat_ws(
                 ":",
                 F.lpad(F.get(groups, 3), 2, "0"),

@@ -52,31 +52,39 @@ def append_attachment_text(messages: DataFrame, attachments: DataFrame, limits:
     ).drop("_pdf")
 
 
-def account_reference(accounts: Sequence[Mapping[str, str]]) -> str:
-    """The account list as shown in a prompt: one line per last-four, the last account wins."""
-    lines: dict[str, str] = {}
-    for a in accounts:
-        digits = "".join(ch for ch in a["internal_account_number"] if ch.isdigit())
-        if len(digits) >= 4:
-            number, entity = a["internal_account_number"].strip(), a["internal_entity"].strip()
-            lines[digits[-4:]] = f"- {entity} ({number}) (last4={digits[-4:]})"
-    return "\n".join(["Your internal accounts:", *lines.values()])
+# Fixed text: the heading and the lines of the account list.
+ACCOUNT_HEADING = "Your internal accounts:"
+ACCOUNT_LINE = "- %s (%s) (last4=%s)"
+
+
+def account_reference(accounts: DataFrame) -> Column:
+    """The account list as shown in a prompt: one line per last-four, the last account wins.
+
+    ``accounts``: internal_account_number, internal_entity, position. One row is made of the
+    table, at most 10,000 lines since there are no more endings, and read as a scalar subquery.
+    """
+    digits = F.regexp_replace("internal_account_number", r"\D", "")
+    four = accounts.withColumn("last4", F.right(digits, F.lit(4))).where(F.length("last4") == 4)
+    line = F.format_string(ACCOUNT_LINE, F.trim("internal_entity"), F.trim("internal_account_number"), F.col("last4"))
+    last = four.groupBy("last4").agg(F.min("position").alias("at"), F.max_by(line, F.col("position")).alias("line"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: x["line"])
+    return last.agg(F.array_join(F.concat(F.array(F.lit(ACCOUNT_HEADING)), listed), "\n")).scalar()
 
 
 def schema_text(spec: Mapping[str, Mapping] = TRANSACTIONS) -> str:
     return ", ".join(f"{n}: {c['type']}{'' if c['required'] else ' (optional)'}" for n, c in spec.items())
 
 
-def prompt(accounts: Sequence[Mapping[str, str]], sender: Column, subject: Column, body: Column,
+def prompt(accounts: DataFrame | None, sender: Column, subject: Column, body: Column,
            spec: Mapping[str, Mapping] = TRANSACTIONS) -> Column:
     """Prompt text: accounts, schema, sender, subject (120 characters at most) and body."""
+    listed = F.lit(ACCOUNT_HEADING) if accounts is None else account_reference(accounts)
     head = (
-        f"{account_reference(accounts)}\n\n"
-        "Answer with one JSON object that fits this schema, and nothing else.\n"
+        "\n\nAnswer with one JSON object that fits this schema, and nothing else.\n"
         f"<JSON_SCHEMA>\n{schema_text(spec)}\n</JSON_SCHEMA>\n\nFrom: "
     )
     return F.concat(
-        F.lit(head), F.coalesce(sender, F.lit("")),
+        listed, F.lit(head), F.coalesce(sender, F.lit("")),
         F.lit("\nSubject: "), F.substring(F.coalesce(subject, F.lit("")), 1, SUBJECT_CHARS),
         F.lit('\n\nBody:\n"""'), F.coalesce(body, F.lit("")), F.lit('"""\n\nJSON:\n'),
     )

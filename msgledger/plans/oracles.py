@@ -201,17 +201,18 @@ ORACLES: dict[str, str] = {
         WHEN status = 'F' AND ord % 2 = 0 THEN chr(10) || chr(10) || priority || chr(10) || chr(10) || 'page ' || ord
         WHEN status = 'F' THEN chr(10) || chr(10) || priority
         WHEN status = 'O' AND ord % 2 = 0 THEN chr(10) || chr(10) || 'page ' || ord ELSE '' END AS body FROM texts""",
-    "prompt_build": _with(_NOTICES, _TEXTS, """listed AS (SELECT string_agg(
-        '- ' || n_name || ' (' || lpad(n_nationkey::varchar, 10, '0') || ') (last4=' || right(lpad(n_nationkey::varchar, 10, '0'), 4) || ')',
-        chr(10) ORDER BY n_nationkey) AS block FROM nation)""") + """SELECT message_id,
-        'Your internal accounts:' || chr(10) || block || chr(10) || chr(10)
+    "prompt_build": _with(_NOTICES, _TEXTS, """numbered AS (SELECT s_suppkey AS k, s_name, lpad(s_suppkey::varchar, 10, '0') AS n FROM supplier),
+      lines AS (SELECT min(k) AS at_, max_by('- ' || s_name || ' (' || n || ') (last4=' || right(n, 4) || ')', k) AS line
+        FROM numbered GROUP BY right(n, 4)),
+      listed AS (SELECT string_agg(line, chr(10) ORDER BY at_) AS block FROM lines)""") + """SELECT message_id,
+        length(prompt)::bigint AS chars, sha256(prompt) AS prompt_sha256 FROM (SELECT message_id, 'Your internal accounts:' || chr(10) || block || chr(10) || chr(10)
         || 'Answer with one JSON object that fits this schema, and nothing else.' || chr(10) || '<JSON_SCHEMA>' || chr(10)
         || 'date: date, internal_account_number: str, internal_entity: str, institution: str, external_entity: str (optional), '
         || 'amount: number, available_balance: number (optional), currency: str, description: str, transaction_type: str, '
         || 'source_email: str, message_id: str, run_id: str' || chr(10) || '</JSON_SCHEMA>' || chr(10) || chr(10)
         || 'From: ' || institution || chr(10) || 'Subject: ' || left('Transaction for ' || repeat(entity, 8), 120)
         || chr(10) || chr(10) || 'Body:' || chr(10) || '\"\"\"' || text || '\"\"\"' || chr(10) || chr(10) || 'JSON:' || chr(10) AS prompt
-        FROM texts, listed""",
+        FROM texts, listed)""",
     # --- extraction
     "extract_label": _with(_NOTICES) + """SELECT message_id, CASE ord % 4 WHEN 0 THEN entity WHEN 1 THEN entity || ' Ltd'
         WHEN 2 THEN 'Shop ' || entity END AS external_entity FROM notices""",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from msgledger.functions import clean, digest, extract, text as tx
 from msgledger.operators import accounts as acc, fingerprint as fp, ledger as led, messages as msg, monitor as mon
 from msgledger.operators import replicates as rep, validate as val
-from msgledger.operators.joins import collect_small, lookup
+from msgledger.operators.joins import lookup
 from msgledger.operators.ordered import global_rank
 from msgledger.options import SYNONYMS
 from msgledger.plans import views
@@ -213,13 +213,14 @@ def attach_text(spark, sf):
 @query
 def prompt_build(spark, sf):
     rows = views.notices(spark, sf)
-    nations = views.table(spark, sf, "nation").orderBy("n_nationkey")
-    listed = [
-        {"internal_account_number": f"{n['n_nationkey']:010d}", "internal_entity": n["n_name"]}
-        for n in collect_small(nations, 1000, "accounts in a prompt")
-    ]
+    listed = views.table(spark, sf, "supplier").select(
+        F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("internal_account_number"),
+        F.col("s_name").alias("internal_entity"), F.col("s_suppkey").alias("position"),
+    )
     subject = F.concat(F.lit("Transaction for "), F.repeat(F.col("entity"), 8))
-    return rows.select("message_id", msg.prompt(listed, F.col("institution"), subject, F.col("text")).alias("prompt"))
+    # Each prompt holds the whole list: digests keep the result small.
+    prompts = rows.select("message_id", msg.prompt(listed, F.col("institution"), subject, F.col("text")).alias("p"))
+    return prompts.select("message_id", F.length("p").cast("bigint").alias("chars"), F.sha2("p", 256).alias("prompt_sha256"))
 
 
 # --- extraction --------------------------------------------------------------
@@ -853,7 +854,7 @@ def _answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 @query
 def generation_hook(spark, sf):
     rows = views.notices(spark, sf)
-    asked = rows.select("message_id", msg.prompt([], F.col("institution"), F.col("status"), F.col("text")).alias("prompt"))
+    asked = rows.select("message_id", msg.prompt(None, F.col("institution"), F.col("status"), F.col("text")).alias("prompt"))
     return msg.generate(asked, _answer).select(
         "message_id", F.get_json_object("generated_text", "$.description").alias("description")
     )

@@ -2,7 +2,10 @@
 from __future__ import annotations
 
 import logging
+import operator
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -25,8 +28,21 @@ MESSAGE = T.StructType([
 
 
 def scan_messages(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Raw messages from JSON lines or Parquet; a nested payload is kept as JSON text."""
-    return spark.read.schema(MESSAGE).format(fmt).load(path)
+    """Raw messages from JSON lines or Parquet; a nested payload is kept as JSON text.
+
+    Works on a mailbox's own fields: ``labelIds`` stands in for ``labels``, and without ``ord``
+    the order is that of arrival (20 low bits of a hash of the id settle equal times). A line
+    that is no JSON is kept in ``corrupt``, under an id made of it, so that it can be flagged.
+    """
+    schema = T.StructType([
+        *MESSAGE.fields, T.StructField("labelIds", T.ArrayType(T.StringType())), T.StructField("corrupt", T.StringType())])
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "corrupt").format(fmt).load(path)
+    arrival = F.shiftleft(F.coalesce(F.col("internalDate").try_cast("bigint"), F.lit(0)).cast("bigint"), 20)
+    return raw.withColumns({
+        "id": F.coalesce("id", F.concat(F.lit("corrupt-"), F.sha2("corrupt", 256))),
+        "labels": F.coalesce("labels", "labelIds"),
+        "ord": F.coalesce("ord", arrival + F.pmod(F.xxhash64("id"), F.lit(1 << 20))),
+    }).drop("labelIds")
 
 
 def canonical_query(query: str | Mapping[str, object] | None) -> str:
@@ -60,14 +76,74 @@ def message_filter(
     return cond
 
 
+_TOKEN = re.compile(r'\s*(\(|\)|(?:(\w+):)?(?:"([^"]*)"|([^\s()"]+)))')
+
+
 def query_filter(query: str | Mapping[str, object] | None, senders: Sequence[str] = (),
-                 label: str | None = None, since: str | None = None) -> Column:
-    """The same from ``key:value`` words (label, from, subject, after)."""
-    words = dict(w.split(":", 1) for w in canonical_query(query).split() if ":" in w)
-    return message_filter(
-        label=label, senders=[*senders, *([words["from"]] if "from" in words else [])],
-        subject=words.get("subject"), since=since or words.get("after"),
-    ) & (F.array_contains("labels", words["label"]) if "label" in words else F.lit(True))
+                 label: str | None = None, since: str | None = None, words_in: Sequence[str] = ("subject",)) -> Column:
+    """The same from a query text: ``label:``, ``from:``, ``subject:`` and ``after:`` terms, free words
+    (looked for in ``words_in``), quotes, ``OR`` between terms and brackets around them.
+
+    Anything else is an error; a term that is silently dropped would let everything pass.
+    """
+    given = message_filter(label=label, senders=senders, since=since)
+    if isinstance(query, Mapping):
+        terms = [_term(str(k), str(query[k]), words_in) for k in sorted(query)]
+        return reduce(operator.and_, terms, given)
+    text = (query or "").strip()
+    if not text:
+        return given
+    tokens, at = [], 0
+    while at < len(text):
+        found = _TOKEN.match(text, at)
+        if not found:
+            raise ValueError(f"query {text!r}: cannot be read from {text[at:]!r} on")
+        tokens.append(found)
+        at = found.end()
+        at += len(text[at:]) - len(text[at:].lstrip())
+    cond, rest = _all_of(tokens, words_in)
+    if rest:
+        raise ValueError(f"query {text!r}: closing bracket without an opening one")
+    return given & cond
+
+
+def _all_of(tokens: list[re.Match], words_in: Sequence[str]) -> tuple[Column, list[re.Match]]:
+    """Terms up to a closing bracket, joined by AND; OR binds its two neighbours."""
+    groups: list[Column] = []
+    either = False
+    while tokens and tokens[0][1] != ")":
+        token, tokens = tokens[0], tokens[1:]
+        if token[1] == "OR":
+            if not groups or either:
+                raise ValueError("OR without a term before it")
+            either = True
+            continue
+        if token[1] == "(":
+            term, tokens = _all_of(tokens, words_in)
+            if not tokens:
+                raise ValueError("opening bracket without a closing one")
+            tokens = tokens[1:]
+        else:
+            term = _term(token[2] or "", token[4] if token[3] is None else token[3], words_in)
+        groups = [*groups[:-1], groups[-1] | term] if either else [*groups, term]
+        either = False
+    if either or not groups:
+        raise ValueError("a term is missing")
+    return reduce(operator.and_, groups), tokens
+
+
+def _term(key: str, value: str, words_in: Sequence[str]) -> Column:
+    if key == "label":
+        return message_filter(label=value)
+    if key == "from":
+        return message_filter(senders=[value])
+    if key == "subject":
+        return message_filter(subject=value)
+    if key == "after":
+        return message_filter(since=value)
+    if key or value[:1] == "-":
+        raise ValueError(f"query term {key + ':' if key else ''}{value} is not supported")
+    return reduce(operator.or_, [F.contains(F.lower(c), F.lit(value.lower())) for c in words_in])
 
 
 def first_messages(messages: DataFrame, max_results: int, order: Sequence[str] = ("ord",)) -> DataFrame:

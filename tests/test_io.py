@@ -39,6 +39,41 @@ def test_message_filter(spark):
     assert [r["i"] for r in landing.first_messages(df, 2, ["i"]).collect()] == [1, 2]
 
 
+def test_query_texts(spark):
+    df = spark.createDataFrame([
+        (1, ["Banking"], "a@one.example", "Bank alert today", "x invoice", date(2024, 1, 5)),
+        (2, ["Other"], "b@two.example", "alert bank", "y", date(2024, 1, 6)),
+        (3, ["Banking"], "c@three.example", "Bank Alert", "z Invoice", date(2023, 1, 5)),
+    ], "i int, labels array<string>, sender string, subject string, body string, sent_date date")
+
+    def found(query, **kw):
+        return [r["i"] for r in df.where(landing.query_filter(query, **kw)).collect()]
+
+    assert found("(from:one.example OR from:two.example)") == [1, 2]
+    assert found("from:one.example OR from:two.example OR from:three.example") == [1, 2, 3]
+    assert found("(from:one.example OR from:three.example) label:Banking after:2024/01/01") == [1]
+    assert found('subject:"bank alert"') == [1, 3] and found('"alert bank"') == [2]
+    assert found("invoice", words_in=("subject", "body")) == [1, 3] and found("invoice") == []
+    assert found("alert (label:Other OR (from:three.example subject:bank))") == [2, 3]
+    assert found("") == found(None) == found("   ") == [1, 2, 3]
+    for bad in ("has:attachment", "-from:x", "(from:a", "from:a)", "OR from:a", "from:a OR", "()", '"open'):
+        with pytest.raises(ValueError):
+            landing.query_filter(bad)
+
+
+def test_messages_of_a_mailbox_without_own_columns(spark, tmp_path):
+    raw = [{"id": "b", "internalDate": "2000", "snippet": "s", "labelIds": ["Banking"], "payload": {}},
+           {"id": "a", "internalDate": "1000", "snippet": "s", "labelIds": ["Other"], "payload": {}},
+           {"id": "c", "internalDate": "1000", "snippet": "s", "payload": {}}]
+    (tmp_path / "in.json").write_text("\n".join([*map(json.dumps, raw), "{broken", ""]))
+    rows = landing.scan_messages(spark, str(tmp_path)).orderBy("ord").collect()
+    assert {r["id"] for r in rows[1:3]} == {"a", "c"} and rows[3]["id"] == "b"
+    assert len({r["ord"] for r in rows}) == 4 and rows[0]["corrupt"] == "{broken" and rows[0]["id"].startswith("corrupt-")
+    df = landing.scan_messages(spark, str(tmp_path))
+    assert [r["id"] for r in df.where(landing.query_filter("label:Banking")).collect()] == ["b"]
+    assert msg.read_messages(df).where("corrupt IS NOT NULL").first()["body"] == ""
+
+
 def test_senders(spark, tmp_path):
     (tmp_path / "s.csv").write_text(" Bank.Example ,x\n\n  \nme@shop.example\n")
     allowed = landing.scan_senders(spark, str(tmp_path / "s.csv"))
@@ -112,9 +147,12 @@ def test_attachment_text(spark):
 
 
 def test_prompt(spark):
-    accounts = [{"internal_account_number": " 12 3456", "internal_entity": "Old "}, {"internal_account_number": "993456", "internal_entity": "New"},
-                {"internal_account_number": "123", "internal_entity": "Short"}]
-    assert msg.account_reference(accounts) == "Your internal accounts:\n- New (993456) (last4=3456)"
+    accounts = spark.createDataFrame(
+        [(" 12 3456", "Old ", 1), ("00 7777", "Next", 2), ("993456", "New", 3), ("123", "Short", 4)],
+        "internal_account_number string, internal_entity string, position int")
+    block = spark.range(1).select(msg.account_reference(accounts)).first()[0]
+    assert block == "Your internal accounts:\n- New (993456) (last4=3456)\n- Next (00 7777) (last4=7777)"
+    assert spark.range(1).select(msg.account_reference(accounts.limit(0))).first()[0] == "Your internal accounts:"
     df = spark.createDataFrame([("a@b", "s" * 200, "text")], "f string, s string, b string")
     text = df.select(msg.prompt(accounts, F.col("f"), F.col("s"), F.col("b")).alias("p")).first()["p"]
     assert f"Subject: {'s' * 120}\n" in text and '"""text"""' in text and "From: a@b" in text
@@ -279,6 +317,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert {r["run_id"]: r["count"] for r in ledger.groupBy("run_id").count().collect()} == {"r1": 100, "r2": 51}
     assert ledger.select("message_id").distinct().count() == 151
     assert src.scan_run_log(spark, f"{tmp_path}/out/run_log").count() == 2
+    answers = answers.select("message_id", "generated_text")
+    both = answers.withColumn("run", F.lit(1)).unionByName(answers.where("generated_text IS NOT NULL").withColumn("run", F.lit(2)))
+    both.write.json(f"{tmp_path}/runs")
+    with pytest.raises(ValueError, match="once per run"):
+        main(["replicates", *common, "--out", f"{tmp_path}/rep", "--runs", "2", "--force"])
+    common[3] = f"{tmp_path}/runs"
     main(["replicates", *common, "--out", f"{tmp_path}/rep", "--runs", "2", "--force"])
     main(["quality", "--meta", f"{tmp_path}/out/run_meta"])
     main(["zscores", "--ledger", f"{tmp_path}/out/ledger"])

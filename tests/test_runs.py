@@ -1,13 +1,16 @@
 """Runs that are repeated, streams that lose their checkpoint, and input that is not friendly."""
 import base64
 import os
+import random
+import time
+from datetime import date, datetime
 
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from msgledger.functions import text as tx
-from msgledger.functions.clean import account_number
+from msgledger.functions import extract, text as tx
+from msgledger.functions.clean import account_number, to_date
 from msgledger.operators import fingerprint as fp
 from msgledger.operators.ledger import fill_balances
 from msgledger.options import Limits
@@ -151,3 +154,49 @@ def test_fingerprint_sums_are_wide(spark):
     assert "decimal(38,0)" in plan and "sum(w0" in plan
     top = spark.range(1000).select(F.lit("18446744073709551615").cast("decimal(38,0)").alias("w"))
     assert str(top.agg(F.sum("w")).schema[0].dataType) == "DecimalType(38,0)"
+
+
+@pytest.mark.parametrize("text", ["{" * 400_000 + "}", "{a" * 200_000 + "}" * 100_000])
+def test_first_object_is_linear(spark, text):
+    took = [timed(spark, extract.first_json_object, part) for part in (text[:len(text) // 4] + "}", text)]
+    assert took[1] < 8 * took[0] + 3
+
+
+@pytest.mark.parametrize("label", ["Available balance ", "New balance x "])
+def test_balance_is_linear(spark, label):
+    text = label * 70_000
+    for end in ("", "5", "5.00"):
+        took = [timed(spark, lambda c: extract.balance(c)["balance"].cast("string"), part + end) for part in (text[:len(text) // 4], text)]
+        assert took[1] < 8 * took[0] + 3
+
+
+def timed(spark, fn, text):
+    df = spark.createDataFrame([(text,)], "x string")
+    start = time.perf_counter()
+    df.select(fn(F.col("x"))).collect()
+    return time.perf_counter() - start
+
+
+def test_first_object_of_any_braces(column):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("{}ab") for _ in range(rng.randint(0, 14))) for _ in range(500)]
+
+    def slow(text):
+        opened, best = [], None
+        for i, c in enumerate(text):
+            if c == "{":
+                opened.append(i)
+            elif c == "}" and opened:
+                pair = (opened.pop(), i)
+                best = pair if best is None or pair < best else best
+        return None if best is None else text[best[0]:best[1] + 1]
+
+    assert column(extract.first_json_object, texts) == [slow(t) for t in texts]
+
+
+def test_free_form_dates(column):
+    texts = ["Fri Jan 5 10:00:00 2024", "Monday 5 January 2024", "05JAN2024", "Jan-05-2024", "2024 Jan 5", "2024-Jan-05",
+             "10:00 5 January 2024", "5 Jan 2024", "January 5, 2024", "Jan 5th, 2024", "5-Jan-2024", "20240105"]
+    assert column(to_date, texts) == [date(2024, 1, 5)] * len(texts)
+    assert column(tx.mail_timestamp, ["Fri, 5 Jan 24 10:00:00 +0000", "5 Jan 99 10:00"]) == [
+        datetime(2024, 1, 5, 10), datetime(1999, 1, 5, 10)]

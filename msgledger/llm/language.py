@@ -2,7 +2,8 @@
 
 Each language has a Zstandard raw-content dictionary made of sample texts. A text is encoded
 with every dictionary, whole, block by block; the language whose dictionary leaves the fewest
-bytes wins. Where the next one is almost as small, the prediction is marked as narrow.
+bytes wins. Where the next one is close, both are encoded again with more effort, and where it
+is still almost as small, the prediction is marked as narrow.
 """
 from __future__ import annotations
 
@@ -20,7 +21,8 @@ SAMPLE_CHARS = 4000  # characters taken from each of them
 DICTIONARY_BYTES = 128 * 1024
 TOTAL_BYTES = 64 * 1024 * 1024  # of all dictionaries; more languages get smaller ones
 BLOCK = 2048
-LEVEL = 12
+LEVELS = (3, 12)  # the second where the first leaves a margin below CLOSE
+CLOSE = 0.05
 NARROW = 0.01
 UNKNOWN = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -43,8 +45,9 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, sample_chars).alias("sample"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    least = rows.select("lang", "h").withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "h").distinct()
-    texts = rows.join(least, ["lang", "h"]).groupBy("lang", "h").agg(F.min("sample").alias("sample"))
+    least = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "h")
+    # At most ``sample_docs`` rows of two numbers per language.
+    texts = rows.join(F.broadcast(least), ["lang", "h"]).groupBy("lang", "h").agg(F.min("sample").alias("sample"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     samples: dict[str, list[bytes]] = {r["lang"]: [] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))}
     for r in texts.orderBy("lang", "h").toLocalIterator():
@@ -57,21 +60,29 @@ class Classifier:
     """Compressors with their dictionaries digested once."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.compressors = []
-        for lang, content in dictionaries.items():
-            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(level=LEVEL)
-            self.compressors.append((lang, zstandard.ZstdCompressor(
-                level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        self.names = list(dictionaries)
+        self.by_level = []
+        for level in LEVELS:
+            compressors = []
+            for content in dictionaries.values():
+                held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                held.precompute_compress(level=level)
+                compressors.append(zstandard.ZstdCompressor(
+                    level=level, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False))
+            self.by_level.append(compressors)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.compressors or not any(map(str.isalpha, text)):
+        if not text or not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         data = plain(text)
         blocks = [data[k:k + BLOCK] for k in range(0, len(data), BLOCK)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, (_, c) in enumerate(self.compressors))
-        best, k = sizes[0]
-        return self.compressors[k][0], 1.0 if len(sizes) == 1 else 1 - best / sizes[1][0]
+        for compressors in self.by_level:
+            sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in enumerate(compressors))
+            best, k = sizes[0]
+            score = 1.0 if len(sizes) == 1 else 1 - best / sizes[1][0]
+            if score >= CLOSE:
+                break
+        return self.names[k], score
 
 
 def predicted(text: Column, dictionaries: dict[str, bytes]) -> Column:

@@ -118,24 +118,29 @@ def resolve_accounts(
 
     A transfer of which not both sides resolve stays as it is. ``check_allowed`` adds
     ``entity_allowed`` and ``institution_allowed``: whether the resolved value is one of the
-    account table's. All look-ups are keyed on the rows as they come in; when the account
-    table is too big to broadcast, those rows are staged once and every hot key is counted
-    on the staged key columns.
+    account table's. All look-ups are keyed on the rows as they come in. When the account
+    table is too big to broadcast, the rows are staged once, the look-ups run on their key
+    columns alone, each bounded by its own table, and what they find is joined back once: other
+    columns, such as the text, move one time.
     """
     sizes = account_sizes(accounts, limits)
     if "external_account_number" not in rows.columns:
         rows = rows.withColumn("external_account_number", F.lit(None).cast("string"))
     keyed = _resolution_keys(rows, mask)
+    keys = ["_ours", "_other", "_ending", "internal_entity", "institution"]
     if not sizes.small:
-        keyed = stage_table(keyed, "keyed")
-    out = keyed
+        # Staged, so that the numbers stay with their rows.
+        keyed = stage_table(keyed.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    out = keyed if sizes.small else keyed.select("_row", *keys)
+
+    def held(dim: DataFrame) -> DataFrame:
+        return dim if sizes.small else stage_table(dim, "accounts")
 
     def find(dim: DataFrame, key: str, dim_rows: int | None) -> DataFrame:
-        count_on = None if sizes.small else keyed
-        return lookup(out, dim, [key], "left", limits, limits.broadcast_rows + 1 if dim_rows is None else dim_rows, count_on)
+        return lookup(out, held(dim), [key], "left", limits, dim_rows if sizes.small else None)
 
     if transfers:
-        dim = suffix_dimension(accounts, mask.suffix_length)
+        dim = held(suffix_dimension(accounts, mask.suffix_length))
         for key in ("_ours", "_other"):
             name = {"_ours": "_own_account", "_other": "_other_account"}[key]
             out = find(dim.select(F.col("suffix").alias(key), F.col("account").alias(name)), key, sizes.accounts)
@@ -147,6 +152,9 @@ def resolve_accounts(
             known = accounts.select(column).distinct().withColumn(f"_{column}_known", F.lit(True))
             out = find(known, column, sizes.accounts)
 
+    if not sizes.small:
+        out = keyed.join(out.drop(*keys), "_row")
+
     both = F.lit(False)
     if transfers:
         both = F.col("_own_account").isNotNull() & F.col("_other_account").isNotNull()

@@ -18,9 +18,15 @@ def collect_small(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     return rows
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Count at most ``max_rows + 1`` rows and compare."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, limits: Limits) -> bool:
+    """Whether a frame may be broadcast, by rows and by bytes; reads one row too many at most."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        simple = isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        bytes_ = F.lit(8) if simple else F.octet_length(F.col(f"`{f.name}`").cast("string"))
+        size = size + F.coalesce(bytes_, F.lit(0)) + 8
+    got = df.limit(limits.broadcast_rows + 1).agg(F.count("*").alias("n"), F.sum(size.cast("bigint")).alias("bytes")).first()
+    return got["n"] <= limits.broadcast_rows and (got["bytes"] or 0) <= limits.broadcast_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
@@ -59,7 +65,7 @@ def lookup(
 ) -> DataFrame:
     """Equi-join a large frame with a dimension that is unique in ``on``.
 
-    A dimension counted as small is broadcast. A larger one is joined by shuffle; the rows
+    A dimension counted as small, in rows and bytes, is broadcast. A larger one is joined by shuffle; the rows
     of a hot key (null counts as one) are then spread over as many salts as they need, and
     only the dimension rows of those keys are repeated, once per salt.
 
@@ -68,7 +74,7 @@ def lookup(
     each key once, so there is nothing hot to look for.
     """
     on = list(on)
-    small = is_small(dim, limits.broadcast_rows) if dim_rows is None else dim_rows <= limits.broadcast_rows
+    small = is_small(dim, limits) if dim_rows is None else dim_rows <= limits.broadcast_rows
     if small:
         return facts.join(F.broadcast(dim), on, how)
     if unique:

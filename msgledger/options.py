@@ -52,12 +52,13 @@ class Thresholds:
 class Limits:
     """Sizes that choose a plan; they never change a result.
 
-    broadcast_rows: a join side is broadcast only when counted at or below this.
+    broadcast_rows, broadcast_bytes: a join side is broadcast only when counted at or below both.
     hot_key_rows: a key with more rows than this is split over many tasks.
     chunk_rows: rows per contiguous piece when a hot key is split in order.
     """
 
     broadcast_rows: int = 200_000
+    broadcast_bytes: int = 64 * 1024 * 1024
     hot_key_rows: int = 5_000_000
     chunk_rows: int = 2_000_000
 

@@ -110,10 +110,10 @@ def account_scan(spark, sf):
 def master_state(spark, sf):
     rows = views.ledger(spark, sf)
     ids = rows.withColumn("record_id", F.when(F.col("ord") % 3 == 0, F.lit("n/a")).otherwise(F.col("ord").cast("string")))
-    return ids.agg(
-        F.count(F.nullif("message_id", F.lit(""))).alias("known_ids"),
-        F.max(F.col("record_id").try_cast("bigint")).alias("max_id"),
-        F.max("date").cast("string").alias("last_date"),
+    known = led.processed_ids(ids).agg(F.count("*"))
+    return led.last_date(ids).select(
+        known.scalar().alias("known_ids"), F.lit(led.max_record_id(ids)).cast("bigint").alias("max_id"),
+        F.col("last_date").cast("string").alias("last_date"),
     )
 
 
@@ -614,10 +614,12 @@ def replicate_files(spark, sf):
     matches = rep.replicate_matches(views.replicates(spark, sf))
     path = stage_path(spark, "replicates")
     sinks.write_replicates(matches, rep.match_rates(matches).select("run", "n"), path)
+    summary = spark.read.schema("run int, n bigint").csv(f"{path}/summary", header=True, enforceSchema=False)
     back = spark.read.schema("message_id string, struct_match boolean, id_match boolean, latency_ms bigint, run int").csv(
         f"{path}/results", header=True, enforceSchema=False
     )
-    return back.groupBy("run").agg(F.count("*").alias("n"), F.count_if("id_match").alias("id_ok"), F.max("latency_ms").alias("latency_ms"))
+    results = back.groupBy("run").agg(F.count_if("id_match").alias("id_ok"), F.max("latency_ms").alias("latency_ms"))
+    return results.join(summary, "run", "full").select("run", "n", "id_ok", "latency_ms")
 
 
 @query
@@ -712,7 +714,7 @@ def run_summary(spark, sf):
 
 @query
 def snapshot_roundtrip(spark, sf):
-    """Runs written, one of them twice, then one run exported as CSV and all read back."""
+    """Runs written twice over, the second time with other amounts, and all read back."""
     rows = views.ledger(spark, sf).select("message_id", "ord", "date", "amount", "run_id")
     path = stage_path(spark, "ledger")
     sinks.write_ledger(rows.withColumn("amount", F.lit(0).cast("decimal(18,2)")), path, many_runs=True)

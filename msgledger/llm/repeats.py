@@ -6,16 +6,21 @@ travel as one suffix: the anchor of a window is the least-hashed of its 20-byte
 windows have equal anchors, and a run of windows with one anchor is a region.
 
 1. First digit: the anchor's 20 bytes. Groups held by one document end here.
-2. Second digit: the whole region. A region that a smaller document has too goes entirely.
-3. Last digit: where only the anchor is shared, the 50-byte windows themselves.
+2. Second digit: the whole region. A region that a smaller document has too goes entirely. Of the
+   rest, those go on that share the 15 bytes to one side of the anchor with another document, as
+   any two equal windows do.
+3. Last digit: the 50-byte windows of these regions.
 
 A task first drops what it finds repeated in its own input, so a passage that many documents
-share leaves each task once. Digits are 64-bit hashes (40 bits for the first, which only selects).
+share leaves each task once. Digits are hashes: 40 bits for the first and 16 for the sides, which
+only select, 48 more for regions, 64 for windows. They travel as packed arrays, one row for each
+bucket of first digits.
 """
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +30,14 @@ from msgledger.llm.common import small_batches, stage_table, utf8
 
 LENGTH = 50
 GRAM = 20
+SIDE = (LENGTH - GRAM) // 2
 PIECE = 1 << 20  # bytes hashed at a time
 HELD = 1_000_000  # regions a task collects before it sends them
 BUCKET = 1_000_000  # regions of a bucket, about
 REMOVED, OPEN = 1, 2
+REGION_BITS = 48
 U = np.uint64
+_NONE = np.zeros(0, np.int64)
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -66,14 +74,25 @@ class Hasher:
         return _mix((sums[size:] - sums[:n]) * self.down[:n])
 
 
-def regions(hasher: Hasher, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """First window, last window, anchor hash and region hash of each region of a piece that holds
-    texts ending at ``ends``; and the running sums."""
+class Regions(NamedTuple):
+    """First window, last window, anchor, hash of the anchor's bytes and of all bytes."""
+
+    first: np.ndarray
+    last: np.ndarray
+    anchor: np.ndarray
+    k: np.ndarray
+    r: np.ndarray
+
+
+NOTHING = Regions(_NONE, _NONE, _NONE, _NONE.astype(np.uint64), _NONE.astype(np.uint64))
+
+
+def regions(hasher: Hasher, data: np.ndarray, ends: np.ndarray) -> tuple[Regions, np.ndarray]:
+    """The regions of a piece that holds texts ending at ``ends``, and the running sums."""
     sums = hasher.sums(data)
     n = len(data) - LENGTH + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64), sums
+        return NOTHING, sums
     grams = hasher.fixed(sums, GRAM)
     least, at, width, wanted = grams, np.arange(len(grams), dtype=np.int32), 1, LENGTH - GRAM + 1
     while width < wanted:
@@ -86,11 +105,36 @@ def regions(hasher: Hasher, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndar
     inside = np.arange(n) + LENGTH <= np.repeat(ends, sizes)[:n]
     windows = np.flatnonzero(inside)
     if not len(windows):
-        return none, none, none.astype(np.uint64), none.astype(np.uint64), sums
+        return NOTHING, sums
     anchor = at[windows]
     new = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
     first, last = windows[new], windows[np.append(new[1:], len(windows)) - 1]
-    return first, last, grams[anchor[new]], hasher.of(sums, first, last + LENGTH), sums
+    whole = hasher.of(sums, first, last + LENGTH) >> U(64 - REGION_BITS)
+    return Regions(first, last, anchor[new], grams[anchor[new]], whole), sums
+
+
+def sides(hasher: Hasher, sums: np.ndarray, found: Regions, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """16 bits for the bytes before and behind each anchor; 0 where the text ends before."""
+    place = np.searchsorted(ends, found.first, "right")
+    start, end = np.concatenate(([0], ends))[place], ends[place]
+
+    def bits(ok: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ok), "<u2")
+        out[ok] = (hasher.of(sums, a[ok], b[ok]) >> U(48)) | U(1)
+        return out
+
+    left, right = found.anchor.astype(np.int64) - SIDE, found.anchor.astype(np.int64) + GRAM + SIDE
+    return bits(left >= start, left, left + SIDE), bits(right <= end, right - SIDE, right)
+
+
+def _six(r: np.ndarray) -> bytes:
+    return np.ascontiguousarray(r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :REGION_BITS // 8]).tobytes()
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
 
 def pieces_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -141,8 +185,16 @@ def _unpack(base: int, data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) + base
 
 
-MAPPED = "bucket long, kind int, doc long, low binary, region binary, docs binary"
+MAPPED = "bucket long, kind int, doc long, low binary, region binary, sides binary, docs binary"
 FOUND = "doc long, kind int, regions binary"
+TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Tuples as a batch with the columns of a schema string."""
+    columns = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[j] for r in rows], TYPES[kind]) for j, (_, kind) in enumerate(columns)], [name for name, _ in columns])
 
 
 def first_digits(docs: DataFrame, bits: int) -> DataFrame:
@@ -150,38 +202,36 @@ def first_digits(docs: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            doc, k, r = (np.concatenate([h[j] for h in held]) for j in range(3))
+            doc, k, r, side = (np.concatenate([h[j] for h in held]) for j in range(4))
             order = np.argsort(doc, kind="stable")
             order = order[np.argsort((r ^ (k * U(FACTOR)))[order], kind="stable")]
-            doc, k, r = doc[order], k[order], r[order]
+            doc, k, r, side = doc[order], k[order], r[order], side[order]
             new = np.concatenate(([True], (k[1:] != k[:-1]) | (r[1:] != r[:-1])))
             least = doc[new][np.cumsum(new) - 1]
-            rows = [(d % (1 << bits), REMOVED, d, None, x, None) for d, x in _by_doc(doc[doc > least], r[doc > least])]
-            doc, k, r = doc[new], k[new], r[new]
+            rows = [(d % (1 << bits), REMOVED, d, None, x, None, None) for d, x in _by_doc(doc[doc > least], r[doc > least])]
+            doc, k, r, side = doc[new], k[new], r[new], side[new]
             bucket = (k >> U(64 - bits)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            doc, r, bucket = doc[order], r[order], bucket[order]
+            doc, r, bucket, side = doc[order], r[order], bucket[order], side[order]
             low = ((k[order] >> U(32 - bits)) & U(0xFFFFFFFF)).astype("<u4")
             starts = np.concatenate(([0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1))
             for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
                 base, packed = _pack(doc[a:b])
-                rows.append((int(bucket[a]), 0, base, low[a:b].tobytes(), r[a:b].tobytes(), packed))
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                rows.append((int(bucket[a]), 0, base, low[a:b].tobytes(), _six(r[a:b]), side[a:b].tobytes(), packed))
             for a in range(0, len(rows), 1000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[j] for x in rows[a:a + 1000]], t) for j, t in enumerate(types)],
-                    ["bucket", "kind", "doc", "low", "region", "docs"])
+                yield _batch(rows[a:a + 1000], MAPPED)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for data, ends, names, _ in pieces_of(batch.column(1).to_pylist()):
-                first, _, k, r, _ = regions(hasher, data, ends)
-                held.append((ids[names[np.searchsorted(ends, first, "right")]], k, r))
-                size += len(first)
+                found, sums = regions(hasher, data, ends)
+                both = np.stack(sides(hasher, sums, found, ends), axis=1)
+                held.append((ids[names[np.searchsorted(ends, found.first, "right")]], found.k, found.r, both))
+                size += len(found.first)
             if size > HELD:
                 yield from flush()
                 held, size = [], 0
@@ -192,8 +242,8 @@ def first_digits(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def second_digits(mapped: DataFrame, bits: int) -> DataFrame:
-    """(doc, kind, regions): regions to remove, and those whose anchor another document shares
-    with other bytes around it; of equal regions only the smallest document's is opened."""
+    """(doc, kind, regions): regions to remove, and those whose anchor and one side of it another
+    document shares; of equal regions only the smallest document's is opened."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = [(d, REMOVED, x) for kind, d, x in zip(*(table.column(c).to_pylist() for c in ("kind", "doc", "region")), strict=True)
@@ -202,26 +252,36 @@ def second_digits(mapped: DataFrame, bits: int) -> DataFrame:
         if entries.num_rows:
             k = np.concatenate([np.frombuffer(x, "<u4") for x in entries.column("low").to_pylist()])
             region = entries.column("region").to_pylist()
-            r = np.concatenate([np.frombuffer(x, np.uint64) for x in region])
-            doc = np.concatenate([_unpack(base, x, len(g) // 8) for base, x, g in zip(
+            r = np.concatenate([_from_six(x) for x in region])
+            side = np.concatenate([np.frombuffer(x, "<u2").reshape(-1, 2) for x in entries.column("sides").to_pylist()])
+            doc = np.concatenate([_unpack(base, x, len(g) // 6) for base, x, g in zip(
                 entries.column("doc").to_pylist(), entries.column("docs").to_pylist(), region, strict=True)])
             order = np.lexsort((doc, r, k))
-            k, r, doc = k[order], r[order], doc[order]
+            k, r, doc, side = k[order], r[order], doc[order], side[order]
             newk = np.concatenate(([True], k[1:] != k[:-1]))
             new = newk | np.concatenate(([True], r[1:] != r[:-1]))
             gone = doc > doc[new][np.cumsum(new) - 1]
             rows += [(d, REMOVED, x) for d, x in _by_doc(doc[gone], r[gone])]
-            k, r, doc = k[new], r[new], doc[new]
-            starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            shared = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
-            shared = np.repeat(shared, np.diff(np.append(starts, len(k))))
+            k, r, doc, side = k[new], r[new], doc[new], side[new]
+            shared = _shared(k, side[:, 0], doc) | _shared(k, side[:, 1], doc)
             rows += [(d, OPEN, x) for d, x in _by_doc(doc[shared], r[shared])]
-        types = (pa.int64(), pa.int32(), pa.binary())
-        return pa.Table.from_arrays([pa.array([x[j] for x in rows], t) for j, t in enumerate(types)], ["doc", "kind", "regions"])
+        return pa.Table.from_batches([_batch(rows, FOUND)])
 
     return mapped.groupBy("bucket").applyInArrow(run, FOUND)
 
 
+def _shared(k: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Where another document has the same anchor and side."""
+    key = (k.astype(np.uint64) << U(16)) | side
+    order = np.argsort(key, kind="stable")
+    key, doc, known = key[order], doc[order], side[order] != 0
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    many = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+    out = np.zeros(len(k), bool)
+    out[order] = np.repeat(many, np.diff(np.append(starts, len(k)))) & known
+    return out
+
+
 def covered(size: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     marks = np.zeros(size + 1, np.int32)
     np.add.at(marks, starts, 1)
@@ -241,10 +301,13 @@ def _spans(runs: list[tuple[int, int]]) -> bytes:
     return np.array(runs, "<i8").tobytes()
 
 
-def last_digits(joined: DataFrame, keep_bytes: bool) -> DataFrame:
-    """Results of texts that are decided; of the others the text, the spans and the open windows."""
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, left {}, text binary, at binary, hashes binary".format(
-        "binary" if keep_bytes else "string")
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, left {}"
+
+
+def decided(joined: DataFrame, keep_bytes: bool) -> DataFrame:
+    """Results of texts that have no open regions; of the others the text, the spans so far and the
+    open regions (hash of the anchor, first window, number of windows)."""
+    schema = RESULT.format("binary" if keep_bytes else "string") + ", text binary, k binary, first binary, size binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -252,63 +315,94 @@ def last_digits(joined: DataFrame, keep_bytes: bool) -> DataFrame:
             rows = []
             for doc, data, removed, open_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 gone, wanted = (np.frombuffer(b"".join(x or []), np.uint64) for x in (removed, open_))
-                starts, ends, at, hashes = [], [], [], []
+                none = np.zeros(0, np.int64)
+                starts, ends, k, first, size = [none], [none], [], [], []
                 for part, stops, _, offset in pieces_of([data]) if len(gone) or len(wanted) else ():
-                    first, last, _, r, sums = regions(hasher, part, stops)
-                    out = np.isin(r, gone)
-                    starts.append(first[out] + offset)
-                    ends.append(last[out] + LENGTH + offset)
-                    ask = np.isin(r, wanted) & ~out
+                    found, _ = regions(hasher, part, stops)
+                    out = np.isin(found.r, gone)
+                    starts.append(found.first[out] + offset)
+                    ends.append(found.last[out] + LENGTH + offset)
+                    ask = np.isin(found.r, wanted) & ~out
                     if ask.any():
-                        sizes = last[ask] - first[ask] + 1
-                        where = np.repeat(first[ask] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                        at.append(where + offset)
-                        hashes.append(hasher.of(sums, where, where + LENGTH))
-                mask = covered(len(data), *(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends)))
+                        k.append(found.k[ask])
+                        first.append(found.first[ask] + offset)
+                        size.append(found.last[ask] - found.first[ask] + 1)
+                mask = covered(len(data), np.concatenate(starts), np.concatenate(ends))
                 n, m, runs, left = result_of(data, mask, keep_bytes)
-                if at:
-                    rows.append((doc, len(data), n, m, _spans(runs), None, data,
-                                 np.concatenate(at).astype("<i8").tobytes(), np.concatenate(hashes).tobytes()))
+                row = (doc, len(data), n, m, _spans(runs))
+                if k:
+                    packed = (np.concatenate(x).astype(kind).tobytes() for x, kind in ((k, "<u8"), (first, "<i8"), (size, "<i4")))
+                    rows.append((*row, None, data, *packed))
                 else:
-                    rows.append((doc, len(data), n, m, _spans(runs), left, None, None, None))
-            types = [pa.int64()] * 4 + [pa.binary(), pa.binary() if keep_bytes else pa.string()] + [pa.binary()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in rows], t) for j, t in enumerate(types)],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "left", "text", "at", "hashes"])
+                    rows.append((*row, left, None, None, None, None))
+            yield _batch(rows, schema)
 
     return joined.mapInArrow(run, schema)
 
 
-def windows(open_: DataFrame) -> DataFrame:
-    """(hash, doc, at) of every open window."""
+OPENED = "bucket long, doc long, first binary, size binary, bytes binary"
+
+
+def opened(open_: DataFrame, bits: int) -> DataFrame:
+    """The bytes of the open regions, by bucket of their anchor: a row for each text and bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, at, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = np.frombuffer(hashes, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(np.full(len(h), doc)), pa.array(np.frombuffer(at, "<i8"))], ["hash", "doc", "at"])
+            for doc, data, k, first, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                k, first, size = np.frombuffer(k, "<u8"), np.frombuffer(first, "<i8"), np.frombuffer(size, "<i4")
+                bucket = (k >> U(64 - bits)).astype(np.int64)
+                rows = []
+                for b in np.unique(bucket):
+                    here = np.flatnonzero(bucket == b)
+                    parts = b"".join(data[f:f + n + LENGTH - 1] for f, n in zip(first[here].tolist(), size[here].tolist(), strict=True))
+                    rows.append((int(b), doc, first[here].tobytes(), size[here].tobytes(), parts))
+                yield _batch(rows, OPENED)
+
+    return open_.select("doc_id", "text", "k", "first", "size").mapInArrow(run, OPENED)
 
-    return open_.select("doc_id", "at", "hashes").mapInArrow(run, "hash long, doc long, at long")
+
+def last_digits(rows: DataFrame) -> DataFrame:
+    """(doc, starts): the windows of open regions that a smaller document has, too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, first, size, data = (table.column(c).to_pylist() for c in ("doc", "first", "size", "bytes"))
+        first = [np.frombuffer(x, "<i8") for x in first]
+        size = [np.frombuffer(x, "<i4").astype(np.int64) for x in size]
+        hashes, places = [], []
+        hasher = Hasher(max(map(len, data)))
+        for part, starts, sizes in zip(data, first, size, strict=True):
+            every = hasher.fixed(hasher.sums(np.frombuffer(part, np.uint8)), LENGTH)
+            begin = np.cumsum(sizes + LENGTH - 1) - (sizes + LENGTH - 1)
+            step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            hashes.append(every[np.repeat(begin, sizes) + step])
+            places.append(np.repeat(starts, sizes) + step)
+        doc = np.repeat(np.array(ids), [len(h) for h in hashes])
+        h, at = np.concatenate(hashes), np.concatenate(places)
+        order = np.lexsort((doc, h))
+        h, doc, at = h[order], doc[order], at[order]
+        new = np.concatenate(([True], h[1:] != h[:-1]))
+        later = doc > doc[new][np.cumsum(new) - 1]
+        return pa.Table.from_batches([_batch(list(_by_doc(doc[later], at[later])), "doc long, starts binary")])
+
+    return rows.groupBy("bucket").applyInArrow(run, "doc long, starts binary")
 
 
 def _finish(rows: DataFrame, keep_bytes: bool) -> DataFrame:
     """Open texts with the windows found in smaller documents."""
-    kind = "binary" if keep_bytes else "string"
+    schema = RESULT.format("binary" if keep_bytes else "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for doc, data, spans, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 known = np.frombuffer(spans, "<i8").reshape(-1, 2)
-                more = np.array(at or [], np.int64)
+                more = np.unique(np.frombuffer(b"".join(at or []), "<i8"))
                 mask = covered(len(data), np.concatenate((known[:, 0], more)), np.concatenate((known[:, 1], more + LENGTH)))
                 n, m, runs, left = result_of(data, mask, keep_bytes)
                 out.append((doc, len(data), n, m, _spans(runs), left))
-            types = [pa.int64()] * 4 + [pa.binary(), pa.binary() if keep_bytes else pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate(types)],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "left"])
+            yield _batch(out, schema)
 
-    return rows.mapInArrow(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, spans binary, left {kind}")
+    return rows.mapInArrow(run, schema)
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))
@@ -335,14 +429,11 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     lists = found.groupBy(F.col("doc").alias("d")).agg(*[
         F.collect_list(F.when(F.col("kind") == kind, F.col("regions"))).alias(name) for kind, name in ((REMOVED, "gone"), (OPEN, "wanted"))])
     joined = rows.join(lists, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "gone", "wanted")
-    part = stage_table(last_digits(joined, keep_bytes), "repeats-part")
+    part = stage_table(decided(joined, keep_bytes), "repeats-part")
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "left"]
     open_ = part.where("text IS NOT NULL")
-    seen = stage_table(windows(open_), "repeats-windows")
-    least = seen.groupBy(F.col("hash").alias("h")).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    least = stage_table(least.where("least < most").select("h", "least"), "repeats-shared")
-    later = seen.join(least, F.col("hash") == F.col("h")).where("doc > least")
-    later = later.groupBy(F.col("doc").alias("d")).agg(F.collect_set("at").alias("more"))
+    later = stage_table(last_digits(opened(open_, bits)), "repeats-windows")
+    later = later.groupBy(F.col("doc").alias("d")).agg(F.collect_list("starts").alias("more"))
     ended = _finish(open_.join(later, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "spans", "more"), keep_bytes)
     every = part.where("text IS NULL").select(*columns).unionByName(ended)
     return every.select("doc_id", "n_bytes", "n_removed", "n_spans", _span_list("spans").alias("spans"), "left")

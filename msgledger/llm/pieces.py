@@ -21,11 +21,15 @@ from msgledger.llm.common import small_batches, worker_cache
 from msgledger.llm.vocab import SPACE, Pieces, load, pretokens
 
 N_BEST = 4
-KNOWN = 400_000  # pre-tokens a worker remembers; beyond, it starts anew
+KNOWN = 200_000  # pre-tokens a worker remembers; beyond, it starts anew
 RESULT = T.StructType([
     T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.LongType())),
     T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType())])
+ALIKE = 48  # pre-tokens up to this length are segmented many at once
+SQUARE = 50_000  # characters of them at a time
+CHUNK = 100  # texts segmented together
 NEVER = -(1 << 62)
+NOT_HERE = (None, False)
 
 
 class Segmented(NamedTuple):
@@ -49,11 +53,40 @@ class Lattice:
         self.score_of = {p: round(pieces.scores[i]) for p, i in pieces.ids.items()}
         self.unknown = min((s for s in self.score_of.values() if s > -1e8), default=0) - 10
         self.starts = {p[:k] for p in pieces.ids for k in range(1, len(p))}
-        self.cut = pretokens(pieces)
+        # Of each piece and each beginning of one: its score, and whether longer pieces begin so.
+        self.step = {p: (self.score_of.get(p), p in self.starts) for p in {*self.starts, *self.score_of}}
+        self.inside = {pair for p in pieces.ids for pair in zip(p, p[1:], strict=False)}
+        self.pretokens = pretokens(pieces)
+        self._make_tree()
         self.bytes_of = {i: p.encode("utf-8") for p, i in pieces.ids.items()} | {
             i: bytes([b]) for b, i in pieces.byte_ids.items()}
         self.forget()
 
+    def cut(self, text: str | None) -> list[str]:
+        """Pre-tokens; long ones are cut further, between characters that no piece has side by side."""
+        tokens = self.pretokens(text)
+        if max(map(len, tokens), default=0) <= ALIKE:
+            return tokens
+        out = []
+        for token in tokens:
+            start = 0
+            for at in range(1, len(token) if len(token) > ALIKE else 0):
+                if (token[at - 1], token[at]) not in self.inside:
+                    out.append(token[start:at])
+                    start = at
+            out.append(token[start:])
+        return out
+
+    def _make_tree(self) -> None:
+        """The beginnings of pieces as a tree: an edge (node, character) leads to the longer one."""
+        names = sorted(self.step, key=len)
+        number = {"": 0, **{p: n for n, p in enumerate(names, 1)}}
+        edges = np.array([(number[p[:-1]] << 21) | ord(p[-1]) for p in names], np.int64)
+        order = np.argsort(edges)
+        self.edges, self.targets = edges[order], (order + 1).astype(np.int64)
+        self.node_score = np.array([NEVER, *(NEVER if self.step[p][0] is None else self.step[p][0] for p in names)], np.int64)
+        self.node_id = np.array([-1, *(self.ids.get(p, -1) for p in names)], np.int64)
+
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.tokens: list[str] = []
@@ -87,30 +120,24 @@ class Lattice:
         one.append(NEVER)
         two.append(NEVER)
         one[0] = 0
-        score_of, starts = self.score_of.get, self.starts
+        step = self.step.get
         for start in range(size):
             base, second = one[start], two[start]
-            single = False
-            end = start
-            while end < size:
-                end += 1
-                part = token[start:end]
-                score = score_of(part)
+            for end in range(start + 1, size + 1):
+                score, more = step(token[start:end], NOT_HERE)
                 if score is None:
-                    if end == start + 1:
-                        score = self.unknown * len(part.encode("utf-8", "surrogatepass"))
-                        single = part not in starts
-                    elif part in starts:
-                        continue
-                    else:
+                    if end > start + 1:
+                        if more:
+                            continue
                         break
+                    score = self.unknown * len(token[start].encode("utf-8", "surrogatepass"))
                 here = base + score
                 if here > one[end]:
                     two[end] = one[end] if one[end] > second + score else second + score
                     one[end], by[end] = here, start
                 elif here > two[end]:
                     two[end] = here
-                if single or part not in starts:
+                if not more:
                     break
         parts, at = [], size
         while at:
@@ -121,7 +148,10 @@ class Lattice:
         return one[size], ids, loss if two[size] > NEVER // 2 else -NEVER
 
     def n_best(self, token: str, n: int) -> list[tuple[int, list[int]]]:
-        """(score, ids) of the n best segmentations, best first, by backward A*."""
+        """(score, ids) of the n best segmentations, best first, by backward A*.
+
+        No place is on more than n of the n best ends, so each is opened n times at most.
+        """
         size = len(token)
         best = [0] + [NEVER] * size
         into: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
@@ -129,7 +159,7 @@ class Lattice:
             for end, score in self.arcs(token, start):
                 into[end].append((start, score))
                 best[end] = max(best[end], best[start] + score)
-        order = 0
+        order, opened = 0, [0] * (size + 1)
         heap = [(-best[size], order, size, 0, ())]
         out = []
         while heap and len(out) < n:
@@ -141,27 +171,96 @@ class Lattice:
                     here, path = path
                 out.append((-negative, ids))
                 continue
+            opened[at] += 1
+            if opened[at] > n:
+                continue
             for start, score in into[at]:
                 order += 1
                 heapq.heappush(heap, (-(best[start] + done + score), order, start, done + score, (at, path)))
         return out
 
-    def learn(self, tokens: list[str]) -> None:
+    def learn(self, tokens: Iterable[str]) -> None:
+        by_size: dict[int, list[str]] = {}
         for token in tokens:
-            score, ids, loss = self.first(token)
-            self.known[token] = len(self.tokens)
-            self.tokens.append(token)
-            self.best.append(score)
-            self.loss.append(loss)
-            self.flat.extend(ids)
+            by_size.setdefault(len(token), []).append(token)
+        for size, same in by_size.items():
+            if size > ALIKE or len(same) < 8:
+                for token in same:
+                    self._add([token], *([x] for x in self.first(token)))
+                continue
+            for at in range(0, len(same), SQUARE // size):
+                self._learn_alike(same[at:at + SQUARE // size], size)
+
+    def _add(self, tokens: list[str], best, ids, loss) -> None:
+        self.known.update(zip(tokens, range(len(self.tokens), len(self.tokens) + len(tokens)), strict=True))
+        self.tokens.extend(tokens)
+        self.best.extend(best)
+        self.loss.extend(loss)
+        for found in ids:
+            self.flat.extend(found)
             self.ends.append(len(self.flat))
 
+    def _learn_alike(self, tokens: list[str], size: int) -> None:
+        """``first`` for many pre-tokens of one length at once: a row each, one pass over places."""
+        chars = np.array(tokens, f"<U{size}").view(np.uint32).reshape(len(tokens), size).astype(np.int64)
+        # scores[n - 1][row, start]: the piece of n characters there; NEVER if there is none.
+        scores, ids = [], []
+        row, start = (x.ravel() for x in np.indices(chars.shape))
+        node = np.zeros(len(row), np.int64)
+        for n in range(1, size + 1):
+            key = (node << 21) | chars[row, start + n - 1]
+            at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            hit = self.edges[at] == key
+            row, start, node = row[hit], start[hit], self.targets[at[hit]]
+            if not len(row):
+                break
+            score, piece = np.full(chars.shape, NEVER), np.full(chars.shape, -1)
+            score[row, start], piece[row, start] = self.node_score[node], self.node_id[node]
+            scores.append(score)
+            ids.append(piece)
+            more = start + n < size
+            row, start, node = row[more], start[more], node[more]
+        plain = (scores[0] > NEVER).all(axis=1) if scores else np.zeros(len(tokens), bool)
+        for k in np.flatnonzero(~plain):  # a character that is no piece
+            self._add([tokens[k]], *([x] for x in self.first(tokens[k])))
+        keep = np.flatnonzero(plain)
+        if not len(keep):
+            return
+        scores, ids = [s[keep] for s in scores], [i[keep] for i in ids]
+        one, two = np.full((len(keep), size + 1), NEVER), np.full((len(keep), size + 1), NEVER)
+        by = np.zeros((len(keep), size + 1), np.int64)
+        one[:, 0] = 0
+        for end in range(1, size + 1):
+            best, second = one[:, end], two[:, end]
+            for n in range(min(end, len(scores)), 0, -1):
+                score = scores[n - 1][:, end - n]
+                if n > 1 and not (score > NEVER).any():
+                    continue
+                here, next_ = one[:, end - n] + score, two[:, end - n] + score
+                better = here > best
+                second = np.where(better, np.maximum(best, next_), np.maximum(second, here))
+                best = np.where(better, here, best)
+                by[better, end] = n
+            one[:, end], two[:, end] = best, second
+        parts: list[list[int]] = [[] for _ in keep]
+        at, rows = np.full(len(keep), size), np.arange(len(keep))
+        stack = np.stack(ids)
+        while len(rows):
+            n = by[rows, at[rows]]
+            at[rows] -= n
+            for r, i in zip(rows.tolist(), stack[n - 1, rows, at[rows]].tolist(), strict=True):
+                parts[r].append(i)
+            rows = rows[at[rows] > 0]
+        loss = np.where(two[:, size] > NEVER // 2, one[:, size] - two[:, size], -NEVER)
+        self._add([tokens[k] for k in keep], one[:, size].tolist(), (p[::-1] for p in parts), loss.tolist())
+
     def segment(self, texts: Sequence[str | None], n: int, others: bool = False) -> list[Segmented]:
         if len(self.known) > KNOWN:
             self.forget()
         cut = [self.cut(t) for t in texts]
-        self.learn(sorted(set().union(*cut).difference(self.known)))
-        best, loss, flat, ends = (np.array(x) for x in (self.best, self.loss, self.flat, self.ends))
+        self.learn(set().union(*cut).difference(self.known))
+        best, loss, flat, ends = (np.frombuffer(x, x.typecode) if len(x) else np.zeros(0, np.int64) for x in (
+            self.best, self.loss, self.flat, self.ends))
         out = []
         for tokens in cut:
             at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
@@ -213,8 +312,8 @@ def segmented(text: Column, model: str, n: int = N_BEST, others: bool = False) -
         lattice = worker_cache(f"lattice:{pieces.name}", lambda: Lattice(pieces))
         found, back = [], []
         values = texts.to_pylist()
-        for k in range(0, len(values), 50):
-            found += lattice.segment(values[k:k + 50], n, others)
+        for k in range(0, len(values), CHUNK):
+            found += lattice.segment(values[k:k + CHUNK], n, others)
         back = [lattice.decode(f.ids.tolist()) for f in found]
         offsets = np.cumsum([0, *(len(f.ids) for f in found)], dtype=np.int32)
         ids = np.concatenate([f.ids for f in found]) if found else np.zeros(0, np.int32)
@@ -234,7 +333,7 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, others: bool = False) -
     mark itself decodes with a space there. Texts are whole. Equal scores keep the order of the
     search, which depends on the text alone. All columns pass through; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession, 200)
+    small_batches(docs.sparkSession, 400)
     return docs.withColumn("encoded", segmented(F.col("text"), model, n, others))
 
 

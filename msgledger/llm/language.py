@@ -38,17 +38,23 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
     """Dictionaries by language from columns text and lang, the language with most rows first.
 
     The sample is bounded: the ``sample_docs`` texts of a language with the smallest hashes of
-    their text, ``sample_chars`` characters of each. Only hashes are ranked, with a limit in
-    each task before the shuffle, so a frequent language costs no more than a rare one. Rows
-    without text or lang teach nothing.
+    their text, ``sample_chars`` characters of each. Only hashes are ranked, and of a language only
+    those below a cut that leaves some eight times as many as are wanted, so a frequent language
+    costs no more than a rare one. Rows without text or lang teach nothing.
     """
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, sample_chars).alias("sample"))
+    # One row per language, whose dictionaries the driver holds as well.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("distinct")).collect()
+    if not counts:
+        return {}
+    cuts = rows.sparkSession.createDataFrame(
+        [(r["lang"], int(min(1, 8 * sample_docs / r["distinct"]) * (2**64 - 2**12)) - 2**63) for r in counts], "lang string, cut long")
+    below = rows.join(F.broadcast(cuts), "lang").where(F.col("h") <= F.col("cut"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    least = rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "h")
+    least = below.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "h")
     # At most ``sample_docs`` rows of two numbers per language.
     texts = rows.join(F.broadcast(least), ["lang", "h"]).groupBy("lang", "h").agg(F.min("sample").alias("sample"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     samples: dict[str, list[bytes]] = {r["lang"]: [] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))}
     for r in texts.orderBy("lang", "h").toLocalIterator():
         samples[r["lang"]].append(plain(r["sample"]))

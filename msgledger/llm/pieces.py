@@ -21,7 +21,7 @@ from msgledger.llm.common import small_batches, worker_cache
 from msgledger.llm.vocab import SPACE, Pieces, load, pretokens
 
 N_BEST = 4
-KNOWN = 200_000  # pre-tokens a worker remembers; beyond, it starts anew
+KNOWN = 150_000  # pre-tokens a worker remembers; beyond, it starts anew
 RESULT = T.StructType([
     T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.LongType())),
     T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType())])

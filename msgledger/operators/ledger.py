@@ -68,7 +68,9 @@ def _first_base(running: Column, mode: str) -> Column:
 
 def _fill_by_window(rows: DataFrame, order: list[str], mode: str, forward_only: bool) -> DataFrame:
     """One shuffle by account; the frames run over the same sorted rows."""
-    by_account = Window.partitionBy(account_key()).orderBy(*order)
+    # A column of its own: the windows would not share a shuffle by an expression.
+    rows = rows.withColumn("_account", account_key())
+    by_account = Window.partitionBy("_account").orderBy(*order)
     so_far = by_account.rowsBetween(Window.unboundedPreceding, 0)
     # The whole partition, not "from here on": that frame is evaluated once per account,
     # and only rows before the first known balance use it.
@@ -80,7 +82,7 @@ def _fill_by_window(rows: DataFrame, order: list[str], mode: str, forward_only:
         else F.first(_first_base(F.col("_s"), mode), ignorenulls=True).over(whole),
     })
     filled = _filled(F.col("available_balance"), F.col("_last"), F.col("_first"), F.col("_s"), _amount(), mode)
-    return based.withColumn("available_balance", filled).drop("_s", "_last", "_first")
+    return based.withColumn("available_balance", filled).drop("_s", "_last", "_first", "_account")
 
 
 def _fill_by_chunks(rows: DataFrame, order: list[str], mode: str, forward_only: bool, chunks: int,

@@ -5,7 +5,8 @@ sketch per (lang, source, measure): a log-linear histogram of whole numbers, who
 significant bits wide. Sketches merge by adding bin counts, so they are built with map-side
 combine, do not depend on order, and merge upwards: a group with few rows uses the sketch of
 its language, and a language with few rows that of all documents. Fences come from the sketch's
-quantiles and are joined back to the rows.
+quantiles and are joined back to the rows; they lean on the median and on the narrower side of
+it, so that junk on one side moves them only where it is half of a group or more.
 """
 from __future__ import annotations
 
@@ -26,8 +27,8 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Fence:
-    """How far a measure may lie from its group's bulk: ``spread`` times the distance between
-    the median and the 9th decile (1st for the lower side), plus ``slack``."""
+    """How far a measure may lie from its group's median: ``spread`` + 1 times the distance to the
+    nearer of the outer deciles, plus ``slack``. A decile that has become junk is the farther one."""
 
     spread: int
     slack: int
@@ -133,14 +134,14 @@ def thresholds(sketch: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
             F.col("of_lang.rows") >= min_rows, F.col(f"of_lang.{q}")).otherwise(F.col(f"of_all.{q}"))
 
     got = got.select("l", "source", "measure", *[pick(q).alias(q) for q in ("q1", "q5", "q9")])
+    near = F.least(F.col("q9") - F.col("q5"), F.col("q5") - F.col("q1"))
     out = []
     for m, fence in FENCES.items():
         mine = F.col("measure") == m
-        high = F.col("q9") + fence.spread * (F.col("q9") - F.col("q5")) + fence.slack
-        out.append(F.max(F.when(mine, high)).alias(f"hi_{m}"))
+        room = (fence.spread + 1) * near + fence.slack
+        out.append(F.max(F.when(mine, F.col("q5") + room)).alias(f"hi_{m}"))
         if fence.lower:
-            low = F.col("q1") - fence.spread * (F.col("q5") - F.col("q1")) - fence.slack
-            out.append(F.max(F.when(mine, low)).alias(f"lo_{m}"))
+            out.append(F.max(F.when(mine, F.col("q5") - room)).alias(f"lo_{m}"))
     return got.groupBy(F.col("l").alias("t_lang"), F.col("source").alias("t_source")).agg(*out)
 
 

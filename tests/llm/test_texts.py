@@ -73,6 +73,18 @@ def test_small_groups_use_merged_sketches(spark):
     assert len(limits) == 5 and len({r["hi_word_length"] for r in limits}) == 1
 
 
+@pytest.mark.parametrize(("share", "spoil"), [(15, "{}###"), (30, "{}###"), (30, "{}\nas above\n")])
+def test_junk_in_a_group_does_not_move_its_fences(spark, share, spoil):
+    rng = random.Random(21)
+    prose = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps", "zeta"]) + str(rng.randrange(500))
+                      for _ in range(rng.randint(60, 90))) for _ in range(100)]
+    docs = table(spark, [" ".join(map(spoil.format, p.split())) if i < share else p for i, p in enumerate(prose)])
+    many = docs.crossJoin(spark.range(100).select(F.col("id").alias("again")))
+    for rows in (docs, many):
+        kept = quality.score(rows).where("kept").groupBy("doc_id").count().collect()
+        assert {r["doc_id"]: r["count"] for r in kept} == dict.fromkeys(range(share, 100), rows.count() // 100)
+
+
 # Line dedup.
 
 def slow_lines(rows):

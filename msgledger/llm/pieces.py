@@ -24,7 +24,8 @@ N_BEST = 4
 KNOWN = 150_000  # pre-tokens a worker remembers; beyond, it starts anew
 RESULT = T.StructType([
     T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.LongType())),
-    T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType())])
+    T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType()),
+    T.StructField("alike", T.BooleanType())])
 ALIKE = 48  # pre-tokens up to this length are segmented many at once
 SQUARE = 50_000  # characters of them at a time
 CHUNK = 100  # texts segmented together
@@ -37,7 +38,7 @@ class Segmented(NamedTuple):
 
     ids: np.ndarray
     scores: list[int]
-    others: list[list[int]] | None
+    others: list[np.ndarray] | None
 
 
 class Lattice:
@@ -268,8 +269,8 @@ class Lattice:
             scores, changed = self._merge(at, int(best[at].sum()), loss[at], n) if len(at) else ([], [])
             rest = None
             if others:
-                parts = [flat[ends[k]:ends[k + 1]] for k in at]
-                rest = [np.concatenate([swap.get(k, p) for k, p in enumerate(parts)]).tolist() for swap in changed]
+                places = np.concatenate(([0], np.cumsum(ends[at + 1] - ends[at])))
+                rest = [_swapped(ids, places, swap) for swap in changed]
             out.append(Segmented(ids, scores, rest))
         return out
 
@@ -302,9 +303,26 @@ def _ragged(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return flat[np.repeat(start - before, sizes) + np.arange(int(sizes.sum()))]
 
 
+def _swapped(ids: np.ndarray, places: np.ndarray, swap: dict[int, list[int]]) -> np.ndarray:
+    """``ids`` with other ids for some pre-tokens; pre-token k begins at ``places[k]``."""
+    parts, done = [], 0
+    for k in sorted(swap):
+        parts += [ids[done:places[k]], np.asarray(swap[k], ids.dtype)]
+        done = places[k + 1]
+    return np.concatenate([*parts, ids[done:]])
+
+
+def _lists(values: Sequence[np.ndarray]) -> pa.ListArray:
+    """One list of ids per row."""
+    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
+
+
 def segmented(text: Column, model: str, n: int = N_BEST, others: bool = False) -> Column:
     """A struct: ``pieces`` (ids of the best), ``scores`` (of the n best, descending), ``n_best``
-    (ids of the others, if asked for) and ``decoded`` (the text again)."""
+    (ids of the others, if asked for), ``decoded`` (the text again) and ``alike`` (whether each of
+    the others decodes to the same; null if not asked for)."""
     pieces = load(model)
 
     @F.arrow_udf(RESULT)
@@ -315,13 +333,14 @@ def segmented(text: Column, model: str, n: int = N_BEST, others: bool = False) -
         for k in range(0, len(values), CHUNK):
             found += lattice.segment(values[k:k + CHUNK], n, others)
         back = [lattice.decode(f.ids.tolist()) for f in found]
-        offsets = np.cumsum([0, *(len(f.ids) for f in found)], dtype=np.int32)
-        ids = np.concatenate([f.ids for f in found]) if found else np.zeros(0, np.int32)
+        n_best, alike = pa.nulls(len(found), pa.list_(pa.list_(pa.int32()))), pa.nulls(len(found), pa.bool_())
+        if others:
+            counts = np.cumsum([0, *(len(f.others) for f in found)], dtype=np.int32)
+            n_best = pa.ListArray.from_arrays(pa.array(counts), _lists([o for f in found for o in f.others]))
+            alike = pa.array([all(lattice.decode(o.tolist()) == t for o in f.others) for f, t in zip(found, back, strict=True)], pa.bool_())
         return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())),
-             pa.array([f.scores for f in found], pa.list_(pa.int64())),
-             pa.array([f.others for f in found], pa.list_(pa.list_(pa.int32()))), pa.array(back, pa.string())],
-            ["pieces", "scores", "n_best", "decoded"])
+            [_lists([f.ids for f in found]), pa.array([f.scores for f in found], pa.list_(pa.int64())),
+             n_best, pa.array(back, pa.string()), alike], ["pieces", "scores", "n_best", "decoded", "alike"])
 
     return run(text)
 
@@ -338,9 +357,15 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, others: bool = False) -
 
 
 def summary(docs: DataFrame, model: str, n: int = N_BEST) -> DataFrame:
-    """doc_id, n_pieces, n_segmentations, best and last score, digest of the ids, round_trip."""
-    got = encode(docs.select("doc_id", "text"), model, n)
+    """doc_id, n_pieces, n_segmentations, the scores and digests of the n best, and whether all of
+    them decode to the text."""
+    got = encode(docs.select("doc_id", "text"), model, n, others=True)
+
+    def digest(ids: Column) -> Column:
+        return F.sha2(F.array_join(ids, " "), 256)
+
     return got.select(
-        "doc_id", F.size("encoded.pieces").cast("bigint").alias("n_pieces"), F.col("encoded.scores").alias("scores"),
-        F.sha2(F.array_join("encoded.pieces", " "), 256).alias("ids_sha256"),
-        (F.col("encoded.decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        "doc_id", F.size("encoded.pieces").cast("bigint").alias("n_pieces"),
+        F.size("encoded.scores").cast("bigint").alias("n_segmentations"), F.col("encoded.scores").alias("scores"),
+        digest(F.col("encoded.pieces")).alias("ids_sha256"), F.transform("encoded.n_best", digest).alias("others_sha256"),
+        ((F.col("encoded.decoded") == F.coalesce("text", F.lit(""))) & F.col("encoded.alike")).alias("round_trip"))

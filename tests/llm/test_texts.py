@@ -216,6 +216,17 @@ def test_pieces_round_trip(spark):
     assert pieces.summary(docs.limit(0), MODEL).count() == 0
 
 
+def test_every_segmentation_is_returned_and_decoded(spark):
+    texts = ["the quick brown fox", "internationalisation of é things", "a", "", None]
+    got = {r["doc_id"]: r for r in pieces.summary(table(spark, texts), MODEL).collect()}
+    lattice = pieces.Lattice(load(MODEL))
+    for i, s in enumerate(lattice.segment(texts, 4, others=True)):
+        want = [hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest() for ids in (s.ids, *s.others)]
+        assert [got[i]["ids_sha256"], *got[i]["others_sha256"]] == want
+        assert len(set(want)) == max(len(s.scores), 1) and got[i]["n_segmentations"] == len(s.scores) and got[i]["round_trip"]
+    assert got[0]["n_segmentations"] == 4
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     lattice = pieces.Lattice(load(MODEL))
     texts = ["the quick brown fox", "jumps over the dog", "and away it goes"]

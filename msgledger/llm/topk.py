@@ -27,11 +27,11 @@ BLOCK = 1024  # classes of a block, about
 RINGS = 8
 MAX_PIVOTS = 256
 FIRST = 4  # annuli that are opened first
-LARGEST = 2**31 - 1
+LARGEST = 2.0**63
 
 
 def quantised(rows: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int]:
-    """(vec_id, v): 256 times each component, floored, as little-endian 32-bit numbers; the dimension."""
+    """(vec_id, v): 256 times each component, floored, as little-endian 64-bit numbers; the dimension."""
     x = F.col("x")
     bad = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     good = rows.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")).where(
@@ -43,8 +43,10 @@ def quantised(rows: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int
         for values in batch.column(1):
             v = np.zeros(dim)
             found = values.values.to_numpy(zero_copy_only=False)
-            v[:len(found)] = np.clip(np.floor(256 * found), -LARGEST, LARGEST)
-            out.append(v.astype("<i4").tobytes())
+            v[:len(found)] = np.floor(256 * found)
+            if np.abs(v).max(initial=0) >= LARGEST:
+                raise ValueError("a vector has a component that does not fit 64 bits")
+            out.append(v.astype("<i8").tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "v"])
 
     return map_arrow(good, run, "vec_id long, v binary"), dim
@@ -61,13 +63,17 @@ def classes(rows: DataFrame, ids: int) -> DataFrame:
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(-1, dim).astype(np.float64)
+    return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(-1, dim).astype(np.float64)
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers."""
     top = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1)
-    return (a @ b.T).astype(np.int64) if top < 2**53 else a.astype(np.int64) @ b.astype(np.int64).T
+    if top < 2**53:
+        return (a @ b.T).astype(np.int64)
+    if top >= LARGEST and (np.abs(a) @ np.abs(b).T).max(initial=0) >= LARGEST:
+        raise ValueError("an inner product may not fit 64 bits")
+    return a.astype(np.int64) @ b.astype(np.int64).T
 
 
 class Index:
@@ -107,7 +113,8 @@ class Index:
     def reach(self, q: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """The distance of a candidate whose score is ``floor``, with room for rounding."""
         square = (q * q).sum(axis=1) + self.top - 2 * floor
-        return np.sqrt(np.maximum(square, 0)) * (1 + 1e-9) + 1e-3
+        rounding = 1e-3 + 1e-7 * q.shape[1]**0.5 * (np.sqrt((q * q).sum(axis=1)) + self.top**0.5)
+        return np.sqrt(np.maximum(square, 0)) * (1 + 1e-9) + rounding
 
 
 def _spread(points: np.ndarray, n: int) -> np.ndarray:
@@ -144,7 +151,7 @@ def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int) -> DataF
     norm = candidates.agg(F.count("*").alias("n"), F.max(_norm(dim)("v")).alias("top")).first()
     n, top = norm["n"], norm["top"] or 0.0
     drawn = candidates.orderBy(F.xxhash64("v"), "id").limit(SAMPLE).collect()
-    sample = np.frombuffer(b"".join(bytes(r["v"]) for r in drawn), "<i4").reshape(len(drawn), dim).astype(np.float64)
+    sample = np.frombuffer(b"".join(bytes(r["v"]) for r in drawn), "<i8").reshape(len(drawn), dim).astype(np.float64)
     index = Index(sample, [list(r["ids"]) for r in drawn], top, n)
 
     def place(batch: pa.RecordBatch):
@@ -177,7 +184,7 @@ def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int) -> DataF
             for c in np.flatnonzero(wanted.any(axis=0)):
                 rows = np.flatnonzero(wanted[:, c])
                 m = int(chunks[c])
-                ids, part, least = batch.column(0).take(pa.array(rows)).to_pylist(), q[rows].astype("<i4").tobytes(), floor[rows].tolist()
+                ids, part, least = batch.column(0).take(pa.array(rows)).to_pylist(), q[rows].astype("<i8").tobytes(), floor[rows].tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([cell[c]] * m), pa.array(range(m), pa.int64()), pa.array([ids] * m, pa.list_(pa.int64())),
                      pa.array([part] * m, pa.binary()), pa.array([least] * m, pa.list_(pa.int64()))],
@@ -198,7 +205,7 @@ def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int) -> DataF
         found: list[tuple[int, int, int]] = []
         for held, ids, part, floor in zip(*(batch.column(c) for c in ("rows", "q", "qv", "floor")), strict=True):
             x = matrix(held.values.field("v"), dim)
-            q = np.frombuffer(part.as_py(), "<i4").reshape(-1, dim).astype(np.float64)
+            q = np.frombuffer(part.as_py(), "<i8").reshape(-1, dim).astype(np.float64)
             tops = _top(scores(q, x), held.values.field("ids").to_pylist(), np.array(floor.as_py(), np.int64), k)
             found += [(i, s, v) for i, hits in zip(ids.as_py(), tops, strict=True) for s, v in hits]
         yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], ["q", "score", "vec_id"])
@@ -239,7 +246,7 @@ def top_k(rows: DataFrame, query_rows: DataFrame, k: int = 5, vec_id: str = "vec
     A row whose id is the query's own is no candidate of it; ties go to the smaller id; with fewer
     candidates than ``k`` all are returned. Rows whose id or vector is null, or whose vector holds
     null or non-finite components, take no part. Shorter vectors count as padded with zeros,
-    components are kept within 32 bits, and repeated rows count once. Other columns are ignored;
+    repeated rows count once, and numbers that do not fit 64 bits are an error. Other columns are ignored;
     an empty table gives no rows.
     """
     small_batches(rows.sparkSession, 500)
@@ -250,7 +257,7 @@ def top_k(rows: DataFrame, query_rows: DataFrame, k: int = 5, vec_id: str = "vec
     if wide > dim:
         raise ValueError("queries have more components than the rows")
     if wide < dim:
-        asked = asked.withColumn("v", F.expr(f"rpad(v, {dim * 4}, X'00')"))
+        asked = asked.withColumn("v", F.expr(f"rpad(v, {dim * 8}, X'00')"))
     every, asked = stage_table(every, "topk-rows"), stage_table(asked.distinct(), "topk-queries")
     held = stage_table(classes(every, k + 1), "topk-classes")
     of = stage_table(asked.groupBy("v").agg(F.min("vec_id").alias("id")), "topk-asked")

@@ -73,6 +73,15 @@ def test_top_k(spark, kind, monkeypatch):
     assert top(spark, rows) == slow_top(rows)
 
 
+def test_top_k_large_components(spark):
+    rng = np.random.default_rng(17)
+    x = rng.normal(size=(120, 4)) * np.where(np.arange(120) % 50, 1e8, 1)[:, None]
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)]
+    assert top(spark, rows) == slow_top(rows)
+    with pytest.raises(Exception, match="64 bits"):
+        top(spark, [(0, [1e30]), (1, [1.0])])
+
+
 def test_top_k_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (50, [0.5, -1.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0]),

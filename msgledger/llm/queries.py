@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, license_scan, lines, mixing, pieces, quality, repeats, simhash, token_counts, topk
+from msgledger.llm import language, license_scan, lines, mixing, periods, pieces, quality, repeats, simhash, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -55,6 +55,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), learned).drop("text")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.with_best(periods.periodic_runs(periods.looped(documents(spark, sf_dir)), keep_text=False))
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scan": op2_license_scan,
@@ -66,10 +71,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _NOTICES = ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES.items())
 
+# crc32 of a text, byte by byte; the table is made from its rule.
+_CRC = """
+crc_table AS (SELECT list(c ORDER BY i) AS crc FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8; needs ``crc`` of ``crc_table`` in scope."""
+    byte = f"('0x' || substr(hex(encode({text})), (2 * k + 1)::INT, 2))::BIGINT"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))), "
+            f"lambda k: {byte})), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])))")
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
@@ -181,5 +201,32 @@ j AS (SELECT doc_id, line, pos, keeper IS NOT NULL AND keeper <> doc_id AS lost
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM j GROUP BY doc_id
+""",
+    "op13_periodic_runs": rf"""
+WITH {_CRC},
+d0 AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc32("doc_id::VARCHAR")} AS h
+       FROM documents, crc_table),
+d1 AS (SELECT *, len(w) AS n, h // 10 AS g FROM d0),
+d2 AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM d1),
+d3 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM d2),
+d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+        ELSE w END AS w FROM d3),
+-- A run repeats 16 words or more one period on, so two of its 16-word stretches are equal.
+starts AS (SELECT doc_id, w, unnest(range(n - 15)) AS i FROM d WHERE n >= 24),
+grams AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 16], ' ') AS t FROM starts),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.t = y.t AND y.i > x.i),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs),
+run AS (SELECT doc_id, min(i) AS start, count(*) + 15 + q AS length, q AS period FROM island GROUP BY doc_id, q, k
+        HAVING count(*) + 15 + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(period) AS period FROM run GROUP BY doc_id, start, length),
+best AS (SELECT r.* FROM runs r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DECIMAL(38, 18) / period DESC, start, period) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t
+           FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM d),
+left_ AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(left_.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN left_ USING (doc_id)
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, license_scan, lines, mixing, periods, pieces, quality, repeats, simhash, token_counts, topk
+from msgledger.llm import language, license_scan, lines, mixing, periods, pieces, quality, repeats, simhash, spelling, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -55,6 +55,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), learned).drop("text")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = documents(spark, sf_dir).select("doc_id", F.explode(spelling.words_of(F.col("text"))).alias("word"))
+    return spelling.variants(spelling.vocabulary(spelling.slipped(found)))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periods.with_best(periods.periodic_runs(periods.looped(documents(spark, sf_dir)), keep_text=False))
     return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -201,6 +207,28 @@ j AS (SELECT doc_id, line, pos, keeper IS NOT NULL AND keeper <> doc_id AS lost
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM j GROUP BY doc_id
+""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE {_CRC},
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY doc_id, run),
+h AS (SELECT *, {_crc32("doc_id || ':' || run")} AS h FROM c, crc_table),
+s AS (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM s WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS t FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.t = b.t AND a.i = b.i AND a.word <> b.word UNION
+  SELECT a.word, a.n, v.word, v.n FROM cut a JOIN v ON a.t = v.word UNION
+  SELECT v.word, v.n, a.word, a.n FROM cut a JOIN v ON a.t = v.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+         QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+        CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS tip FROM f UNION ALL
+          SELECT chain.word, f.form FROM chain JOIN f ON chain.tip = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, tip AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain USING (word) JOIN f AS last ON last.word = tip AND last.form IS NULL
 """,
     "op13_periodic_runs": rf"""
 WITH {_CRC},

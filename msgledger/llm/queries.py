@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgledger.llm import language, license_scan, lines, mixing, periods, pieces, quality, repeats, simhash, spelling, token_counts, topk
+from msgledger.llm import language, license_scan, lines, mixing, periods, pieces, quality, repeats, secrets, simhash, spelling, token_counts, topk
 from msgledger.llm.common import documents
 
 
@@ -55,6 +55,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), learned).drop("text")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, sf_dir)))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = documents(spark, sf_dir).select("doc_id", F.explode(spelling.words_of(F.col("text"))).alias("word"))
     return spelling.variants(spelling.vocabulary(spelling.slipped(found)))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_segmentation": op8_piece_segmentation,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_secret_scan": op11_secret_scan,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -96,6 +101,22 @@ def _crc32(text: str) -> str:
             f"lambda k: {byte})), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])))")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(place: int, kind: str, pattern: str, group: int = 0) -> str:
+    p = _quoted(pattern)
+    return (f"SELECT doc_id, {place} AS place, '{kind}' AS kind, regexp_extract_all(t, {p}) AS ms, regexp_extract_all(t, {p}, {group}) AS vs, "
+            f"string_split_regex(t, {p}) AS gaps FROM d")
+
+
+_KINDS = " UNION ALL ".join([
+    _matches(0, "assign", secrets.ASSIGN, 2), _matches(1, "access", "AKIA[A-Z0-9]+"), _matches(2, "hex", "[0-9a-f]+"),
+    *(_matches(k, c.kind, f"[{c.chars}]+") for k, c in enumerate(secrets.CLASSES, 3))])
+_CLASSES = ", ".join(f"({k}, {c.window}, {c.limit}, {c.weights})" for k, c in enumerate(secrets.CLASSES, 3))
+
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
@@ -207,6 +228,29 @@ j AS (SELECT doc_id, line, pos, keeper IS NOT NULL AND keeper <> doc_id AS lost
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM j GROUP BY doc_id
+""",
+    "op11_secret_scan": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k AS ({_KINDS}),
+u AS (SELECT doc_id, place, kind, unnest(range(len(ms))) AS i, unnest(ms) AS m, unnest(vs) AS v, unnest(gaps[1:len(ms)]) AS g FROM k),
+p AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY doc_id, place ORDER BY i) AS e FROM u),
+base AS (SELECT doc_id, place, kind, e - length(m) AS s, e FROM p
+         WHERE (place = 0 AND length(v) >= 12) OR (place = 1 AND length(m) >= 18) OR (place = 2 AND length(m) >= 16)),
+c AS (SELECT * FROM (VALUES {_CLASSES}) v(place, w, most, weights)),
+r AS (SELECT doc_id, place, kind, e - length(m) AS s, m, w, most, weights FROM p JOIN c USING (place)
+      WHERE length(m) >= w AND NOT regexp_full_match(m, {_quoted("|".join(secrets.ALLOWED))})),
+win AS (SELECT *, unnest(range(length(m) - w + 1)) AS i FROM r),
+ch AS (SELECT doc_id, place, kind, s, i, w, most, weights, unnest(string_split(substr(m, i + 1, w), '')) AS x FROM win),
+n AS (SELECT doc_id, place, kind, s, i, w, most, weights, x, count(*) AS n FROM ch GROUP BY ALL),
+hit AS (SELECT doc_id, place, kind, s, i, w FROM n GROUP BY doc_id, place, kind, s, i, w, most HAVING sum(weights[n + 1]) <= most),
+new AS (SELECT *, coalesce(i - lag(i) OVER (PARTITION BY doc_id, place, s ORDER BY i) > w, true)::INT AS new FROM hit),
+isl AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, place, s ORDER BY i) AS g FROM new),
+more AS (SELECT doc_id, place, kind, s + min(i) AS s, s + max(i) + max(w) AS e FROM isl GROUP BY doc_id, place, kind, s, g),
+spans AS (SELECT *, kind || ':' || s::BIGINT || ':' || e::BIGINT AS t FROM (FROM base UNION ALL FROM more)),
+by_doc AS (SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+             string_agg(t, ',' ORDER BY s, place) FILTER (place < 3) AS base, string_agg(t, ',' ORDER BY s, place) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN by_doc USING (doc_id)
 """,
     "op12_spelling_variants": rf"""
 WITH RECURSIVE {_CRC},

@@ -113,6 +113,7 @@ _TRANSFER_FIELDS = {
 def resolve_accounts(
     rows: DataFrame, accounts: DataFrame, mask: MaskOptions = MaskOptions(), limits: Limits = LIMITS,
     transfers: bool = True, owners: bool = True, merchants: bool = True, check_allowed: bool = False,
+    sizes: Sizes | None = None,
 ) -> DataFrame:
     """Transfers from both masked numbers, other rows from the account they end with, then merchants.
 
@@ -121,9 +122,9 @@ def resolve_accounts(
     account table's. All look-ups are keyed on the rows as they come in. When the account
     table is too big to broadcast, the rows are staged once, the look-ups run on their key
     columns alone, each bounded by its own table, and what they find is joined back once: other
-    columns, such as the text, move one time.
+    columns, such as the text, move one time. ``sizes``: of the account table, if counted already.
     """
-    sizes = account_sizes(accounts, limits)
+    sizes = sizes or account_sizes(accounts, limits)
     if "external_account_number" not in rows.columns:
         rows = rows.withColumn("external_account_number", F.lit(None).cast("string"))
     keyed = _resolution_keys(rows, mask)

@@ -5,7 +5,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from msgledger.options import LIMITS, Limits
 
@@ -18,6 +18,15 @@ def collect_small(df: DataFrame, max_rows: int, what: str) -> list[Row]:
     return rows
 
 
+def any_of(column: str, values: Sequence[str]) -> Column:
+    """Whether a column has one of a few values, as equalities that a Parquet scan tests against its
+    Bloom filters; a list of more than ten values would reach it as a range only."""
+    tests = [F.col(column) == v for v in values] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [reduce(lambda a, b: a | b, tests[k:k + 2]) for k in range(0, len(tests), 2)]
+    return tests[0]
+
+
 def is_small(df: DataFrame, limits: Limits) -> bool:
     """Whether a frame may be broadcast, by rows and by bytes; reads one row too many at most."""
     size = F.lit(0)
@@ -62,6 +71,7 @@ def lookup(
     dim_rows: int | None = None,
     count_on: DataFrame | None = None,
     unique: bool = False,
+    few: bool = False,
 ) -> DataFrame:
     """Equi-join a large frame with a dimension that is unique in ``on``.
 
@@ -71,9 +81,12 @@ def lookup(
 
     ``dim_rows``: an upper bound the caller has already counted. ``count_on``: a frame with
     the same key columns that is cheaper to count than ``facts``. ``unique``: ``facts`` has
-    each key once, so there is nothing hot to look for.
+    each key once, so there is nothing hot to look for. ``few``: so few facts that no key can be
+    hot; nothing is counted, and adaptive execution picks the join by the sizes it meets.
     """
     on = list(on)
+    if few:
+        return facts.join(dim, on, how)
     small = is_small(dim, limits) if dim_rows is None else dim_rows <= limits.broadcast_rows
     if small:
         return facts.join(F.broadcast(dim), on, how)

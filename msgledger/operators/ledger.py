@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from msgledger.operators.joins import first_per_key, hottest, lookup
+from msgledger.operators.joins import any_of, first_per_key, hottest, lookup
 from msgledger.operators.ordered import chunk_count, global_rank, ordered_chunks
 from msgledger.options import LIMITS, Limits
 
@@ -29,6 +29,18 @@ def new_records(rows: DataFrame, master_ids: DataFrame, key: str = "message_id",
     return lookup(rows, master_ids.select(key), [key], "left_anti", limits, unique=deduped)
 
 
+def known_ids(master: DataFrame, ids: DataFrame, n: int, limits: Limits = LIMITS, key: str = "message_id") -> DataFrame:
+    """The ids that ``ids`` (``n`` rows) has to be told apart from.
+
+    A few ids are named in the scan of the master, which then reads only row groups whose Bloom
+    filters may hold one of them; with more, the id column is read whole.
+    """
+    known = master.where(F.col(key) != "").select(key)
+    if n > limits.pushed_ids:
+        return known
+    return known.where(any_of(key, [r[key] for r in ids.select(key).collect() if r[key]]))
+
+
 def processed_ids(master: DataFrame, key: str = "message_id") -> DataFrame:
     """Distinct non-empty ids of the master."""
     return master.where(F.col(key) != "").select(key).distinct()
@@ -42,8 +54,8 @@ def union_ids(known: DataFrame, batch: DataFrame, key: str = "message_id") -> Da
 # --- balances ----------------------------------------------------------------
 
 def _filled(known: Column, last_base: Column, first_base: Column, running: Column, amount: Column,
-            mode: str) -> Column:
-    """A balance from the last known one before, else from the first known one after.
+            mode: str, carried: Column) -> Column:
+    """A balance from the last known one before, here or in an earlier run, else from the first known one after.
 
     ``last_base`` / ``first_base`` are known balance minus running total at that row. Going
     back, the default takes off each row's own amount; ``ledger`` takes off the next row's.
@@ -54,7 +66,11 @@ def _filled(known: Column, last_base: Column, first_base: Column, running: Colum
         backward = first_base + running - amount
     else:
         raise ValueError(f"mode {mode!r}: use 'own' or 'ledger'")
-    return F.coalesce(known, last_base + running, backward).cast("decimal(28,2)")
+    return F.coalesce(known, last_base + running, carried + running, backward).cast("decimal(28,2)")
+
+
+def _carried(rows: DataFrame) -> Column:
+    return F.col("_carried") if "_carried" in rows.columns else F.lit(None).cast("decimal(28,2)")
 
 
 def _amount() -> Column:
@@ -81,7 +97,7 @@ def _fill_by_window(rows: DataFrame, order: list[str], mode: str, forward_only:
         "_first": F.lit(None).cast("decimal(28,2)") if forward_only
         else F.first(_first_base(F.col("_s"), mode), ignorenulls=True).over(whole),
     })
-    filled = _filled(F.col("available_balance"), F.col("_last"), F.col("_first"), F.col("_s"), _amount(), mode)
+    filled = _filled(F.col("available_balance"), F.col("_last"), F.col("_first"), F.col("_s"), _amount(), mode, _carried(rows))
     return based.withColumn("available_balance", filled).drop("_s", "_last", "_first", "_account")
 
 
@@ -121,19 +137,31 @@ def _fill_by_chunks(rows: DataFrame, order: list[str], mode: str, forward_only:
     joined = lookup(keyed, carried, ["_piece"], "left", limits)
     total = F.col("_base") + F.col("_s")
     last_base = F.coalesce(F.col("_last") - F.col("_base"), F.col("_carry"))
-    filled = _filled(F.col("available_balance"), last_base, F.col("_first"), total, _amount(), mode)
+    filled = _filled(F.col("available_balance"), last_base, F.col("_first"), total, _amount(), mode, _carried(rows))
     return joined.withColumn("available_balance", filled).select(*[c for c in rows.columns if c != "_account"])
 
 
 def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False,
                   order: tuple[str, ...] = ("date", "ord"), limits: Limits = LIMITS,
-                  count_on: DataFrame | None = None) -> DataFrame:
+                  count_on: DataFrame | None = None, total: int | None = None,
+                  carried: DataFrame | None = None) -> DataFrame:
     """Missing balances per account, forward from the last known one, then backward.
 
     Accounts are counted first (key column only). Those within the limit take one window;
     the others are split in order over many tasks. A missing amount counts as zero.
-    ``count_on``: a frame with the same rows that is cheaper to count.
+    ``count_on``: a frame with the same rows that is cheaper to count; ``total``: their number, if
+    known. ``carried`` (account, balance; see :func:`last_balances`): where the accounts stood
+    before these rows. Rows before the first known balance then go on from there, so runs over
+    consecutive slices give the forward balances of one run over all.
     """
+    few = total is not None and total <= limits.hot_key_rows
+    if carried is not None:
+        keyed = rows.withColumn("_key", account_key())
+        before = carried.select(F.col("account").alias("_key"), F.col("balance").cast("decimal(28,2)").alias("_carried"))
+        joined = lookup(keyed, before, ["_key"], "left", limits, few=few).drop("_key")
+        return fill_balances(joined, mode, forward_only, order, limits, count_on, total).drop("_carried")
+    if few:
+        return _fill_by_window(rows, list(order), mode, forward_only)
     counted = (rows if count_on is None else count_on).select(account_key().alias(ACCOUNT))
     hot = hottest(counted, [ACCOUNT], limits)
     if not hot:
@@ -149,13 +177,19 @@ def fill_balances(rows: DataFrame, mode: str = "own", forward_only: bool = False
     )
 
 
+def last_balances(filled: DataFrame, order: tuple[str, ...] = ("date", "ord")) -> DataFrame:
+    """(account, balance) of the accounts that have one: the balance of their last row."""
+    known = filled.where(F.col("available_balance").isNotNull())
+    return known.groupBy(account_key().alias("account")).agg(F.max_by("available_balance", F.struct(*order)).alias("balance"))
+
+
 # --- order and ids -----------------------------------------------------------
 
-def bucket_order(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def bucket_order(rows: DataFrame, limits: Limits = LIMITS, few: bool = False) -> DataFrame:
     """Adds ``bucket_ord``: where the row's account first appears in the input."""
     first = rows.groupBy(account_key().alias("_bucket")).agg(F.min("ord").alias("bucket_ord"))
     keyed = rows.withColumn("_bucket", account_key())
-    return lookup(keyed, first, ["_bucket"], "inner", limits).drop("_bucket")
+    return lookup(keyed, first, ["_bucket"], "inner", limits, few=few).drop("_bucket")
 
 
 BATCH_ORDER = ("date", "bucket_ord", "ord")
@@ -182,7 +216,8 @@ def assign_record_ids(rows: DataFrame, start: int | Column = 0, name: str = "rec
     chunks = None if total is None else max(
         chunk_count(total, limits), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     )
-    placed = rows if "bucket_ord" in rows.columns else bucket_order(rows, limits)
+    few = total is not None and total <= limits.hot_key_rows
+    placed = rows if "bucket_ord" in rows.columns else bucket_order(rows, limits, few)
     return global_rank(placed, BATCH_ORDER, name, start, chunks, limits).drop("bucket_ord")
 
 

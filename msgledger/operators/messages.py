@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from msgledger.functions import extract, text as tx
 from msgledger.functions.clean import account_number
-from msgledger.operators.accounts import resolve_accounts
+from msgledger.operators.accounts import Sizes, resolve_accounts
 from msgledger.operators.joins import lookup
 from msgledger.operators.validate import STAMPED, record_errors, typed_record
 from msgledger.options import FIELD_RENAMES, LIMITS, Limits, Options
@@ -126,14 +126,16 @@ def present_fields(keys: Column, synonyms: Mapping[str, Sequence[str]]) -> Colum
     ]))
 
 
-def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, options: Options = Options()) -> DataFrame:
+def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, options: Options = Options(),
+                   sizes: Sizes | None = None) -> DataFrame:
     """Hybrid parse: the generated JSON if it is valid, else what the text patterns read.
 
     ``messages``: message_id, ord, body, generated_text; sender and subject are carried along
     where they are there. Returns the record columns plus ord,
     parse_path ('json', 'regex' or 'failed') and errors (why the JSON was not used).
     Every step is narrow except the look-ups in the account table. Rows of path 'failed'
-    carry no fields; they are there to be flagged.
+    carry no fields; they are there to be flagged. ``sizes``: of the account table, if counted
+    already.
     """
     syn, fields = options.synonyms, [f.name for f in RECORD.fields]
     decoded = messages.withColumn("_json", generated_record(F.col("generated_text"), syn, all_keys=False))
@@ -148,7 +150,7 @@ def parse_messages(messages: DataFrame, accounts: DataFrame, run_id: str, option
         present_fields(F.col("_json.keys"), syn).alias("_keys"),
         *[raw[f].alias(f) for f in fields],
     )
-    resolved = resolve_accounts(flat, accounts, options.mask, options.limits, check_allowed=True)
+    resolved = resolve_accounts(flat, accounts, options.mask, options.limits, check_allowed=True, sizes=sizes)
     typed = resolved.withColumn("_rec", typed_record()).select(
         "ord", "body", *shown, "message_id", "_rec",
         F.when(F.col("_found"), record_errors(F.col("_keys"), F.col("_rec")))

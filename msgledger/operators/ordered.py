@@ -43,7 +43,7 @@ def global_rank(
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     start = F.lit(start) if isinstance(start, int) else start
-    return lookup(placed, offsets, ["_chunk"], "inner", limits).select(
+    return lookup(placed, offsets, ["_chunk"], "inner", limits, dim_rows=chunks).select(
         *df.columns, (start + F.col("_base") + F.col("_pos") + 1).cast("bigint").alias(name)
     )
 

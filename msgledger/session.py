@@ -87,17 +87,32 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of one split by a unique key, for CPU-heavy parsing.
+    """Spread a Parquet scan that one task would read alone by a unique key, for CPU-heavy parsing.
 
-    One split is one file that cannot be divided, or less than one task's share of bytes, so
-    no more than that is ever moved. Anything larger passes through without a shuffle.
+    That is a scan of one split, or of one file with one row group: its other splits are empty.
+    No more than that is ever moved; anything larger passes through without a shuffle.
     Use on plain scans only: asking for the partition count plans the frame.
     """
-    if df.rdd.getNumPartitions() > 1:
+    if df.rdd.getNumPartitions() > 1 and not _one_row_group(df):
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
+def _one_row_group(df: DataFrame) -> bool:
+    """Whether a scan is one file with one row group, by its footer."""
+    files = df.inputFiles()
+    if len(files) != 1:
+        return False
+    sc = df.sparkSession.sparkContext
+    parquet = sc._jvm.org.apache.parquet.hadoop
+    reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(
+        sc._jvm.org.apache.hadoop.fs.Path(files[0]), sc._jsc.hadoopConfiguration()))
+    try:
+        return reader.getRowGroups().size() == 1
+    finally:
+        reader.close()
+
+
 def ship_package() -> None:
     """Send the package's own functions to the workers by value.
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from msgledger.operators.validate import FLAG_COLUMNS, blank_nulls
 from msgledger.schema import RECORD
@@ -17,15 +17,34 @@ from msgledger.sources.tables import RUN_LOG, RUN_META
 log = logging.getLogger(__name__)
 
 
+def _escaped(spark: SparkSession, value: str) -> str:
+    """Spark's own escaping of partition values."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def clear_run(spark: SparkSession, path: str, run_id: str) -> None:
     """Remove one run's partition, if there is one.
 
     Dynamic overwrite leaves a partition alone that gets no rows, so a run that is repeated
     and comes out empty is cleared by this.
     """
-    # Spark's own escaping of partition values.
-    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
-    delete_folder(spark, f"{path}/run_id={name}")
+    delete_folder(spark, f"{path}/run_id={_escaped(spark, run_id)}")
+
+
+def _replace_runs(rows: DataFrame, path: str, run_id: str | None) -> None:
+    """Replace the runs that ``rows`` belong to; ``run_id`` also if it turns out to have none.
+
+    The rows are counted on their way to the files, so the plan runs once.
+    """
+    written = Observation()
+    observed = rows if run_id is None else rows.observe(written, F.count(F.lit(1)).alias("n"))
+    writer = observed.write.partitionBy("run_id").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if "message_id" in rows.columns:
+        # For looking up a few ids: a row group is read only if its filter may hold one of them.
+        writer = writer.option("parquet.bloom.filter.enabled#message_id", True).option("parquet.bloom.filter.adaptive.enabled", True)
+    writer.parquet(path)
+    if run_id is not None and not written.get["n"]:
+        clear_run(rows.sparkSession, path, run_id)
 
 
 def write_ledger(rows: DataFrame, path: str, many_runs: bool = False, run_id: str | None = None) -> None:
@@ -36,14 +55,7 @@ def write_ledger(rows: DataFrame, path: str, many_runs: bool = False, run_id: st
     shuffle. ``many_runs`` at once are rebalanced by size first, so that a huge run becomes
     many files and small ones do not leave a tiny file per task.
     """
-    if run_id is not None and rows.isEmpty():
-        clear_run(rows.sparkSession, path, run_id)
-        return
-    laid_out = rows.hint("rebalance", "run_id") if many_runs else rows
-    (
-        laid_out.write.partitionBy("run_id").mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").parquet(path)
-    )
+    _replace_runs(rows.hint("rebalance", "run_id") if many_runs else rows, path, run_id)
 
 
 def read_ledger(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -58,8 +70,11 @@ def read_ledger(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def read_run(spark: SparkSession, path: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:
-    """The rows of one run: a single partition of the ledger."""
-    return read_ledger(spark, path, schema).where(F.col("run_id") == run_id)
+    """The rows of one run: a single partition of the ledger, whose other partitions are not even listed."""
+    fields = schema or T.StructType([*RECORD.fields, T.StructField("ord", T.LongType())])
+    inside = T.StructType([f for f in fields if f.name != "run_id"])
+    rows = read_ledger(spark, f"{path}/run_id={_escaped(spark, run_id)}", inside)
+    return rows.withColumn("run_id", F.lit(run_id)).select(*fields.fieldNames())
 
 
 def export_run_csv(rows: DataFrame, directory: str, run_id: str) -> str:
@@ -72,13 +87,7 @@ def export_run_csv(rows: DataFrame, directory: str, run_id: str) -> str:
 def write_flags(flags: DataFrame, path: str, run_id: str | None = None) -> None:
     """Add the flags of one or more runs; writing a run's flags again replaces them, with
     ``run_id`` also if it has none any more."""
-    if run_id is not None and flags.isEmpty():
-        clear_run(flags.sparkSession, path, run_id)
-        return
-    (
-        flags.select(*FLAG_COLUMNS).hint("rebalance", "run_id").write.partitionBy("run_id")
-        .mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    )
+    _replace_runs(flags.select(*FLAG_COLUMNS).hint("rebalance", "run_id"), path, run_id)
 
 
 def append_run_log(runs: DataFrame, path: str) -> None:

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from msgledger.operators.ledger import dedupe_batch, new_records
+from msgledger.operators.accounts import account_sizes
+from msgledger.operators.ledger import dedupe_batch, known_ids, new_records
 from msgledger.options import LIMITS, Limits, Options
 from msgledger.plans.runs import LEDGER, Paths, batch_run
 from msgledger.session import scratch, stage_table
-from msgledger.sinks.tables import read_ledger, write_ledger
+from msgledger.sinks.tables import read_ledger, read_run, write_ledger
+from msgledger.streaming.arrivals import first_arrivals, state_store
 
 
 def landed_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
@@ -72,10 +74,10 @@ def run_incremental(
         spark = batch.sparkSession
         with scratch(spark):
             first = stage_table(dedupe_batch(to_records(batch).withColumn("run_id", F.lit(run))), "batch")
-            master = read_ledger(spark, ledger, first.schema)
-            check_replaced(master, run, first)
+            check_replaced(read_run(spark, ledger, run, first.schema), run, first)
+            known = known_ids(read_ledger(spark, ledger, first.schema).where(F.col("run_id") != run), first, first.count(), limits)
             # Staged, because the ledger cannot be read and written in one job.
-            fresh = stage_table(new_records(first, master.where(F.col("run_id") != run), limits=limits, deduped=True), "fresh")
+            fresh = stage_table(new_records(first, known, limits=limits, deduped=True), "fresh")
             write_ledger(fresh, ledger, run_id=run)
 
     _each_batch(stream, checkpoint, one_batch)
@@ -89,16 +91,45 @@ def ingest_messages(
 
     ``to_messages`` makes message_id, ord, body, generated_text (and sender, subject) of what
     landed. Each micro-batch is one run: known messages dropped, the rest parsed, accounts
-    resolved, balances filled within the batch, records numbered on, flags written.
+    resolved, balances filled (with ``paths.balances`` from where they stood), records numbered
+    on, flags written. Every micro-batch asks the ledger for its ids; :func:`ingest_arrivals`
+    does not.
     """
+    sizes = account_sizes(accounts, options.limits)
+
     def one_batch(batch: DataFrame, run: str) -> None:
         messages = to_messages(batch)
-        check_replaced(read_ledger(batch.sparkSession, paths.ledger, LEDGER), run, messages.select("message_id"))
-        batch_run(messages, accounts, run, paths, options)
+        check_replaced(read_run(batch.sparkSession, paths.ledger, run, LEDGER), run, messages.select("message_id"))
+        batch_run(messages, accounts, run, paths, options, sizes=sizes)
 
     _each_batch(stream, checkpoint, one_batch)
 
 
+def ingest_arrivals(
+    stream: DataFrame, to_messages: Callable[[DataFrame], DataFrame], accounts: DataFrame, paths: Paths,
+    checkpoint: str, keep_days: float = 30, options: Options = Options(), key: str = "message_id", order: str = "ord",
+) -> None:
+    """:func:`ingest_messages` with the ids that came before in the state store.
+
+    The work of a micro-batch depends on what arrives and not on the ledger: an id (``key`` of the
+    stream, equal to ``message_id``) is remembered for ``keep_days``; the last record id is kept in a mark,
+    balances in their own table. Only a stream that begins without its checkpoint reads the
+    ledger's ids, once. ``to_messages`` must keep one row per id.
+    """
+    spark, sizes = stream.sparkSession, account_sizes(accounts, options.limits)
+    known = read_ledger(spark, paths.ledger, LEDGER).where(F.col("message_id") != "").select(F.col("message_id").alias(key))
+
+    def one_batch(batch: DataFrame, run: str) -> None:
+        with scratch(batch.sparkSession):
+            # Staged, so that the state is worked on once.
+            messages = to_messages(stage_table(batch, "arrivals"))
+            check_replaced(read_run(batch.sparkSession, paths.ledger, run, LEDGER), run, messages.select("message_id"))
+            batch_run(messages, accounts, run, paths, options, arrived=True, sizes=sizes)
+
+    with state_store(spark):
+        _each_batch(first_arrivals(stream, known, keep_days, key, order), checkpoint, one_batch)
+
+
 def drop_overlap(stream: DataFrame, overlap: str, key: str = "message_id", salts: int = 16) -> DataFrame:
     """Drop messages read again within the overlap, with state bounded by it.
 

@@ -96,7 +96,8 @@ _PARSED = f"""kinds AS (SELECT *, ord % 8 AS k, CASE ord % 8 WHEN 1 THEN last4 W
          WHEN k = 3 OR ord % 16 = 6 THEN NULL ELSE balance END AS available_balance,
     CASE WHEN k IN (0, 1, 2, 7, 4) THEN 'ZAR' WHEN k = 5 THEN 'USD' WHEN k = 6 AND ord % 16 <> 6 THEN '€' END AS currency,
     CASE WHEN k IN (0, 1, 2, 7) THEN 'card purchase at ' || entity END AS description,
-    CASE WHEN k IN (0, 1, 2, 7) THEN 'card' END AS transaction_type
+    CASE WHEN k IN (0, 1, 2, 7) THEN 'card' END AS transaction_type,
+    CASE WHEN k IN (0, 1, 2, 7) THEN 'alerts@' || lower(kinds.institution) || '.example' END AS source_email
   FROM kinds LEFT JOIN endings ON number = endings.ending)"""
 
 _GAPPY = f"""gappy AS (SELECT *, CASE WHEN ord % 5 <> 0 THEN 'ZAR' END AS currency,
@@ -297,10 +298,12 @@ ORACLES: dict[str, str] = {
         WHERE right(number, 4) IN (SELECT right(number, 4) FROM n GROUP BY 1 HAVING count(DISTINCT number) > 1)""",
     # --- ledger
     "new_records_only": _with(_LEDGER) + "SELECT message_id, cast(date AS varchar) AS date, cast(amount AS double) AS amount FROM ledger WHERE NOT amount < 0",
+    "known_few_ids": _with(_LEDGER) + "SELECT message_id FROM ledger WHERE amount >= 0 AND cast(internal_account_number AS bigint) <= 10",
     "processed_union": _with(_LEDGER) + "SELECT DISTINCT message_id FROM ledger WHERE amount < 0 OR available_balance IS NOT NULL",
     "batch_dedupe": """SELECT user_id::varchar AS message_id, min(event_id) AS ord, arg_min(event_type, event_id) AS event_type,
         arg_min(value, event_id) AS value, count(*) AS copies FROM events GROUP BY 1""",
     "balance_forward_fill": _fill("NULL"),
+    "balance_across_runs": _fill("NULL"),
     "balance_fill_full": _fill("ahead + ahead_amount + s - amount"),
     "balance_fill_ledger": _fill("ahead + s"),
     "account_buckets": _with(_LEDGER) + """SELECT message_id, internal_account_number,
@@ -375,10 +378,17 @@ ORACLES: dict[str, str] = {
         (SELECT count(*) FROM flags) AS failed, 0.5::double AS latency_sec
         FROM ({_fingerprint("(SELECT message_id, ord FROM ledger)", ["message_id", "ord"])}) f""",
     # --- whole run
-    "ledger_run": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED, _LEDGER_RUN) + """SELECT message_id, cast(d AS varchar) AS date,
-        good.internal_account_number, external_entity, cast(amount AS double) AS amount,
-        row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id, 'run-1' AS run_id
-        FROM good JOIN firsts ON good.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
+    "ledger_run": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED, _LEDGER_RUN, """summed AS (SELECT *,
+        coalesce(amount, 0) AS a, coalesce(internal_account_number, '') AS acc FROM good),
+      running AS (SELECT *, sum(a) OVER (PARTITION BY acc ORDER BY d NULLS FIRST, ord ROWS UNBOUNDED PRECEDING) AS s FROM summed),
+      filled AS (SELECT *,
+        last_value(available_balance - s IGNORE NULLS) OVER (PARTITION BY acc ORDER BY d NULLS FIRST, ord ROWS UNBOUNDED PRECEDING) AS back,
+        first_value(available_balance - s + a IGNORE NULLS) OVER (PARTITION BY acc ORDER BY d NULLS FIRST, ord
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ahead FROM running)""") + """SELECT message_id, ord, cast(d AS varchar) AS date,
+        filled.internal_account_number, internal_entity, institution, external_entity, cast(amount AS double) AS amount,
+        cast(coalesce(available_balance, back + s, ahead + s - a) AS double) AS available_balance, currency, description,
+        transaction_type, source_email, row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id, 'run-1' AS run_id
+        FROM filled JOIN firsts ON filled.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
     "ledger_run_summary": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED) + """SELECT 'run-1' AS run_id, 2 * count(*) AS fetched,
         count(*) FILTER (parse_path <> 'failed') AS parsed, count(*) AS duplicate,
         count(*) FILTER (parse_path = 'failed') AS failed, count(*) FILTER (parse_path <> 'failed') AS written,
@@ -388,6 +398,10 @@ ORACLES: dict[str, str] = {
         good.internal_account_number, external_entity, cast(amount AS double) AS amount,
         row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id
         FROM good JOIN firsts ON good.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
+    "stream_arrivals": _with(_NOTICES, _ACCOUNTS, _ENDINGS, _PARSED, _LEDGER_RUN) + """SELECT message_id, cast(d AS varchar) AS date,
+        good.internal_account_number, external_entity, cast(amount AS double) AS amount,
+        row_number() OVER (ORDER BY d NULLS FIRST, bucket_ord, ord) AS record_id
+        FROM good JOIN firsts ON good.internal_account_number IS NOT DISTINCT FROM firsts.internal_account_number""",
     "stream_overlap_dedupe": "SELECT event_id, user_id, value FROM events",
     # --- plug-ins
     "parser_plugin": _with(_NOTICES) + """SELECT message_id, CASE WHEN ord % 8 IN (5, 6) THEN 'text' ELSE 'json' END AS parser,

@@ -5,6 +5,7 @@ Money comes out as double and dates as text, so that results compare across engi
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,12 +15,12 @@ from msgledger.operators import accounts as acc, fingerprint as fp, ledger as le
 from msgledger.operators import replicates as rep, validate as val
 from msgledger.operators.joins import lookup
 from msgledger.operators.ordered import global_rank
-from msgledger.options import SYNONYMS
+from msgledger.options import SYNONYMS, Limits
 from msgledger.plans import views
 from msgledger.plans.runs import LEDGER, Paths, batch_run, run_metadata
 from msgledger.schema import RECORD, project_to
 from msgledger.session import spread, stage_path, stage_table
-from msgledger.sinks import tables as sinks
+from msgledger.sinks import state, tables as sinks
 from msgledger.sources import landing, plugin, tables as src
 from msgledger.streaming import ingest
 
@@ -494,6 +495,16 @@ def new_records_only(spark, sf):
     return led.new_records(rows, led.processed_ids(rows.where("amount < 0"))).select("message_id", day("date"), money("amount"))
 
 
+@query
+def known_few_ids(spark, sf):
+    """Which of the first messages of ten accounts, and of some that never came, a written ledger holds."""
+    rows, path = views.ledger(spark, sf), stage_path(spark, "ledger")
+    sinks.write_ledger(rows.where("amount >= 0"), path, many_runs=True)
+    asked = rows.where("cast(internal_account_number AS bigint) <= 10").select("message_id")
+    asked = stage_table(asked.unionByName(asked.select(F.concat("message_id", F.lit("x")).alias("message_id"))), "asked")
+    return led.known_ids(sinks.read_ledger(spark, path, rows.schema), asked, asked.count(), Limits(pushed_ids=1_000_000))
+
+
 @query
 def processed_union(spark, sf):
     rows = views.ledger(spark, sf)
@@ -519,6 +530,20 @@ def balance_forward_fill(spark, sf):
     return _balances(led.fill_balances(views.ledger(spark, sf), forward_only=True))
 
 
+@query
+def balance_across_runs(spark, sf):
+    """A run per year, each going on from where the accounts stood, as one run over all would."""
+    rows, path = views.ledger(spark, sf), stage_path(spark, "balances")
+    years = [r[0] for r in rows.select(F.year("date")).distinct().orderBy(1).collect()]
+    filled = []
+    for n, year in enumerate(years):
+        carried = state.carried_balances(spark, path, f"run-{n}")
+        part = led.fill_balances(rows.where(F.year("date") == year), forward_only=True, carried=carried)
+        filled.append(stage_table(_balances(part).join(rows.select("message_id", "date", "ord"), "message_id"), "filled"))
+        state.save_balances(led.last_balances(filled[-1]), path, f"run-{n}", n)
+    return reduce(DataFrame.unionByName, filled).drop("date", "ord")
+
+
 @query
 def balance_fill_full(spark, sf):
     return _balances(led.fill_balances(views.ledger(spark, sf)))
@@ -772,14 +797,15 @@ def _inbox(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ledger_run(spark, sf):
-    """Two runs over the same messages: the second adds nothing. Returns the ledger."""
+    """Two runs over the same messages, the first with copies at the same and at a later place: the
+    second adds nothing. Returns the ledger, with all its columns."""
     paths, accounts = _paths(spark), views.accounts(spark, sf)
     inbox = stage_table(_inbox(spark, sf), "inbox")
-    batch_run(inbox.unionByName(inbox.withColumn("ord", F.col("ord") + 1_000_000_000)), accounts, "run-1", paths)
+    copies = inbox.unionByName(inbox.withColumn("ord", F.col("ord") + 1_000_000_000)).unionByName(inbox.where("ord % 3 = 0"))
+    batch_run(copies, accounts, "run-1", paths)
     batch_run(inbox, accounts, "run-2", paths)
-    return sinks.read_ledger(spark, paths.ledger, LEDGER).select(
-        "message_id", day("date"), "internal_account_number", "external_entity", money("amount"), "record_id", "run_id"
-    )
+    return sinks.read_ledger(spark, paths.ledger, LEDGER).withColumns({
+        "date": F.col("date").cast("string"), "amount": F.col("amount").cast("double"), "available_balance": F.col("available_balance").cast("double")})
 
 
 @query
@@ -807,6 +833,20 @@ def stream_incremental(spark, sf):
     )
 
 
+@query
+def stream_arrivals(spark, sf):
+    """Landed mail through the keyed state: all messages once more, under other places, add nothing."""
+    landed, checkpoint, paths = stage_path(spark, "landed"), stage_path(spark, "stream-state"), _paths(spark)
+    inbox, accounts = _inbox(spark, sf), views.accounts(spark, sf)
+    for later in (0, 1_000_000_000):
+        inbox.withColumn("ord", F.col("ord") + later).write.mode("append").parquet(landed)
+        stream = ingest.landed_stream(spark, landed, inbox.schema)
+        ingest.ingest_arrivals(stream, lambda batch: batch, accounts, paths, checkpoint)
+    return sinks.read_ledger(spark, paths.ledger, LEDGER).select(
+        "message_id", day("date"), "internal_account_number", "external_entity", money("amount"), "record_id"
+    )
+
+
 @query
 def stream_overlap_dedupe(spark, sf):
     """Events with the last ten days read again, through the stateful guard."""

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from msgledger.functions import extract, text as tx
 from msgledger.functions.clean import account_number, to_date
 from msgledger.operators import fingerprint as fp
-from msgledger.operators.ledger import fill_balances
+from msgledger.operators.ledger import fill_balances, known_ids, last_balances
 from msgledger.options import Limits
 from msgledger.plans import views
 from msgledger.plans.runs import LEDGER, Paths, batch_run
-from msgledger.session import scratch, shared_dir, stage_table
-from msgledger.sinks import tables as sinks
+from msgledger.session import scratch, shared_dir, spread, stage_table
+from msgledger.sinks import state, tables as sinks
 from msgledger.sources import tables as src
 from msgledger.streaming import ingest
 
@@ -200,3 +200,155 @@ def test_free_form_dates(column):
     assert column(to_date, texts) == [date(2024, 1, 5)] * len(texts)
     assert column(tx.mail_timestamp, ["Fri, 5 Jan 24 10:00:00 +0000", "5 Jan 99 10:00"]) == [
         datetime(2024, 1, 5, 10), datetime(1999, 1, 5, 10)]
+
+
+# --- copies, arrivals, marks and balances -------------------------------------
+
+def inbox_of(spark, n):
+    return views.answers(spark, SF).where(f"ord < {n}").select("message_id", "ord", "body", "generated_text")
+
+
+def test_copies_at_one_place_enter_once(spark, tmp_path):
+    inbox, accounts = stage_table(inbox_of(spark, 40), "inbox"), views.accounts(spark, SF)
+    paths = Paths(*(f"{tmp_path}/{x}" for x in ("ledger", "flags", "log")))
+    other = inbox.where("ord % 4 = 0").withColumn("body", F.lit("another text under the same id"))
+    copies = inbox.unionByName(inbox).unionByName(inbox).unionByName(other).unionByName(inbox.withColumn("ord", F.col("ord") + 1000))
+    summary = batch_run(copies, accounts, "r1", paths).first()
+    rows = sinks.read_ledger(spark, paths.ledger, LEDGER).collect()
+    assert len(rows) == len({r["message_id"] for r in rows}) == summary["written"]
+    assert sorted(r["record_id"] for r in rows) == list(range(1, len(rows) + 1))
+    assert summary["fetched"] == copies.count() == summary["written"] + summary["failed"] + summary["duplicate"]
+    assert batch_run(copies, accounts, "r2", paths).first()["written"] == 0
+    # Mail without a place, as a source that gives none.
+    bare = Paths(*(f"{tmp_path}/bare-{x}" for x in ("ledger", "flags", "log")))
+    unplaced = inbox.withColumn("ord", F.lit(None).cast("bigint"))
+    batch_run(unplaced.unionByName(unplaced), accounts, "r1", bare)
+    assert sinks.read_ledger(spark, bare.ledger, LEDGER).count() == len(rows)
+
+
+def arrive(spark, tmp_path, rows, paths, state="state"):
+    rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = ingest.landed_stream(spark, f"{tmp_path}/in", rows.schema, max_files=1)
+    ingest.ingest_arrivals(stream, lambda b: b, views.accounts(spark, SF), paths, f"{tmp_path}/{state}")
+
+
+def test_arrivals_do_not_read_the_ledger(spark, tmp_path):
+    inbox = stage_table(inbox_of(spark, 80), "inbox")
+    paths = Paths(*(f"{tmp_path}/{x}" for x in ("ledger", "flags", "log", "balances")))
+    batch_run(inbox.where("ord < 30"), views.accounts(spark, SF), "before", paths)
+    arrive(spark, tmp_path, inbox.where("ord < 50").unionByName(inbox.where("ord BETWEEN 30 AND 40")), paths)
+    first = sinks.read_ledger(spark, paths.ledger, LEDGER).collect()
+    assert {r["message_id"] for r in first} == {r[0] for r in inbox.where("ord < 50 AND ord % 16 <> 6").select("message_id").collect()}
+    # From here on, whoever opens a file of the ledger fails.
+    for folder, _, names in os.walk(paths.ledger):
+        for name in names:
+            if name.endswith(".parquet"):
+                os.remove(f"{folder}/{name}")
+                with open(f"{folder}/{name}", "wb") as f:
+                    f.write(b"not parquet")
+    arrive(spark, tmp_path, inbox.where("ord >= 40"), paths)
+    arrive(spark, tmp_path, inbox.where("ord < 60"), paths)
+    runs = [d for d in os.listdir(paths.ledger) if d.startswith("run_id=") and "before" not in d]
+    fresh = []
+    for run in sorted(runs):
+        try:
+            fresh += spark.read.parquet(f"{paths.ledger}/{run}").collect()
+        except Exception:  # noqa: BLE001 - the first batch's own files are broken, too
+            continue
+    assert {r["message_id"] for r in fresh} == {r[0] for r in inbox.where("ord >= 50 AND ord % 16 <> 6").select("message_id").collect()}
+    top = max(r["record_id"] for r in first)
+    assert sorted(r["record_id"] for r in fresh) == list(range(top + 1, top + 1 + len(fresh)))
+
+
+def test_arrivals_survive_a_lost_checkpoint(spark, tmp_path):
+    inbox = stage_table(inbox_of(spark, 40), "inbox")
+    paths = Paths(*(f"{tmp_path}/{x}" for x in ("ledger", "flags", "log")))
+    arrive(spark, tmp_path, inbox.where("ord < 30"), paths)
+    arrive(spark, tmp_path, inbox, paths, state="another")  # reads all that landed once more
+    rows = sinks.read_ledger(spark, paths.ledger, LEDGER).collect()
+    assert len(rows) == len({r["message_id"] for r in rows}) == inbox.where("ord % 16 <> 6").count()
+    assert sorted(r["record_id"] for r in rows) == list(range(1, len(rows) + 1))
+
+
+def test_marks_number_repeated_runs(spark, tmp_path):
+    ledger = f"{tmp_path}/ledger"
+    assert state.last_record_id(spark, ledger, "a") is None
+    for run, last in (("a", 10), ("b/1", 25), ("c", 30)):
+        state.mark_record_ids(spark, ledger, run, last)
+    assert [state.last_record_id(spark, ledger, r) for r in ("a", "b/1", "c", "new")] == [30, 30, 25, 30]
+    state.mark_record_ids(spark, ledger, "c", 28)
+    assert [state.last_record_id(spark, ledger, r) for r in ("c", "new")] == [25, 28]
+    assert len([n for n in os.listdir(f"{ledger}/_marks") if not n.startswith(".")]) == 2
+
+
+BALANCE_ROWS = "internal_account_number string, date date, ord long, available_balance decimal(28,2), amount decimal(18,2)"
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(hot_key_rows=3, chunk_rows=2, broadcast_rows=10)])
+def test_five_runs_fill_as_one(spark, tmp_path, limits):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", "", None]), date(2024, 1, 1 + n // 12), n, rng.choice([None, None, None, rng.randint(0, 500)]), rng.choice([None, rng.randint(-9, 9)]))
+            for n in range(120)]
+    df = stage_table(spark.createDataFrame([(a, d, n, b, m) for a, d, n, b, m in rows], BALANCE_ROWS.replace("decimal(28,2)", "int").replace(
+        "decimal(18,2)", "int")).selectExpr("internal_account_number", "date", "ord", "cast(available_balance AS decimal(28,2)) available_balance",
+                                            "cast(amount AS decimal(18,2)) amount"), "rows")
+    want = {r["ord"]: r["available_balance"] for r in fill_balances(df, forward_only=True, limits=limits).collect()}
+    got = {}
+    for run in range(5):
+        part = df.where(f"ord >= {24 * run} AND ord < {24 * run + 24}")
+        for attempt in range(2):  # a run that is repeated does not see its own balances
+            filled = stage_table(fill_balances(part, forward_only=True, limits=limits, carried=state.carried_balances(
+                spark, f"{tmp_path}/balances", f"run-{run}")), "filled")
+            state.save_balances(last_balances(filled), f"{tmp_path}/balances", f"run-{run}", 24 * run + 24)
+        got |= {r["ord"]: r["available_balance"] for r in filled.collect()}
+    assert got == want
+    before = {tuple(r) for r in state.carried_balances(spark, f"{tmp_path}/balances", "next").collect()}
+    assert state.merge_balances(spark, f"{tmp_path}/balances", keep=2, above=3)
+    assert not state.merge_balances(spark, f"{tmp_path}/balances", keep=2, above=3)
+    assert {tuple(r) for r in state.carried_balances(spark, f"{tmp_path}/balances", "next").collect()} == before
+
+
+def rows_scanned(df):
+    """Rows that the scan of a collected frame has handed on."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.getClass().getSimpleName().startswith("Adaptive") else plan
+    while not plan.children().isEmpty():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_few_ids_skip_row_groups(spark, tmp_path):
+    rng = random.Random(3)
+    ids = [f"{rng.getrandbits(64):016x}" for _ in range(20_000)]
+    rows = spark.createDataFrame([(i, "r1") for i in ids], "message_id string, run_id string").coalesce(1)
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "65536")
+    try:
+        sinks.write_ledger(rows, f"{tmp_path}/ledger")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    ledger = sinks.read_ledger(spark, f"{tmp_path}/ledger", rows.schema)
+
+    def known(wanted, **limits):
+        frame = spark.createDataFrame([(i,) for i in wanted], "message_id string")
+        return known_ids(ledger, frame, len(wanted), Limits(**limits))
+
+    absent = [f"{rng.getrandbits(64):016x}" for _ in range(40)]
+    few = known([ids[5], ids[6], *absent, None, ""])
+    assert sorted(r[0] for r in few.collect()) == sorted(ids[5:7])
+    assert rows_scanned(few) < 6000 and rows_scanned(known(absent)) < 3000
+    assert rows_scanned(known([ids[5]] * 3, pushed_ids=2)) == 20_000
+    assert known([]).count() == 0
+
+
+def test_spread_knows_empty_splits(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "cast(id AS string) s").coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        one = spark.read.parquet(f"{tmp_path}/one")
+        assert one.rdd.getNumPartitions() > 1
+        assert "Exchange" in spread(one, "id")._jdf.queryExecution().executedPlan().toString()
+        spark.range(50_000).repartition(3).write.parquet(f"{tmp_path}/three")
+        assert "Exchange" not in spread(spark.read.parquet(f"{tmp_path}/three"), "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

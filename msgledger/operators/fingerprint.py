@@ -1,7 +1,7 @@
 """Table fingerprints that do not depend on row order or partitioning."""
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
@@ -26,18 +26,32 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     whatever the size or skew, and copies count as often as they occur. The sums hold 10^18
     rows. A table without rows is told from others by its column names, too.
     """
-    words = df.select(row_digest(df.columns).alias("h")).select(*[
+    return combined(digest_sums(df), df.columns)
+
+
+def digest_sums(df: DataFrame) -> DataFrame:
+    """One row that stands for a part of a table: ``n_rows`` and four sums of row digests modulo 2^64."""
+    words = df.select(row_digest(df.columns).alias("h")).select(F.lit(1).alias("n_rows"), *[
         F.conv(F.substring("h", 1 + i * _WORD_HEX, _WORD_HEX), 16, 10).cast("decimal(38,0)").alias(f"w{i}")
         for i in range(_WORDS)
     ])
+    return _added(words)
+
+
+def _added(words: DataFrame) -> DataFrame:
     sums = words.agg(
-        F.count("*").alias("n_rows"),
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
         # Null only without rows: a sum that overflows must not pass for zero.
         *[F.when(F.count("*") == 0, F.lit(0).cast("decimal(38,0)")).otherwise(F.sum(f"w{i}")).alias(f"s{i}") for i in range(_WORDS)],
     )
-    parts = [F.col(f"s{i}") % F.lit(_MODULUS) for i in range(_WORDS)]
-    text = F.concat_ws(":", F.lit(",".join(sorted(df.columns))), F.col("n_rows").cast("string"), *[p.cast("decimal(20,0)").cast("string") for p in parts])
-    return sums.select("n_rows", F.sha2(text, 256).alias("fingerprint"))
+    return sums.select("n_rows", *[(F.col(f"s{i}") % F.lit(_MODULUS)).cast("decimal(20,0)").alias(f"w{i}") for i in range(_WORDS)])
+
+
+def combined(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The fingerprint of a table with these columns from the sums of its parts, in any order."""
+    whole = _added(parts.select("n_rows", *[F.col(f"w{i}").cast("decimal(38,0)").alias(f"w{i}") for i in range(_WORDS)]))
+    text = F.concat_ws(":", F.lit(",".join(sorted(columns))), F.col("n_rows").cast("string"), *[F.col(f"w{i}").cast("string") for i in range(_WORDS)])
+    return whole.select("n_rows", F.sha2(text, 256).alias("fingerprint"))
 
 
 def folder_fingerprint(tables: Mapping[str, DataFrame]) -> DataFrame:

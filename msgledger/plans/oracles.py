@@ -333,6 +333,7 @@ ORACLES: dict[str, str] = {
     "latency_cv": "SELECT event_type, round(stddev_samp(value) / avg(value), 9) AS cv FROM events GROUP BY 1",
     "replicate_files": _with(_LEDGER, _MATCHES, _RATES) + "SELECT run, n, id_ok, latency_ms FROM rates",
     "table_fingerprint": _fingerprint("documents", ["doc_id", "text", "lang", "source", "n_chars"]),
+    "ledger_manifest": _with(_LEDGER) + _fingerprint("ledger", ["message_id", "ord", "internal_account_number", "run_id"]),
     "folder_fingerprint": f"""SELECT sum(n_rows)::bigint AS n_rows, sha256(string_agg(fingerprint, chr(10) ORDER BY name)) AS fingerprint FROM (
         SELECT 'benchmark' AS name, * FROM ({_fingerprint('benchmark', ['item_id', 'text'])})
         UNION ALL SELECT 'conversations', * FROM ({_fingerprint('conversations', ['conv_id', 'turn', 'role', 'text'])})
@@ -410,5 +411,6 @@ ORACLES: dict[str, str] = {
     "generation_hook": _with(_NOTICES) + """SELECT message_id, CASE ord % 4 WHEN 0 THEN 'Available balance: ZAR ' || balance
         WHEN 1 THEN 'New balance ' || balance WHEN 2 THEN 'Shop ' || entity
         ELSE 'Dear ' || entity || ', your card ****' || last4 || ' is active.' END AS description FROM notices""",
+    "plugin_stream": "SELECT o_orderkey AS id, o_custkey AS account, o_orderpriority AS priority FROM orders",
     "source_plugin": "SELECT o_orderkey AS id, o_custkey AS account, o_orderpriority AS priority FROM orders",
 }

@@ -652,6 +652,20 @@ def table_fingerprint(spark, sf):
     return fp.table_fingerprint(spread(views.table(spark, sf, "documents"), "doc_id"))
 
 
+@query
+def ledger_manifest(spark, sf):
+    """The ledger's fingerprint from a manifest: five runs added, one written again, one taken out and put back."""
+    rows = views.ledger(spark, sf).select("message_id", "ord", "internal_account_number", "run_id")
+    root = stage_path(spark, "manifest")
+    ledger, manifest = f"{root}/ledger", f"{root}/manifest"
+    for run in ("run-0", "run-1", "run-2", "run-3", "run-4", "run-1", "run-2"):
+        sinks.write_ledger(rows.where(F.col("run_id") == run), ledger, run_id=run)
+        state.save_digest(spark, ledger, manifest, run, rows.schema)
+        if run == "run-4":
+            state.forget_run(spark, ledger, manifest, "run-2")
+    return state.ledger_fingerprint(spark, manifest, rows.schema)
+
+
 @query
 def folder_fingerprint(spark, sf):
     return fp.folder_fingerprint({n: views.table(spark, sf, n) for n in ("labels", "benchmark", "conversations")})
@@ -906,3 +920,16 @@ def generation_hook(spark, sf):
 def source_plugin(spark, sf):
     plugin.register(spark, plugin.OrderNotices)
     return spark.read.format("order_notices").option("path", f"{sf}/orders.parquet").load()
+
+
+@query
+def plugin_stream(spark, sf):
+    """A plug-in source polled twice, with half of the orders there at the first poll."""
+    plugin.register(spark, plugin.OrderNotices)
+    orders, root = views.table(spark, sf, "orders"), stage_path(spark, "polled")
+    half = orders.agg(F.max("o_orderkey")).first()[0] // 2
+    for part in (F.col("o_orderkey") <= half, F.col("o_orderkey") > half):
+        orders.where(part).write.mode("append").parquet(f"{root}/orders")
+        spark.readStream.format("order_notices").option("path", f"{root}/orders").load().writeStream.format("parquet").option(
+            "path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("id bigint, account bigint, priority string").parquet(f"{root}/out")

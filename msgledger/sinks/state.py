@@ -1,12 +1,14 @@
 """What a run leaves for the next one beside the ledger: the last record id, and where accounts stand."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from msgledger.operators.fingerprint import combined, digest_sums
 from msgledger.session import delete_folder, stage_table
-from msgledger.sinks.tables import _escaped, _replace_runs, read_ledger
+from msgledger.sinks.tables import _escaped, _replace_runs, clear_run, read_ledger, read_run
 
 BALANCES = "account string, balance decimal(28,2), upto bigint, run_id string"
+DIGESTS = "n_rows bigint, w0 decimal(20,0), w1 decimal(20,0), w2 decimal(20,0), w3 decimal(20,0), run_id string"
 MERGED = "earlier runs"
 MAX_RUNS = 64  # runs of balances kept apart before old ones are merged
 
@@ -78,3 +80,24 @@ def merge_balances(spark: SparkSession, path: str, keep: int = MAX_RUNS // 2, ab
     for run in old:
         delete_folder(spark, f"{path}/run_id={_escaped(spark, run)}")
     return True
+
+
+def save_digest(spark: SparkSession, ledger: str, manifest: str, run_id: str, schema: T.StructType) -> None:
+    """Digest the rows that a run has in the ledger, and no others, into the manifest; a run without rows leaves it."""
+    sums = digest_sums(read_run(spark, ledger, run_id, schema)).withColumn("run_id", F.lit(run_id))
+    _replace_runs(sums.where("n_rows > 0"), manifest, run_id)
+
+
+def forget_run(spark: SparkSession, ledger: str, manifest: str, run_id: str) -> None:
+    """Take a run out of the ledger and out of its manifest."""
+    clear_run(spark, ledger, run_id)
+    clear_run(spark, manifest, run_id)
+
+
+def ledger_fingerprint(spark: SparkSession, manifest: str, schema: T.StructType) -> DataFrame:
+    """``n_rows`` and ``fingerprint`` of the whole ledger, from one manifest row per run.
+
+    Equal to ``table_fingerprint`` of its rows. Every run that writes, repeats or leaves the ledger has to
+    go through :func:`save_digest` or :func:`forget_run`.
+    """
+    return combined(read_ledger(spark, manifest, spark.createDataFrame([], DIGESTS).schema), schema.fieldNames())

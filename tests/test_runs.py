@@ -18,7 +18,7 @@ from msgledger.plans import views
 from msgledger.plans.runs import LEDGER, Paths, batch_run
 from msgledger.session import scratch, shared_dir, spread, stage_table
 from msgledger.sinks import state, tables as sinks
-from msgledger.sources import tables as src
+from msgledger.sources import plugin, tables as src
 from msgledger.streaming import ingest
 
 RECORD = "message_id string, ord long, amount int"
@@ -352,3 +352,73 @@ def test_spread_knows_empty_splits(spark, tmp_path):
         assert "Exchange" not in spread(spark.read.parquet(f"{tmp_path}/three"), "id")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+# --- manifests and polled sources ----------------------------------------------
+
+def test_manifest_follows_the_ledger(spark, tmp_path):
+    ledger, manifest = f"{tmp_path}/ledger", f"{tmp_path}/manifest"
+    schema = "message_id string, amount int, run_id string"
+    kind = spark.createDataFrame([], schema).schema
+
+    def write(run, rows):
+        sinks.write_ledger(spark.createDataFrame([(i, n, run) for i, n in rows], schema), ledger, run_id=run)
+        state.save_digest(spark, ledger, manifest, run, kind)
+
+    def check(n):
+        got = state.ledger_fingerprint(spark, manifest, kind).first()
+        assert tuple(got) == tuple(fp.table_fingerprint(sinks.read_ledger(spark, ledger, kind)).first()) and got["n_rows"] == n
+
+    check(0)
+    write("a/1", [("x", 1), ("x", 1), ("y", None)])
+    write("b", [("z", 5)])
+    check(4)
+    write("a/1", [("x", 2)])
+    check(2)
+    state.forget_run(spark, ledger, manifest, "b")
+    check(1)
+    write("a/1", [])
+    check(0)
+
+
+def test_a_polled_source_resumes(spark, tmp_path):
+    plugin.register(spark, plugin.OrderNotices)
+    root = str(tmp_path)
+    got = []
+
+    def deliver_ids(lo, hi):
+        spark.range(lo, hi).selectExpr("id AS o_orderkey", "id AS o_custkey", "'p' AS o_orderpriority").repartition(2).write.mode("append").parquet(f"{root}/orders")
+
+    def poll(fail=False):
+        def each(batch, n):
+            rows = [r["id"] for r in batch.collect()]
+            if fail:
+                raise ValueError("lost")
+            got.extend(rows)
+
+        stream = spark.readStream.format("order_notices").option("path", f"{root}/orders").load()
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    deliver_ids(0, 50)
+    poll()
+    assert sorted(got) == list(range(50))
+    poll()
+    deliver_ids(50, 80)
+    with pytest.raises(Exception, match="lost"):
+        poll(fail=True)
+    deliver_ids(80, 90)
+    poll()
+    assert sorted(got) == list(range(90))
+
+
+def test_since_reaches_a_plug_in(spark, tmp_path):
+    plugin.register(spark, plugin.OrderNotices)
+    for lo in (0, 100, 200):
+        spark.range(lo, lo + 100).selectExpr("id AS o_orderkey", "id AS o_custkey", "'p' AS o_orderpriority").coalesce(1).write.mode("append").parquet(f"{tmp_path}/o")
+    source = spark.read.format("order_notices").option("path", f"{tmp_path}/o").load()
+    late = source.where("id > 150 AND priority = 'p'")
+    assert sorted(r["id"] for r in late.collect()) == list(range(151, 300))
+    assert source.rdd.getNumPartitions() == 3 and late.rdd.getNumPartitions() == 2
+    assert plugin.OrderNotices.between({"at": 99}, {"at": 199}, {"path": f"{tmp_path}/o"})[0][2:] == (99, 199)
+    assert len(plugin.OrderNotices.between({"at": 99}, {"at": 199}, {"path": f"{tmp_path}/o"})) == 1

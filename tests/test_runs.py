@@ -408,6 +408,8 @@ def test_a_polled_source_resumes(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         poll(fail=True)
     deliver_ids(80, 90)
+    poll()  # the lost batch, with the rows it had
+    assert sorted(got) == list(range(80))
     poll()
     assert sorted(got) == list(range(90))
 

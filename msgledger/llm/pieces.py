@@ -8,6 +8,7 @@ the few pre-tokens whose second-best segmentation costs least; only those are se
 """
 from __future__ import annotations
 
+import hashlib
 import heapq
 from array import array
 from collections.abc import Iterable, Sequence
@@ -21,14 +22,18 @@ from msgledger.llm.common import small_batches, worker_cache
 from msgledger.llm.vocab import SPACE, Pieces, load, pretokens
 
 N_BEST = 4
-KNOWN = 150_000  # pre-tokens a worker remembers; beyond, it starts anew
+KNOWN = 150_000  # pre-tokens a worker remembers, some 300 bytes each; beyond, it starts anew
+KNOWN_FOR_DIGESTS = 600_000  # where no ids are sent back, there is room for more
 RESULT = T.StructType([
     T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.LongType())),
     T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType()),
     T.StructField("alike", T.BooleanType())])
+DIGESTS = T.StructType([
+    T.StructField("n_pieces", T.LongType()), T.StructField("scores", T.ArrayType(T.LongType())), T.StructField("ids_sha256", T.StringType()),
+    T.StructField("others_sha256", T.ArrayType(T.StringType())), T.StructField("round_trip", T.BooleanType())])
 ALIKE = 48  # pre-tokens up to this length are segmented many at once
 SQUARE = 50_000  # characters of them at a time
-CHUNK = 100  # texts segmented together
+CHUNK = 400  # texts segmented together
 NEVER = -(1 << 62)
 NOT_HERE = (None, False)
 
@@ -48,7 +53,8 @@ class Lattice:
     Pre-tokens met before are kept in flat arrays: best score, ids, loss of the second best.
     """
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, pieces: Pieces, room: int | None = None):
+        self.room = room
         self.ids = pieces.ids
         self.byte_ids = pieces.byte_ids
         self.score_of = {p: round(pieces.scores[i]) for p, i in pieces.ids.items()}
@@ -61,6 +67,7 @@ class Lattice:
         self._make_tree()
         self.bytes_of = {i: p.encode("utf-8") for p, i in pieces.ids.items()} | {
             i: bytes([b]) for b, i in pieces.byte_ids.items()}
+        self.name_of = {i: str(i).encode() for i in self.bytes_of}
         self.forget()
 
     def cut(self, text: str | None) -> list[str]:
@@ -91,6 +98,9 @@ class Lattice:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.tokens: list[str] = []
+        self.forms: list[bytes] = []
+        self.swaps: dict[int, list[tuple[int, list[int]]]] = {}
+        self.wrong: set[int] = set()
         self.best, self.loss, self.flat, self.ends = array("q"), array("q"), array("i"), array("q", [0])
 
     def arcs(self, token: str, start: int) -> list[tuple[int, int]]:
@@ -197,9 +207,17 @@ class Lattice:
         self.tokens.extend(tokens)
         self.best.extend(best)
         self.loss.extend(loss)
-        for found in ids:
-            self.flat.extend(found)
-            self.ends.append(len(self.flat))
+        flat, ends, forms, name, part = self.flat, self.ends, self.forms, self.name_of.__getitem__, self.bytes_of.__getitem__
+        for token, found in zip(tokens, ids, strict=True):
+            if b"".join(map(part, found)) != token.encode("utf-8", "surrogatepass"):
+                self.wrong.add(len(forms))
+            flat.extend(found)
+            ends.append(len(flat))
+            forms.append(b" ".join(map(name, found)))
+
+    def spells(self, token: str, ids: Iterable[int]) -> bool:
+        """Whether ids decode to a pre-token."""
+        return b"".join(map(self.bytes_of.__getitem__, ids)) == token.encode("utf-8", "surrogatepass")
 
     def _learn_alike(self, tokens: list[str], size: int) -> None:
         """``first`` for many pre-tokens of one length at once: a row each, one pass over places."""
@@ -255,11 +273,44 @@ class Lattice:
         loss = np.where(two[:, size] > NEVER // 2, one[:, size] - two[:, size], -NEVER)
         self._add([tokens[k] for k in keep], one[:, size].tolist(), (p[::-1] for p in parts), loss.tolist())
 
-    def segment(self, texts: Sequence[str | None], n: int, others: bool = False) -> list[Segmented]:
-        if len(self.known) > KNOWN:
+    def _cut_all(self, texts: Sequence[str | None]) -> list[list[str]]:
+        """Pre-tokens of texts, all of them known afterwards."""
+        if len(self.known) > (self.room or KNOWN):
             self.forget()
         cut = [self.cut(t) for t in texts]
         self.learn(set().union(*cut).difference(self.known))
+        return cut
+
+    def digests(self, texts: Sequence[str | None], n: int) -> list[tuple[int, list[int], list[str], bool]]:
+        """Number of pieces, scores and digests of the n best segmentations, and whether all decode to the text.
+
+        A digest is of the ids in decimals, a space between. Decoding is proved part by part: the
+        pre-tokens make up the text, and each one's ids decode to it, those of the changed ones too.
+        """
+        cut = self._cut_all(texts)
+        best, loss, ends = (np.frombuffer(x, x.typecode) if len(x) else np.zeros(0, np.int64) for x in (self.best, self.loss, self.ends))
+        out = []
+        for text, tokens in zip(texts, cut, strict=True):
+            at = np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+            numbers = at.tolist()
+            scores, changed = self._merge(at, int(best[at].sum()), loss[at], n) if numbers else ([], [])
+            parts = list(map(self.forms.__getitem__, numbers))
+            hashes = [hashlib.sha256(b" ".join(parts)).hexdigest()]
+            right = "".join(tokens) == (SPACE + text.replace(" ", SPACE) if text else "") and SPACE not in (text or "")
+            right &= not self.wrong or self.wrong.isdisjoint(numbers)
+            for swap in changed:
+                kept = {k: parts[k] for k in swap}
+                for k, ids in swap.items():
+                    parts[k] = b" ".join(map(self.name_of.__getitem__, ids))
+                    right &= self.spells(tokens[k], ids)
+                hashes.append(hashlib.sha256(b" ".join(parts)).hexdigest())
+                for k, form in kept.items():
+                    parts[k] = form
+            out.append((int((ends[at + 1] - ends[at]).sum()), scores, hashes, right))
+        return out
+
+    def segment(self, texts: Sequence[str | None], n: int, others: bool = False) -> list[Segmented]:
+        cut = self._cut_all(texts)
         best, loss, flat, ends = (np.frombuffer(x, x.typecode) if len(x) else np.zeros(0, np.int64) for x in (
             self.best, self.loss, self.flat, self.ends))
         out = []
@@ -283,12 +334,20 @@ class Lattice:
         plans: list[tuple[int, dict[int, list[int]]]] = [(0, {})]
         for k in sorted(few[loss[few] < -NEVER].tolist()):
             token = int(at[k])
-            kept = self.flat[self.ends[token]:self.ends[token + 1]].tolist()
-            other = [(self.best[token] - s, ids) for s, ids in self.n_best(self.tokens[token], n) if ids != kept][:n - 1]
+            other = self._others(token, n)
             plans = sorted(
                 [*plans, *((a + b, {**swap, k: ids}) for a, swap in plans for b, ids in other)], key=lambda p: p[0])[:n]
         return [total - a for a, _ in plans], [swap for _, swap in plans[1:]]
 
+    def _others(self, token: int, n: int) -> list[tuple[int, list[int]]]:
+        """(loss, ids) of the segmentations of a known pre-token after its best."""
+        found = self.swaps.get(token)
+        if found is None or len(found) < n - 1:
+            kept = self.flat[self.ends[token]:self.ends[token + 1]].tolist()
+            found = [(self.best[token] - s, ids) for s, ids in self.n_best(self.tokens[token], n) if ids != kept][:n - 1]
+            self.swaps[token] = found
+        return found[:n - 1]
+
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a segmentation: pieces joined, byte pieces as UTF-8, the first space dropped."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")[1:]
@@ -359,13 +418,21 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, others: bool = False) -
 def summary(docs: DataFrame, model: str, n: int = N_BEST) -> DataFrame:
     """doc_id, n_pieces, n_segmentations, the scores and digests of the n best, and whether all of
     them decode to the text."""
-    got = encode(docs.select("doc_id", "text"), model, n, others=True)
+    small_batches(docs.sparkSession, 400)
+    pieces = load(model)
 
-    def digest(ids: Column) -> Column:
-        return F.sha2(F.array_join(ids, " "), 256)
+    @F.arrow_udf(DIGESTS)
+    def run(texts: pa.Array) -> pa.Array:
+        lattice = worker_cache(f"lattice-digests:{pieces.name}", lambda: Lattice(pieces, KNOWN_FOR_DIGESTS))
+        values, found = texts.to_pylist(), []
+        for k in range(0, len(values), CHUNK):
+            found += lattice.digests(values[k:k + CHUNK], n)
+        size, scores, hashes, right = zip(*found, strict=True) if found else ((), (), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(size, pa.int64()), pa.array(scores, pa.list_(pa.int64())), pa.array([h[0] for h in hashes], pa.string()),
+             pa.array([h[1:] for h in hashes], pa.list_(pa.string())), pa.array(right, pa.bool_())],
+            ["n_pieces", "scores", "ids_sha256", "others_sha256", "round_trip"])
 
-    return got.select(
-        "doc_id", F.size("encoded.pieces").cast("bigint").alias("n_pieces"),
-        F.size("encoded.scores").cast("bigint").alias("n_segmentations"), F.col("encoded.scores").alias("scores"),
-        digest(F.col("encoded.pieces")).alias("ids_sha256"), F.transform("encoded.n_best", digest).alias("others_sha256"),
-        ((F.col("encoded.decoded") == F.coalesce("text", F.lit(""))) & F.col("encoded.alike")).alias("round_trip"))
+    done = docs.select("doc_id", run(F.col("text")).alias("d"))
+    return done.select("doc_id", "d.n_pieces", F.size("d.scores").cast("bigint").alias("n_segmentations"), "d.scores", "d.ids_sha256",
+                       "d.others_sha256", "d.round_trip")

@@ -1,20 +1,20 @@
 """Remove byte strings of a fixed length that also start in an earlier document.
 
-Suffixes are ordered only as far as their first 50 bytes, by most-significant-digit passes in
-which equal groups alone go on. To keep a pass smaller than the text, windows that share an anchor
-travel as one suffix: the anchor of a window is the least-hashed of its 20-byte strings, so equal
-windows have equal anchors, and a run of windows with one anchor is a region.
-
-1. First digit: the anchor's 20 bytes. Groups held by one document end here.
-2. Second digit: the whole region. A region that a smaller document has too goes entirely. Of the
-   rest, those go on that share the 15 bytes to one side of the anchor with another document, as
+Windows of 50 bytes are grouped in passes in which equal groups alone go on; no suffix is put into
+order. To keep a pass smaller than the text, windows that share an anchor travel together: the
+anchor of a window is the least-hashed of its 12-byte strings, so equal windows have equal
+anchors, and a run of windows with one anchor is a region.
+
+1. By the anchor's 12 bytes. Groups held by one document end here.
+2. By the whole region. A region that a smaller document has too goes entirely. Of the
+   rest, those go on that share the 19 bytes to one side of the anchor with another document, as
    any two equal windows do.
-3. Last digit: the 50-byte windows of these regions.
+3. By the 50-byte windows of these regions, whose bytes are compared.
 
 A task first drops what it finds repeated in its own input, so a passage that many documents
-share leaves each task once. Digits are hashes: 40 bits for the first and 16 for the sides, which
-only select, 48 more for regions, 64 for windows. They travel as packed arrays, one row for each
-bucket of first digits.
+share leaves each task once. Passes group by hashes: 40 bits for anchors and 16 for the sides, which
+only select, 48 more for regions (88 with the anchor's), 64 for windows, which are then compared. They travel
+as packed arrays, one row for each bucket of anchors.
 """
 from __future__ import annotations
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from msgledger.llm.common import small_batches, stage_table, utf8
 
 LENGTH = 50
-GRAM = 20
+GRAM = 12  # the shorter, the fewer regions
 SIDE = (LENGTH - GRAM) // 2
 PIECE = 1 << 20  # bytes hashed at a time
 HELD = 1_000_000  # regions a task collects before it sends them
@@ -361,6 +361,19 @@ def opened(open_: DataFrame, bits: int) -> DataFrame:
     return open_.select("doc_id", "text", "k", "first", "size").mapInArrow(run, OPENED)
 
 
+def _unlike(data: np.ndarray, begin: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Whether windows that were grouped as equal are not: their order by group and bytes, and the groups."""
+    first = begin[new][np.cumsum(new) - 1]
+    twin, steps = np.flatnonzero(first != begin), np.arange(LENGTH)
+    if all((data[begin[part][:, None] + steps] == data[first[part][:, None] + steps]).all()
+           for part in np.array_split(twin, len(twin) // 100_000 + 1)):
+        return None
+    words = [data[a:a + LENGTH].tobytes() for a in begin.tolist()]
+    group = np.cumsum(new).tolist()
+    order = sorted(range(len(begin)), key=lambda k: (group[k], words[k]))
+    return np.array(order), np.array([k == 0 or (group[i], words[i]) != (group[order[k - 1]], words[order[k - 1]]) for k, i in enumerate(order)])
+
+
 def last_digits(rows: DataFrame) -> DataFrame:
     """(doc, starts): the windows of open regions that a smaller document has, too."""
 
@@ -368,7 +381,7 @@ def last_digits(rows: DataFrame) -> DataFrame:
         ids, first, size, data = (table.column(c).to_pylist() for c in ("doc", "first", "size", "bytes"))
         first = [np.frombuffer(x, "<i8") for x in first]
         size = [np.frombuffer(x, "<i4").astype(np.int64) for x in size]
-        hashes, places = [], []
+        hashes, places, begins, before = [], [], [], 0
         hasher = Hasher(max(map(len, data)))
         for part, starts, sizes in zip(data, first, size, strict=True):
             every = hasher.fixed(hasher.sums(np.frombuffer(part, np.uint8)), LENGTH)
@@ -376,11 +389,17 @@ def last_digits(rows: DataFrame) -> DataFrame:
             step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             hashes.append(every[np.repeat(begin, sizes) + step])
             places.append(np.repeat(starts, sizes) + step)
+            begins.append(np.repeat(begin, sizes) + step + before)
+            before += len(part)
         doc = np.repeat(np.array(ids), [len(h) for h in hashes])
-        h, at = np.concatenate(hashes), np.concatenate(places)
+        h, at, begin = np.concatenate(hashes), np.concatenate(places), np.concatenate(begins)
         order = np.lexsort((doc, h))
-        h, doc, at = h[order], doc[order], at[order]
+        h, doc, at, begin = h[order], doc[order], at[order], begin[order]
         new = np.concatenate(([True], h[1:] != h[:-1]))
+        # Equal hashes are equal bytes but for a chance of 2^-64; then the bytes put them in order.
+        if (unlike := _unlike(np.frombuffer(b"".join(data), np.uint8), begin, new)) is not None:
+            order, new = unlike
+            doc, at = doc[order], at[order]
         later = doc > doc[new][np.cumsum(new) - 1]
         return pa.Table.from_batches([_batch(list(_by_doc(doc[later], at[later])), "doc long, starts binary")])
 

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import types as T
 
-from msgledger.llm import mixing, repeats, simhash, topk
+from msgledger.llm import mixing, near, repeats, simhash, topk
 from msgledger.llm.common import documents
 from msgledger.llm.graph import components
 from msgledger.llm.queries import ORACLES, QUERIES
@@ -301,6 +301,69 @@ def test_repeats_keep_bytes_and_odd_rows(spark):
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
 
 
+# Near copies.
+
+def five_words(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+
+
+def slow_distinct(rows, similar=0.8):
+    """Ids that are not linked, through others or not, to a smaller one."""
+    sets = {}
+    for d, t in rows:
+        sets.setdefault(d, []).append(five_words(t))
+    least = {d: d for d in sets}
+    pairs = [(a, b) for a in sets for b in sets if a < b and any(x and y and len(x & y) >= similar * len(x | y) for x in sets[a] for y in sets[b])]
+    for _ in range(len(sets)):
+        before = dict(least)
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    return {d for d in sets if least[d] == d}
+
+
+def near_texts():
+    rng = random.Random(21)
+    texts = []
+    for k in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            w = list(base)
+            for _ in range(rng.randint(1, max(1, len(w) // 40))):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(100)}"
+            texts.append(" ".join(w).upper() if rng.random() < 0.3 else "\n".join(w))
+    return texts
+
+
+def test_near_copies_equal_plain_version(spark):
+    texts = [*near_texts(), None, "", " \n", "one", "ONE", "one two three four", "y " * 50_000]
+    rows = list(enumerate(texts)) + [(3, "repeated id"), (5, texts[5])]
+    docs = spark.createDataFrame([(d, t, 1, 2, "s") for d, t in [*rows, (None, texts[0])]], "doc_id long, text string, id int, hi int, s string")
+    kept = near.keep_distinct(docs)
+    assert kept.columns == docs.columns
+    got = [r["doc_id"] for r in kept.collect()]
+    assert {d for d in got if d is not None} == slow_distinct(rows) and got.count(None) == 1
+    assert near.keep_distinct(docs.limit(0)).count() == 0
+
+
+def test_near_copies_are_recalled(spark):
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark, "/root/testdata/sf0.01").where("length(text) > 300").collect()]
+    sets = {d: five_words(t) for d, t in rows}
+    by_shingle = {}
+    for d, s in sets.items():
+        for x in s:
+            by_shingle.setdefault(x, []).append(d)
+    met = {(max(a, b), min(a, b)) for ids in by_shingle.values() if len(ids) < 50 for a in ids for b in ids if a != b}
+    want = {(a, b) for a, b in met if 0.8 <= len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.95}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r["doc_id"] for r in near.keep_distinct(docs).collect()}
+    found = sum(not (a in left and b in left) for a, b in want)
+    assert want and found >= 0.9 * len(want)
+
+
 # The pipeline.
 
 def test_pipeline(spark):
@@ -314,7 +377,9 @@ def test_pipeline(spark):
     assert all(tuple(s[0]) == pipeline.COLUMNS for s in steps[:4])
     assert {r["doc_id"] for r in unlined} == {r["doc_id"] for r in good}
     groups = slow_groups([(r["doc_id"], r["text"]) for r in unlined])
-    assert {r["doc_id"] for r in single} == {d for d, _, c in groups if d == c}
+    apart = {d for d, _, c in groups if d == c}
+    assert {r["doc_id"] for r in single} == slow_distinct([(r["doc_id"], r["text"]) for r in unlined if r["doc_id"] in apart])
+    assert len(single) < len(apart)
     words = {r["doc_id"]: len((r["text"] or "").encode().split()) for r in single}
     took = {}
     for r in mixed:

@@ -3,10 +3,12 @@
 Counts are taken from each whole text. Texts that pass the fixed base rules feed one quantile
 sketch per (lang, source, measure): a log-linear histogram of whole numbers, whose bins are six
 significant bits wide. Sketches merge by adding bin counts, so they are built with map-side
-combine, do not depend on order, and merge upwards: a group with few rows uses the sketch of
-its language, and a language with few rows that of all documents. Fences come from the sketch's
-quantiles and are joined back to the rows; they lean on the median and on the narrower side of
-it, so that junk on one side moves them only where it is half of a group or more.
+combine and do not depend on order. Every group's sketch gets its language's added, scaled to a
+fixed number of rows: a small group follows its language, a large one itself, and no size is a
+switch. A fence lies beyond the group's outer quartile by the quartile's distance from the
+median, so a source's style moves it; but not further from the median, or from the medians of
+the language's sources, than a second fence allows, so junk inside a source does not. Fences
+are joined back to the rows.
 """
 from __future__ import annotations
 
@@ -27,22 +29,25 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Fence:
-    """How far a measure may lie from its group's median: ``spread`` + 1 times the distance to the
-    nearer of the outer deciles, plus ``slack``. A decile that has become junk is the farther one."""
+    """How far a measure may lie beyond its group's outer quartile (``spread`` times the quartile's
+    distance from the median, plus ``slack``), and at ``most`` beyond the group's median or the outer
+    quartile of the medians of the language's sources, with its spread."""
 
     spread: int
     slack: int
+    most: int
     lower: bool = False
 
 
 # Measures are whole numbers: shares in 1/10,000, word length in 1/100 characters.
 FENCES: Mapping[str, Fence] = {
-    "symbol_share": Fence(3, 500),
-    "word_length": Fence(4, 200, lower=True),
-    "dup_line_share": Fence(3, 400),
-    "repeat_share": Fence(3, 3500),
+    "symbol_share": Fence(3, 500, 1000),
+    "word_length": Fence(4, 200, 400, lower=True),
+    "dup_line_share": Fence(3, 400, 800),
+    "repeat_share": Fence(3, 3500, 4200),
 }
-MIN_ROWS = 200
+MIN_ROWS = 50  # what a language's sketch counts for in each of its groups
+UNIT = 1_000_000
 SMALL_GROUPS = 100_000
 
 
@@ -105,44 +110,45 @@ def sketches(rows: DataFrame) -> DataFrame:
     return long.withColumn("bin", low).groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
 
 
-def _quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, median and outer deciles of each sketch; a sketch has a bounded number of bins."""
+def _quartiles(sketch: DataFrame, keys: list[str], names: str) -> DataFrame:
+    """Lower quartile, median and upper quartile of each sketch (bin, w) as <names>1 to <names>3; a sketch has a bounded number of bins."""
     group = Window.partitionBy(*keys, "measure")
-    seen = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
+    seen = sketch.withColumn("upto", F.sum("w").over(group.orderBy("bin"))).withColumn("all", F.sum("w").over(group))
+    return seen.groupBy(*keys, "measure").agg(*[
+        F.min(F.when(F.col("upto") * 4 >= F.col("all") * k, F.col("bin"))).alias(f"{names}{k}") for k in (1, 2, 3)])
 
-    def q(tenths: int) -> Column:
-        return F.min(F.when(F.col("upto") * 10 >= F.col("all") * tenths, F.col("bin")))
 
-    return seen.groupBy(*keys, "measure").agg(
-        F.max("all").alias("rows"), q(1).alias("q1"), q(5).alias("q5"), q(9).alias("q9"))
+def _blended(sketch: DataFrame, rows: int) -> DataFrame:
+    """Each group's sketch with its language's added, scaled to so many rows; weights in 1/UNIT rows."""
+    by_lang = sketch.groupBy("lang", "measure", "bin").agg(F.sum("n").alias("n"))
+    every = F.sum("n").over(Window.partitionBy("lang", "measure"))
+    scaled = by_lang.withColumn("all", every).select(
+        F.col("lang").alias("l"), F.col("measure").alias("m"), "bin", F.expr(f"cast(n AS decimal(20,0)) * {rows * UNIT} div all").alias("w"))
+    groups = sketch.select("lang", "source", "measure").distinct()
+    lent = groups.join(scaled, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m"))).select("lang", "source", "measure", "bin", "w")
+    own = sketch.select("lang", "source", "measure", "bin", (F.col("n") * UNIT).alias("w"))
+    return own.unionByName(lent).groupBy("lang", "source", "measure", "bin").agg(F.sum("w").alias("w"))
 
 
 def thresholds(sketch: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row per (lang, source): ``lo_<measure>`` and ``hi_<measure>``, null where unbounded."""
-    by_lang = sketch.groupBy("lang", "measure", "bin").agg(F.sum("n").alias("n"))
-    overall = by_lang.groupBy("measure", "bin").agg(F.sum("n").alias("n"))
-    own = _quantiles(sketch, ["lang", "source"]).withColumnRenamed("lang", "l")
-    lang = _quantiles(by_lang, ["lang"]).select(
-        F.col("lang").alias("l2"), F.col("measure").alias("m2"), F.struct("rows", "q1", "q5", "q9").alias("of_lang"))
-    total = _quantiles(overall, []).select(F.col("measure").alias("m3"), F.struct("q1", "q5", "q9").alias("of_all"))
-    # ``total`` has one row per measure, four in all.
-    got = own.join(lang, F.col("l").eqNullSafe(F.col("l2")) & (F.col("measure") == F.col("m2"))) \
-        .join(F.broadcast(total), F.col("measure") == F.col("m3"))
-
-    def pick(q: str) -> Column:
-        return F.when(F.col("rows") >= min_rows, F.col(q)).when(
-            F.col("of_lang.rows") >= min_rows, F.col(f"of_lang.{q}")).otherwise(F.col(f"of_all.{q}"))
-
-    got = got.select("l", "source", "measure", *[pick(q).alias(q) for q in ("q1", "q5", "q9")])
-    near = F.least(F.col("q9") - F.col("q5"), F.col("q5") - F.col("q1"))
+    """One row per (lang, source): ``lo_<measure>`` and ``hi_<measure>``, null where unbounded.
+
+    ``min_rows`` is how many rows the language's sketch counts for in every group.
+    """
+    own = stage_table(_quartiles(_blended(sketch, min_rows), ["lang", "source"], "q"), "quality-quartiles")
+    # One vote per source: the quartiles of the sources' medians.
+    medians = own.groupBy("lang", "measure", F.col("q2").alias("bin")).agg(F.count("*").alias("w"))
+    votes = _quartiles(medians, ["lang"], "m").withColumnsRenamed({"lang": "l", "measure": "of"})
+    got = own.join(votes, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("of")))
     out = []
-    for m, fence in FENCES.items():
+    for m, f in FENCES.items():
         mine = F.col("measure") == m
-        room = (fence.spread + 1) * near + fence.slack
-        out.append(F.max(F.when(mine, F.col("q5") + room)).alias(f"hi_{m}"))
-        if fence.lower:
-            out.append(F.max(F.when(mine, F.col("q5") - room)).alias(f"lo_{m}"))
-    return got.groupBy(F.col("l").alias("t_lang"), F.col("source").alias("t_source")).agg(*out)
+        hi = F.least(F.expr(f"q3 + {f.spread} * (q3 - q2) + {f.slack}"), F.expr(f"greatest(m3 + {f.spread} * (m3 - m2), q2) + {f.most}"))
+        out.append(F.max(F.when(mine, hi)).alias(f"hi_{m}"))
+        if f.lower:
+            lo = F.greatest(F.expr(f"q1 - {f.spread} * (q2 - q1) - {f.slack}"), F.expr(f"least(m1 - {f.spread} * (m2 - m1), q2) - {f.most}"))
+            out.append(F.max(F.when(mine, lo)).alias(f"lo_{m}"))
+    return got.groupBy(F.col("lang").alias("t_lang"), F.col("source").alias("t_source")).agg(*out)
 
 
 def with_thresholds(rows: DataFrame, limits: DataFrame) -> DataFrame:

@@ -142,23 +142,28 @@ long AS (
   SELECT lang, source, 'word_length', word_length FROM m WHERE NOT base_failed UNION ALL
   SELECT lang, source, 'dup_line_share', dup_line_share FROM m WHERE NOT base_failed UNION ALL
   SELECT lang, source, 'repeat_share', repeat_share FROM m WHERE NOT base_failed),
-bins AS (SELECT lang, source, k, (v >> e) << e AS b FROM
-           (SELECT *, greatest(length(bin(v)) - 6, 0) AS e FROM long)),
-q AS (SELECT lang, source, k, count(*) AS n, list_sort(list(b)) AS bs FROM bins GROUP BY ALL),
-ql AS (SELECT lang, k, count(*) AS n, list_sort(list(b)) AS bs FROM bins GROUP BY ALL),
-qa AS (SELECT k, list_sort(list(b)) AS bs FROM bins GROUP BY ALL),
-picked AS (SELECT q.lang, q.source, q.k,
-             CASE WHEN q.n >= 200 THEN q.bs WHEN ql.n >= 200 THEN ql.bs ELSE qa.bs END AS bs
-           FROM q JOIN ql ON q.lang IS NOT DISTINCT FROM ql.lang AND q.k = ql.k JOIN qa ON q.k = qa.k),
-qq AS (SELECT lang, source, k, bs[(len(bs) + 9) // 10] AS q1, bs[(5 * len(bs) + 9) // 10] AS q5,
-         bs[(9 * len(bs) + 9) // 10] AS q9 FROM picked),
-t AS (SELECT lang, source,
-        max(CASE WHEN k = 'symbol_share' THEN q9 + 3 * (q9 - q5) + 500 END) AS hi_symbol,
-        max(CASE WHEN k = 'word_length' THEN q9 + 4 * (q9 - q5) + 200 END) AS hi_length,
-        max(CASE WHEN k = 'word_length' THEN q1 - 4 * (q5 - q1) - 200 END) AS lo_length,
-        max(CASE WHEN k = 'dup_line_share' THEN q9 + 3 * (q9 - q5) + 400 END) AS hi_dup,
-        max(CASE WHEN k = 'repeat_share' THEN q9 + 3 * (q9 - q5) + 3500 END) AS hi_repeat
-      FROM qq GROUP BY lang, source)
+bins AS (SELECT lang, source, k, (v >> e) << e AS b, count(*) AS n FROM
+           (SELECT *, greatest(length(bin(v)) - 6, 0) AS e FROM long) GROUP BY ALL),
+by_lang AS (SELECT lang, k, b, sum(n) AS n FROM bins GROUP BY ALL),
+lent AS (SELECT lang, k, b, 50000000 * n // sum(n) OVER (PARTITION BY lang, k) AS w FROM by_lang),
+both_ AS (SELECT lang, source, k, b, 1000000 * n AS w FROM bins UNION ALL
+          SELECT g.lang, g.source, g.k, b, w FROM (SELECT DISTINCT lang, source, k FROM bins) g
+            JOIN lent ON g.lang IS NOT DISTINCT FROM lent.lang AND g.k = lent.k),
+sketch AS (SELECT lang, source, k, b, sum(w) AS w FROM both_ GROUP BY ALL),
+seen AS (SELECT *, sum(w) OVER (PARTITION BY lang, source, k ORDER BY b) AS upto, sum(w) OVER (PARTITION BY lang, source, k) AS total FROM sketch),
+q AS (SELECT lang, source, k, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 2 * total) AS q2,
+        min(b) FILTER (4 * upto >= 3 * total) AS q3 FROM seen GROUP BY ALL),
+votes AS (SELECT lang, k, q2 AS b, count(*) AS w FROM q GROUP BY ALL),
+voted AS (SELECT *, sum(w) OVER (PARTITION BY lang, k ORDER BY b) AS upto, sum(w) OVER (PARTITION BY lang, k) AS total FROM votes),
+v AS (SELECT lang, k, min(b) FILTER (4 * upto >= total) AS m1, min(b) FILTER (4 * upto >= 2 * total) AS m2,
+        min(b) FILTER (4 * upto >= 3 * total) AS m3 FROM voted GROUP BY ALL),
+t AS (SELECT q.lang, q.source,
+        max(CASE WHEN q.k = 'symbol_share' THEN least(q3 + 3 * (q3 - q2) + 500, greatest(m3 + 3 * (m3 - m2), q2) + 1000) END) AS hi_symbol,
+        max(CASE WHEN q.k = 'word_length' THEN least(q3 + 4 * (q3 - q2) + 200, greatest(m3 + 4 * (m3 - m2), q2) + 400) END) AS hi_length,
+        max(CASE WHEN q.k = 'word_length' THEN greatest(q1 - 4 * (q2 - q1) - 200, least(m1 - 4 * (m2 - m1), q2) - 400) END) AS lo_length,
+        max(CASE WHEN q.k = 'dup_line_share' THEN least(q3 + 3 * (q3 - q2) + 400, greatest(m3 + 3 * (m3 - m2), q2) + 800) END) AS hi_dup,
+        max(CASE WHEN q.k = 'repeat_share' THEN least(q3 + 3 * (q3 - q2) + 3500, greatest(m3 + 3 * (m3 - m2), q2) + 4200) END) AS hi_repeat
+      FROM q JOIN v ON q.lang IS NOT DISTINCT FROM v.lang AND q.k = v.k GROUP BY q.lang, q.source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND symbol_share <= coalesce(hi_symbol, symbol_share)
     AND word_length <= coalesce(hi_length, word_length) AND word_length >= coalesce(lo_length, word_length)

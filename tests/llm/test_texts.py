@@ -85,6 +85,80 @@ def test_junk_in_a_group_does_not_move_its_fences(spark, share, spoil):
         assert {r["doc_id"]: r["count"] for r in kept} == dict.fromkeys(range(share, 100), rows.count() // 100)
 
 
+def prose_of(rng, words, n):
+    return [" ".join(rng.choice(words) + str(rng.randrange(500)) for _ in range(rng.randint(60, 90))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [100, 199, 200, 1000])
+def test_size_is_no_switch(spark, n):
+    """A source with a style of its own beside a large plain one, and one with junk in three rows of ten."""
+    rng = random.Random(n)
+    plain = prose_of(rng, ["alpha", "beta", "gamma", "delta"], 1500)
+    longer = prose_of(rng, ["internationalisation", "misunderstandings", "characteristically"], n)
+    dirty = [" ".join(w + "###" for w in t.split()) if i % 10 < 3 else t for i, t in enumerate(prose_of(rng, ["alpha", "beta", "gamma"], n))]
+    docs = table(spark, plain, source="a").unionByName(table(spark, longer, source="b", start=5000)).unionByName(table(spark, dirty, source="c", start=9000))
+    kept = {r["doc_id"] for r in quality.score(docs).where("kept").collect()}
+    assert kept == {*range(1500), *range(5000, 5000 + n), *(9000 + i for i in range(n) if i % 10 >= 3)}
+
+
+def test_light_use_of_symbols_is_a_style(spark):
+    rng = random.Random(31)
+    docs = [t if i % 20 < 11 else " ".join(w + ("#" if k % 12 == 0 else "") for k, w in enumerate(t.split()))
+            for i, t in enumerate(prose_of(rng, ["alpha", "beta", "gamma"], 400))]
+    assert quality.score(table(spark, docs)).where("kept").count() == 400
+
+
+def slow_limits(rows, add):
+    """(lang, source) -> limits, straight from the rows' binned measures."""
+    def binned(v):
+        e = max(v.bit_length() - 6, 0) if v else 0
+        return v >> e << e
+
+    def quartiles(weights):
+        total, out = sum(weights.values()), []
+        for k in (1, 2, 3):
+            upto = 0
+            for b in sorted(weights):
+                upto += weights[b]
+                if 4 * upto >= k * total:
+                    out.append(b)
+                    break
+        return out
+
+    own, lang = {}, {}
+    for (la, so), values in rows:
+        for m, v in values.items():
+            for held, key in ((own, (la, so, m)), (lang, (la, m))):
+                held.setdefault(key, {}).setdefault(binned(v), 0)
+                held[key][binned(v)] += 1
+    q, votes = {}, {}
+    for (la, so, m), sketch in own.items():
+        whole = lang[la, m]
+        mixed = {b: n * 1_000_000 for b, n in sketch.items()}
+        for b, n in whole.items():
+            mixed[b] = mixed.get(b, 0) + add * 1_000_000 * n // sum(whole.values())
+        q[la, so, m] = quartiles(mixed)
+        votes.setdefault((la, m), {}).setdefault(q[la, so, m][1], 0)
+        votes[la, m][q[la, so, m][1]] += 1
+    out = {}
+    for (la, so, m), (q1, q2, q3) in q.items():
+        f, (m1, m2, m3) = quality.FENCES[m], quartiles(votes[la, m])
+        limits = out.setdefault((la, so), {})
+        limits[f"hi_{m}"] = min(q3 + f.spread * (q3 - q2) + f.slack, max(m3 + f.spread * (m3 - m2), q2) + f.most)
+        if f.lower:
+            limits[f"lo_{m}"] = max(q1 - f.spread * (q2 - q1) - f.slack, min(m1 - f.spread * (m2 - m1), q2) - f.most)
+    return out
+
+
+def test_limits_equal_plain_version(spark):
+    rng = random.Random(41)
+    rows = [((rng.choice(["en", "de", None]), rng.choice(["a", "b", "c", None])), {m: int(rng.paretovariate(0.7) * rng.choice([0, 1, 40])) for m in quality.FENCES})
+            for _ in range(600)]
+    df = spark.createDataFrame([(*k, *v.values()) for k, v in rows], "lang string, source string, " + ", ".join(f"{m} long" for m in quality.FENCES))
+    got = {(r["t_lang"], r["t_source"]): {c: r[c] for c in r.asDict() if c[:2] in ("hi", "lo")} for r in quality.thresholds(quality.sketches(df), 50).collect()}
+    assert got == slow_limits(rows, 50)
+
+
 # Line dedup.
 
 def slow_lines(rows):

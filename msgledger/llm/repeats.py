@@ -31,7 +31,7 @@ from msgledger.llm.common import small_batches, stage_table, utf8
 LENGTH = 50
 GRAM = 12  # the shorter, the fewer regions
 SIDE = (LENGTH - GRAM) // 2
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 19  # bytes hashed at a time
 HELD = 1_000_000  # regions a task collects before it sends them
 BUCKET = 1_000_000  # regions of a bucket, about
 REMOVED, OPEN = 1, 2

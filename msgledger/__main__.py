@@ -10,12 +10,14 @@ from __future__ import annotations
 import argparse
 import time
 import uuid
+from hashlib import sha256
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from msgledger.operators import monitor as mon
-from msgledger.operators.messages import parse_messages, read_messages
+from msgledger.operators.fingerprint import fingerprint_of
+from msgledger.operators.messages import parse_messages, read_messages, schema_text
 from msgledger.operators.validate import FLAG_COLUMNS
 from msgledger.options import Options, Thresholds
 from msgledger.plans.runs import LEDGER, Paths, batch_run, replicate_run, run_metadata
@@ -75,15 +77,17 @@ def run(spark: SparkSession, args) -> None:
     paths = Paths(f"{args.out}/ledger", f"{args.out}/flags", f"{args.out}/run_log")
     messages = inbox(spark, args).join(generated(spark, args), "message_id", "left")
     summary = batch_run(messages, accounts(spark, args.accounts), run_id, paths).first()
+    rows = sinks.read_run(spark, paths.ledger, run_id, LEDGER)
     sinks.append_run_log(
         spark.createDataFrame(
-            [(run_id, time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(started)), args.since, summary["fetched"], summary["written"])],
-            "run_id string, run_timestamp string, start_date string, fetched_messages bigint, processed_transactions bigint",
+            [(run_id, time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(started)), args.since, summary["fetched"], summary["written"],
+              fingerprint_of(rows), sha256(repr(Options()).encode()).hexdigest(), sha256(schema_text().encode()).hexdigest(), args.model_digest)],
+            "run_id string, run_timestamp string, start_date string, fetched_messages bigint, processed_transactions bigint, "
+            "run_hash string, config_hash string, prompt_hash string, model_digest string",
         ), paths.run_log,
     )
     flag_schema = ", ".join(f"{c} string" for c in FLAG_COLUMNS)
     flags = spark.read.schema(flag_schema).parquet(paths.flags)
-    rows = sinks.read_run(spark, paths.ledger, run_id, LEDGER)
     sinks.append_run_meta(run_metadata(rows, flags, run_id, time.time() - started), f"{args.out}/run_meta")
     print(summary.asDict())
 
@@ -119,7 +123,7 @@ def main(argv: list[str] | None = None) -> None:
         for option in ("--messages", "--generated", "--accounts", "--out"):
             p.add_argument(option, required=True)
         p.add_argument("--format", default="json")
-        for option in ("--label", "--query", "--senders", "--start-date", "--run-id"):
+        for option in ("--label", "--query", "--senders", "--start-date", "--run-id", "--model-digest"):
             p.add_argument(option)
         p.add_argument("--max-results", type=int)
         p.add_argument("--overlap-hours", type=int, default=1)

@@ -316,7 +316,9 @@ def test_command_line(spark, tmp_path, capsys):
     ledger = sinks.read_ledger(spark, f"{tmp_path}/out/ledger", LEDGER)
     assert {r["run_id"]: r["count"] for r in ledger.groupBy("run_id").count().collect()} == {"r1": 100, "r2": 51}
     assert ledger.select("message_id").distinct().count() == 151
-    assert src.scan_run_log(spark, f"{tmp_path}/out/run_log").count() == 2
+    log = {r["run_id"]: r for r in src.scan_run_log(spark, f"{tmp_path}/out/run_log").collect()}
+    assert len(log) == 2 and all(len(r[c]) == 64 for r in log.values() for c in ("run_hash", "config_hash", "prompt_hash"))
+    assert log["r1"]["config_hash"] == log["r2"]["config_hash"] and log["r1"]["run_hash"] != log["r2"]["run_hash"]
     answers = answers.select("message_id", "generated_text")
     both = answers.withColumn("run", F.lit(1)).unionByName(answers.where("generated_text IS NOT NULL").withColumn("run", F.lit(2)))
     both.write.json(f"{tmp_path}/runs")

@@ -403,4 +403,4 @@ def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))

@@ -158,6 +158,16 @@ def test_prompt(spark):
     assert f"Subject: {'s' * 120}\n" in text and '"""text"""' in text and "From: a@b" in text
 
 
+def test_prompt_digests_are_of_whole_prompts(spark):
+    accounts = spark.range(300).selectExpr("lpad(id, 10, '0') internal_account_number", "'Käufer' || id internal_entity", "id position")
+    rows = [("a@b", "s" * 200, "text"), (None, None, None), ("é", "€ sübject", "body\n\U0001f600"), ("", "", "")]
+    df = spark.createDataFrame(rows, "f string, s string, b string").repartition(2)
+    for listed in (accounts, accounts.limit(0), None):
+        asked = (listed, F.col("f"), F.col("s"), F.col("b"))
+        got = msg.prompt_digests(df, *asked).withColumn("p", msg.prompt(*asked)).select("chars", "prompt_sha256", F.length("p"), F.sha2("p", 256))
+        assert all(r[0] == r[2] and r[1] == r[3] for r in got.collect()) and got.count() == 4
+
+
 def test_hybrid_paths(spark):
     accounts = src.accounts_from(spark, [{"internal_account_number": "1000200030", "internal_entity": "E", "institution": "B"}])
     good = {"date": "01/02/2024", "internal_account_number": 30.0, "internal_entity": "?", "institution": "?", "external_entity": "B pos",

@@ -1,9 +1,10 @@
 """Near copies beyond the reach of four fingerprint bits: MinHash candidates, exact Jaccard.
 
-Texts become sets of five-word shingles. MinHash bands of six values bring a text together with
-two of those it shares a band with, the one with the smallest doc_id and one by hash; with 18 bands, a
-pair of similarity 0.8 misses all of them with probability (1 - 0.8^6)^18, below 0.005. The
-sets of candidates are then compared whole. Pairs of similarity 0.8 and more become links.
+Texts become sets of five-word shingles, and equal sets are one. MinHash bands of six values bring
+texts together; with 18 bands, a pair of similarity 0.8 shares none of them with probability
+(1 - 0.8^6)^18, below 0.005. Each text is first compared with two of those it shares a band
+with, then, without a limit, with all those it is not yet connected with. The sets are compared whole.
+Pairs of similarity 0.8 and more become links.
 """
 from __future__ import annotations
 
@@ -51,28 +52,50 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / max(len(a) + len(b) - both, 1)
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(hi, lo): pairs of doc_ids that share a band, each document with at most two others of a band."""
+def texts_of(docs: DataFrame) -> DataFrame:
+    """id, digest of the set, number of its shingles and band keys of every text with a word."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, keys = [], []
+        rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found = shingles(text)
             if len(found):
-                ids.append(np.full(BANDS, doc))
-                keys.append(bands(found))
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], ["band", "id"])
+                rows.append((doc, xxhash.xxh3_128_digest(found.tobytes()), len(found), bands(found)))
+        if rows:
+            ids, digests, sizes, keys = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(list(keys), pa.list_(pa.int64()))],
+                ["id", "digest", "n", "bands"])
 
-    banded = stage_table(map_arrow(docs.select("doc_id", utf8("text").alias("text")), run, "band long, id long"), "near-bands")
-    chosen = banded.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("id", F.xxhash64("id", "band")).alias("drawn"))
+    return map_arrow(docs.select("doc_id", utf8("text").alias("text")), run, "id long, digest binary, n long, bands array<long>")
+
+
+def first_pairs(members: DataFrame) -> DataFrame:
+    """(hi, lo): every member of a band with two of the others, the one with the smallest id and one by hash."""
+    chosen = members.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("id", F.xxhash64("id", "band")).alias("drawn"))
     chosen = stage_table(chosen.where("least < most").select(F.col("band").alias("b"), "least", "drawn"), "near-chosen")
-    met = banded.join(chosen, F.col("band") == F.col("b")).select("id", F.explode(F.array_distinct(F.array("least", "drawn"))).alias("other"))
+    met = members.join(chosen, F.col("band") == F.col("b")).select("id", F.explode(F.array_distinct(F.array("least", "drawn"))).alias("other"))
     return met.where("id <> other").select(F.greatest("id", "other").alias("hi"), F.least("id", "other").alias("lo")).distinct()
 
 
-def similar_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The candidates of ``docs`` (doc_id, text) whose sets have a similarity of ``similar`` or more."""
+def other_pairs(members: DataFrame, links: DataFrame, met: DataFrame, similar: float) -> DataFrame:
+    """(hi, lo): all pairs of a band that ``links`` do not connect yet, but those already ``met`` and those whose sizes rule them out.
+
+    Members that are connected need no comparison, so a large group of near copies makes few pairs; a band
+    of many texts that are all unlike makes all of its pairs, since only comparing can tell.
+    """
+    rooted = members.join(components(links), F.col("id") == F.col("node"), "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
+    rooted = stage_table(rooted, "near-rooted")
+    unsettled = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("band")
+    rest = stage_table(rooted.join(unsettled, "band", "left_semi"), "near-unsettled")
+    one, two = (rest.select("band", *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "root")]) for k in (1, 2))
+    sizes = (F.col("n1") >= similar * F.col("n2")) & (F.col("n2") >= similar * F.col("n1"))
+    pairs = one.join(two, "band").where((F.col("id1") > F.col("id2")) & (F.col("root1") != F.col("root2")) & sizes)
+    return pairs.select(F.col("id1").alias("hi"), F.col("id2").alias("lo")).distinct().join(met, ["hi", "lo"], "left_anti")
+
+
+def compared(pairs: DataFrame, docs: DataFrame, similar: float) -> DataFrame:
+    """Those of ``pairs`` whose sets have a similarity of ``similar`` or more."""
 
     def sets(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
@@ -83,7 +106,6 @@ def similar_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         near = pa.array([similarity(x, y) >= similar for x, y in zip(a, b, strict=True)], pa.bool_())
         yield batch.select(["hi", "lo"]).filter(near)
 
-    pairs = stage_table(candidates(docs), "near-candidates")
     wanted = pairs.select(F.explode(F.array("hi", "lo")).alias("w")).distinct()
     texts = docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi")
     known = stage_table(map_arrow(texts.select("doc_id", utf8("text").alias("text")), sets, "id long, s binary"), "near-sets")
@@ -92,6 +114,23 @@ def similar_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     return map_arrow(both, check, "hi long, lo long")
 
 
+def similar_pairs(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(hi, lo): links between the texts of ``docs`` (doc_id, text) that connect every two texts of a band
+    whose sets have a similarity of ``similar`` or more, directly or through others.
+
+    Equal sets are linked to the smallest doc_id that has them, which alone is compared with others.
+    """
+    texts = stage_table(texts_of(docs), "near-bands")
+    classes = texts.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = stage_table(classes, "near-classes")
+    copies = texts.select("id", "digest").join(classes.select("digest", "rep"), "digest").where("id <> rep").select(F.col("id").alias("hi"), F.col("rep").alias("lo"))
+    members = stage_table(classes.select(F.explode("bands").alias("band"), F.col("rep").alias("id"), "n"), "near-members")
+    met = stage_table(first_pairs(members), "near-candidates")
+    links = stage_table(compared(met, docs, similar).unionByName(copies).distinct(), "near-links")
+    others = stage_table(other_pairs(members, links, met, similar), "near-others")
+    return links if others.isEmpty() else links.unionByName(compared(others, docs, similar))
+
+
 def keep_distinct(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` but those linked to a smaller doc_id; all columns pass through.
 

@@ -404,3 +404,13 @@ def test_every_operator_is_registered():
 
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+
+
+def test_near_copies_meet_in_a_band_of_many(spark, monkeypatch):
+    """Pairs of near copies in one band that are unlike its chosen members, and a group of equal sets."""
+    for name in ("_FACTORS", "_OFFSETS"):  # all texts share every band
+        monkeypatch.setattr(near, name, np.zeros(near.BANDS * near.ROWS, np.uint64))
+    rows = [(2 * k + j, " ".join(f"w{k}x{i}" for i in range(60)) + (" end" if j else "")) for k in range(30) for j in (0, 1)]
+    rows += [(100 + j, " ".join(f"v{i}" for i in range(40))) for j in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r["doc_id"] for r in near.keep_distinct(docs).collect()) == [2 * k for k in range(30)] + [100]

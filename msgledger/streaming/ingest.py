@@ -105,6 +105,16 @@ def ingest_messages(
     _each_batch(stream, checkpoint, one_batch)
 
 
+def _known_stream(spark: SparkSession, ledger: str, folder: str, key: T.StructField) -> DataFrame:
+    """The ledger's ids as they were when the checkpoint began, kept next to it."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        ids = read_ledger(spark, ledger, LEDGER).where(F.col("message_id") != "")
+        ids.select(F.col("message_id").cast(key.dataType).alias(key.name)).write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(folder)
+    return landed_stream(spark, folder, T.StructType([key]))
+
+
 def ingest_arrivals(
     stream: DataFrame, to_messages: Callable[[DataFrame], DataFrame], accounts: DataFrame, paths: Paths,
     checkpoint: str, keep_days: float = 30, options: Options = Options(), key: str = "message_id", order: str = "ord",
@@ -117,7 +127,7 @@ def ingest_arrivals(
     ledger's ids, once. ``to_messages`` must keep one row per id.
     """
     spark, sizes = stream.sparkSession, account_sizes(accounts, options.limits)
-    known = read_ledger(spark, paths.ledger, LEDGER).where(F.col("message_id") != "").select(F.col("message_id").alias(key))
+    known = _known_stream(spark, paths.ledger, f"{checkpoint}/known", stream.schema[key])
 
     def one_batch(batch: DataFrame, run: str) -> None:
         with scratch(batch.sparkSession):

@@ -270,6 +270,25 @@ def test_arrivals_survive_a_lost_checkpoint(spark, tmp_path):
     assert sorted(r["record_id"] for r in rows) == list(range(1, len(rows) + 1))
 
 
+def test_first_arrivals_are_remembered_outside_python(spark, tmp_path):
+    schema = "message_id string, ord long, body string"
+    rows = [(k, n, f"{k}{n}") for n in range(20) for k in ("a", "b", None, "known")]
+    random.Random(1).shuffle(rows)
+    spark.createDataFrame(rows, schema).repartition(5).write.parquet(f"{tmp_path}/in")
+    spark.createDataFrame([("known",)], "message_id string").write.parquet(f"{tmp_path}/known")
+    stream = ingest.landed_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+    known = ingest.landed_stream(spark, f"{tmp_path}/known", spark.createDataFrame([], "message_id string").schema)
+    for _ in range(2):  # the second time the same rows have landed once more
+        with ingest.state_store(spark):
+            query = ingest.first_arrivals(stream, known, 30).writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+                "checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+            query.awaitTermination()
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{tmp_path}/in")
+    assert query.lastProgress["stateOperators"][0]["operatorName"] == "dedupeWithinWatermark"
+    got = {tuple(r) for r in spark.read.schema(schema).parquet(f"{tmp_path}/out").collect()}
+    assert got == {("a", 0, "a0"), ("b", 0, "b0"), (None, 0, "None0")}
+
+
 def test_marks_number_repeated_runs(spark, tmp_path):
     ledger = f"{tmp_path}/ledger"
     assert state.last_record_id(spark, ledger, "a") is None

@@ -150,3 +150,13 @@ def test_first_per_key(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, None), ("b", 2, "z")], "k string, ord int, v string")
     got = sorted(tuple(r) for r in first_per_key(df, ["k"], ["ord"], "n").collect())
     assert got == [("a", 1, None, 2), ("b", 2, "z", 1)]
+
+
+def test_endings_are_dealt_out(spark):
+    """A table that one task reads: no task makes endings of more than ``exploded_rows`` accounts, about, and the result stays."""
+    rows = spark.range(900).selectExpr("lpad(id, 10, '0') internal_account_number", "'E' || id internal_entity", "'I' institution", "id position").coalesce(1)
+    asked = spark.range(1200).selectExpr("cast(id AS string) number")
+    few, many = (acc.ends_with_lookup(asked, rows, "number", Limits(exploded_rows=n)).select("number", "owner.internal_entity") for n in (100, 100_000))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    plan = acc.ending_dimension(rows, Limits(exploded_rows=100))._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan

@@ -9,6 +9,7 @@ from msgledger.functions import stats
 from msgledger.operators import fingerprint as fp, monitor as mon, replicates as rep, validate as val
 from msgledger.options import Limits
 from msgledger.schema import RECORD, TRANSACTIONS, build_schema, project_to, raw_schema
+from msgledger.sinks import tables as sinks
 
 
 def tail(first, last, n, p):
@@ -206,3 +207,12 @@ def test_flags_and_blanks(spark):
     assert flags["n"].endswith("run_id, available_balance")
     row = val.blank_nulls(df.withColumn("date", F.lit(date(2024, 1, 5)))).where("message_id = 'n'").first()
     assert row["run_id"] == "" and row["date"] == "2024-01-05" and row["available_balance"] is None
+
+
+def test_replicates_are_written_without_a_sort(spark, tmp_path):
+    matches = spark.range(200).selectExpr("cast(id % 4 AS int) run", "'m' || id message_id", "true struct_match", "id % 3 = 0 id_match", "id latency_ms")
+    before = spark.conf.get(sinks.MAX_WRITERS)
+    sinks.write_replicates(matches, matches.groupBy("run").count(), f"{tmp_path}/r")
+    assert spark.conf.get(sinks.MAX_WRITERS) == before
+    back = spark.read.csv(f"{tmp_path}/r/results", header=True, inferSchema=True)
+    assert back.count() == 200 and {r["run"]: r["count"] for r in back.groupBy("run").count().collect()} == dict.fromkeys(range(4), 50)

@@ -32,8 +32,9 @@ LENGTH = 50
 GRAM = 12  # the shorter, the fewer regions
 SIDE = (LENGTH - GRAM) // 2
 PIECE = 1 << 19  # bytes hashed at a time
-HELD = 1_000_000  # regions a task collects before it sends them
+HELD = 500_000  # regions a task collects before it sends them
 BUCKET = 1_000_000  # regions of a bucket, about
+FINER = 3  # bits by which the buckets of open regions, whose every window is held, are smaller
 REMOVED, OPEN = 1, 2
 REGION_BITS = 48
 U = np.uint64
@@ -366,7 +367,7 @@ def _unlike(data: np.ndarray, begin: np.ndarray, new: np.ndarray) -> tuple[np.nd
     first = begin[new][np.cumsum(new) - 1]
     twin, steps = np.flatnonzero(first != begin), np.arange(LENGTH)
     if all((data[begin[part][:, None] + steps] == data[first[part][:, None] + steps]).all()
-           for part in np.array_split(twin, len(twin) // 100_000 + 1)):
+           for part in np.array_split(twin, len(twin) // 20_000 + 1)):
         return None
     words = [data[a:a + LENGTH].tobytes() for a in begin.tolist()]
     group = np.cumsum(new).tolist()
@@ -451,7 +452,7 @@ def remove_repeats(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     part = stage_table(decided(joined, keep_bytes), "repeats-part")
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "left"]
     open_ = part.where("text IS NOT NULL")
-    later = stage_table(last_digits(opened(open_, bits)), "repeats-windows")
+    later = stage_table(last_digits(opened(open_, bits + FINER)), "repeats-windows")
     later = later.groupBy(F.col("doc").alias("d")).agg(F.collect_list("starts").alias("more"))
     ended = _finish(open_.join(later, F.col("doc_id") == F.col("d"), "left").select("doc_id", "text", "spans", "more"), keep_bytes)
     every = part.where("text IS NULL").select(*columns).unionByName(ended)

@@ -373,6 +373,17 @@ def test_spread_knows_empty_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_spread_fills_the_cores(spark, tmp_path):
+    """Two row groups, or two files of one split each, would keep two of four cores busy."""
+    rows = spark.range(60_000).selectExpr("id", "cast(id AS string) s")
+    rows.coalesce(1).write.option("parquet.block.size", 200_000).option("parquet.page.size", 20_000).parquet(f"{tmp_path}/groups")
+    rows.repartition(2).write.parquet(f"{tmp_path}/files")
+    for folder in ("groups", "files"):
+        scan = spark.read.parquet(f"{tmp_path}/{folder}")
+        assert spread(scan, "id").rdd.getNumPartitions() == 4
+        assert spread(scan, "id").agg(F.sum("id"), F.count("*")).first()[:] == (60_000 * 59_999 // 2, 60_000)
+
+
 # --- manifests and polled sources ----------------------------------------------
 
 def test_manifest_follows_the_ledger(spark, tmp_path):

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from msgledger.functions import stats
-from msgledger.operators import fingerprint as fp, monitor as mon, replicates as rep, validate as val
-from msgledger.options import Limits
+from msgledger.operators import fingerprint as fp, messages as msg, monitor as mon, replicates as rep, validate as val
+from msgledger.operators.joins import keep_found
+from msgledger.options import SYNONYMS, Limits
 from msgledger.schema import RECORD, TRANSACTIONS, build_schema, project_to, raw_schema
 from msgledger.sinks import tables as sinks
 
@@ -216,3 +217,30 @@ def test_replicates_are_written_without_a_sort(spark, tmp_path):
     assert spark.conf.get(sinks.MAX_WRITERS) == before
     back = spark.read.csv(f"{tmp_path}/r/results", header=True, inferSchema=True)
     assert back.count() == 200 and {r["run"]: r["count"] for r in back.groupBy("run").count().collect()} == dict.fromkeys(range(4), 50)
+
+
+# --- costly columns are worked out once -----------------------------------------
+
+def _physical(df):
+    """The plan before it has run; afterwards it would be shown twice."""
+    return df.select("*")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_found_rows_do_not_repeat_their_expression(spark):
+    rows = spark.createDataFrame([(1, '{"amount": "1.00"}'), (2, "no"), (3, None)], "id int, generated_text string")
+    rows = rows.repartition(2, "id").withColumn("j", msg.generated_record(F.col("generated_text"), SYNONYMS))
+    found = keep_found(rows, "j")
+    assert [r["id"] for r in found.collect()] == [1] and found.columns == rows.columns
+    assert found.schema["j"].dataType.simpleString() == rows.schema["j"].dataType.simpleString()
+    assert _physical(found).count("from_json(") == 1
+
+
+def test_failed_messages_read_their_text_once(spark):
+    mails = spark.createDataFrame([("a", 1, "", "x"), ("b", 2, "ZAR 5.00", None), ("c", 3, None, '{"amount": 1}')],
+                                  "message_id string, ord bigint, body string, generated_text string")
+    accounts = spark.createDataFrame([("0000000001", "E", "I", 1)],
+                                     "internal_account_number string, internal_entity string, institution string, position int")
+    parsed = msg.parse_messages(mails.repartition(2, "ord"), accounts, "r")
+    flags = msg.unparsed_flags(parsed)
+    assert sorted(tuple(r) for r in flags.collect()) == [(("r"), m, "", "", "All parsers failed") for m in ("a", "c")]
+    assert _physical(flags).count("Balance") == _physical(parsed).count("Balance")

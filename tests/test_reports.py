@@ -244,3 +244,15 @@ def test_failed_messages_read_their_text_once(spark):
     flags = msg.unparsed_flags(parsed)
     assert sorted(tuple(r) for r in flags.collect()) == [(("r"), m, "", "", "All parsers failed") for m in ("a", "c")]
     assert _physical(flags).count("Balance") == _physical(parsed).count("Balance")
+
+
+def test_a_parser_reads_each_text_once(spark):
+    rows = spark.createDataFrame([(1, "a 5.00"), (2, None)], "message_id int, body string").repartition(2, "message_id")
+
+    def parse(frame):
+        seen = F.regexp_extract(F.col("body"), "one pattern", 0)
+        return frame.withColumn("t", seen).select("message_id", F.when(F.col("t").isNotNull(), F.struct("t")).alias("record"))
+
+    got = msg.first_parsed(rows, [("p", parse)])
+    assert [tuple(r) for r in got.select("message_id", "parser").collect()] == [(1, "p")]
+    assert _physical(got).count("one pattern") == 1

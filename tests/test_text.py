@@ -132,3 +132,10 @@ def test_unescape_equals_python(column):
 
 def test_collapse(column):
     assert column(tx.collapse, ["  a   b\t\n\x1cc ", "", None]) == ["a b c", "", None]
+
+
+def test_a_body_is_decoded_once(spark):
+    rows = spark.createDataFrame([("text/html", b64("a &amp;amp; b&#8364;")), ("text/plain", b64("a &amp;amp; b")), (None, None)], "k string, d string")
+    body = rows.repartition(2, "d").select(tx.body_text(F.col("k"), F.col("d"), F.lit("s")).alias("body"))
+    assert body._jdf.queryExecution().executedPlan().toString().count("script|style") == 1
+    assert sorted(r["body"] for r in body.collect()) == ["a & b€", "a &amp; b", "s"]

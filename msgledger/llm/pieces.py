@@ -22,8 +22,8 @@ from msgledger.llm.common import small_batches, worker_cache
 from msgledger.llm.vocab import SPACE, Pieces, load, pretokens
 
 N_BEST = 4
-KNOWN = 150_000  # pre-tokens a worker remembers, some 300 bytes each; beyond, it starts anew
-KNOWN_FOR_DIGESTS = 600_000  # where no ids are sent back, there is room for more
+KNOWN = 100_000  # pre-tokens a worker remembers, some 230 bytes each; beyond, it starts anew
+KNOWN_FOR_DIGESTS = 600_000  # where no ids are sent back, there is room for more, some 300 bytes each
 RESULT = T.StructType([
     T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.LongType())),
     T.StructField("n_best", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("decoded", T.StringType()),
@@ -32,8 +32,9 @@ DIGESTS = T.StructType([
     T.StructField("n_pieces", T.LongType()), T.StructField("scores", T.ArrayType(T.LongType())), T.StructField("ids_sha256", T.StringType()),
     T.StructField("others_sha256", T.ArrayType(T.StringType())), T.StructField("round_trip", T.BooleanType())])
 ALIKE = 48  # pre-tokens up to this length are segmented many at once
-SQUARE = 50_000  # characters of them at a time
-CHUNK = 400  # texts segmented together
+SQUARE = 20_000  # characters of them at a time
+CHUNK = 400  # texts digested together
+BATCH = 100  # texts segmented together, whose ids all go back at once
 NEVER = -(1 << 62)
 NOT_HERE = (None, False)
 
@@ -53,8 +54,8 @@ class Lattice:
     Pre-tokens met before are kept in flat arrays: best score, ids, loss of the second best.
     """
 
-    def __init__(self, pieces: Pieces, room: int | None = None):
-        self.room = room
+    def __init__(self, pieces: Pieces, room: int | None = None, digests: bool = True):
+        self.room, self.with_forms = room, digests
         self.ids = pieces.ids
         self.byte_ids = pieces.byte_ids
         self.score_of = {p: round(pieces.scores[i]) for p, i in pieces.ids.items()}
@@ -210,10 +211,11 @@ class Lattice:
         flat, ends, forms, name, part = self.flat, self.ends, self.forms, self.name_of.__getitem__, self.bytes_of.__getitem__
         for token, found in zip(tokens, ids, strict=True):
             if b"".join(map(part, found)) != token.encode("utf-8", "surrogatepass"):
-                self.wrong.add(len(forms))
+                self.wrong.add(len(ends) - 1)
             flat.extend(found)
             ends.append(len(flat))
-            forms.append(b" ".join(map(name, found)))
+            if self.with_forms:
+                forms.append(b" ".join(map(name, found)))
 
     def spells(self, token: str, ids: Iterable[int]) -> bool:
         """Whether ids decode to a pre-token."""
@@ -386,11 +388,10 @@ def segmented(text: Column, model: str, n: int = N_BEST, others: bool = False) -
 
     @F.arrow_udf(RESULT)
     def run(texts: pa.Array) -> pa.Array:
-        lattice = worker_cache(f"lattice:{pieces.name}", lambda: Lattice(pieces))
-        found, back = [], []
-        values = texts.to_pylist()
-        for k in range(0, len(values), CHUNK):
-            found += lattice.segment(values[k:k + CHUNK], n, others)
+        lattice = worker_cache(f"lattice:{pieces.name}", lambda: Lattice(pieces, digests=False))
+        found = []
+        for k in range(0, len(texts), BATCH):
+            found += lattice.segment(texts.slice(k, BATCH).to_pylist(), n, others)
         back = [lattice.decode(f.ids.tolist()) for f in found]
         n_best, alike = pa.nulls(len(found), pa.list_(pa.list_(pa.int32()))), pa.nulls(len(found), pa.bool_())
         if others:
@@ -411,7 +412,7 @@ def encode(docs: DataFrame, model: str, n: int = N_BEST, others: bool = False) -
     mark itself decodes with a space there. Texts are whole. Equal scores keep the order of the
     search, which depends on the text alone. All columns pass through; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession, 400)
+    small_batches(docs.sparkSession, BATCH)
     return docs.withColumn("encoded", segmented(F.col("text"), model, n, others))
 
 

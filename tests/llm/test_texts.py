@@ -309,6 +309,17 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert [(s.ids.tolist(), s.scores) for t in texts for s in lattice.segment([t], 3)] == want
 
 
+def test_what_sends_ids_back_stays_small(spark):
+    texts = ["the quick brown fox", "internationalisation of é things", "a", "日本語", "", None]
+    lean, full = pieces.Lattice(load(MODEL), digests=False), pieces.Lattice(load(MODEL))
+    for a, b in zip(lean.segment(texts, 4, others=True), full.segment(texts, 4, others=True), strict=True):
+        assert (a.ids.tolist(), a.scores, [o.tolist() for o in a.others]) == (b.ids.tolist(), b.scores, [o.tolist() for o in b.others])
+    assert not lean.forms and len(full.forms) == len(full.known) == len(lean.known)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 400)
+    pieces.encode(table(spark, texts), MODEL)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 100
+
+
 # Languages.
 
 def test_held_out_accuracy(spark):

@@ -186,11 +186,12 @@ def pdf_attachments(messages: DataFrame, top_level_only: bool = False, keep: Seq
     """One row per PDF attachment that can be fetched: message_id, part, filename, attachment_id.
 
     Parts are walked inside the row, to any depth unless only the top level is asked for.
-    ``keep`` carries message columns along, so that no join back is needed.
+    ``keep`` carries message columns along, so that no join back is needed. A payload that names
+    no PDF and has no escapes, behind which a name could hide, is not walked.
     """
-    parts = messages.select(
-        F.col("id").alias("message_id"), *keep, F.posexplode(tx.all_parts(F.col("payload"))).alias("part", "p")
-    )
+    payload = F.col("payload")
+    walked = F.when(payload.rlike(r"(?i)\.pdf|\\"), tx.all_parts(payload))
+    parts = messages.select(F.col("id").alias("message_id"), *keep, F.posexplode(walked).alias("part", "p"))
     wanted = F.endswith(F.lower("p.filename"), F.lit(".pdf")) & (F.coalesce("p.attachmentId", F.lit("")) != "")
     if top_level_only:
         wanted = wanted & (F.col("p.depth") == 1)

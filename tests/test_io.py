@@ -339,3 +339,15 @@ def test_command_line(spark, tmp_path, capsys):
     main(["quality", "--meta", f"{tmp_path}/out/run_meta"])
     main(["zscores", "--ledger", f"{tmp_path}/out/ledger"])
     assert "p_struct" in capsys.readouterr().out
+
+
+def test_mail_without_a_pdf_is_not_walked(spark, monkeypatch):
+    def part(name):
+        return '{"mimeType":"m/m","parts":[{"mimeType":"a/b","filename":"%s","body":{"attachmentId":"1"}}]}' % name
+
+    names = ["a.PDF", "b.png", "c\\u002epdf", "d\\u0050df", "e.pdf.txt", "f.\\u0050df"]
+    mails = spark.createDataFrame([*((str(i), part(n)) for i, n in enumerate(names)), ("none", None), ("odd", "pdf")], "id string, payload string")
+    walk = landing.tx.all_parts
+    monkeypatch.setattr(landing.tx, "all_parts", lambda p: F.when(p.contains("png") | (p == "pdf"), F.raise_error(F.lit("walked"))).otherwise(walk(p)))
+    got = landing.pdf_attachments(mails).collect()
+    assert sorted((r["message_id"], r["filename"]) for r in got) == [("0", "a.PDF"), ("2", "c.pdf"), ("5", "f.Pdf")]

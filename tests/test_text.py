@@ -139,3 +139,18 @@ def test_a_body_is_decoded_once(spark):
     body = rows.repartition(2, "d").select(tx.body_text(F.col("k"), F.col("d"), F.lit("s")).alias("body"))
     assert body._jdf.queryExecution().executedPlan().toString().count("script|style") == 1
     assert sorted(r["body"] for r in body.collect()) == ["a & b€", "a &amp; b", "s"]
+
+
+def test_a_mail_date_is_matched_once(column):
+    values = ["Mon, 1 Jan 2024 23:30:00 -0100", "1 Jan 99 01:02", "Tue, 2 Feb 2021 03:04:05 EST (tail, 1 Jan)\nmore", "no date", "", None]
+    got = [str(t) if t else None for t in column(lambda v: tx.mail_timestamp(v).cast("string"), values)]
+    assert got == ["2024-01-02 00:30:00", "1999-01-01 01:02:00", "2021-02-02 08:04:05", None, None, None]
+    assert "regexp_extract" not in str(tx.mail_timestamp(F.col("v")))
+
+
+def test_date_headers_of_any_case(spark):
+    rows = [(i, [(n, "1 Jan 2024 01:02:03 +0000")]) for i, n in enumerate(["dAtE", "DATE", "Dates", "X-Date", None])]
+    df = spark.createDataFrame(rows, "i int, h array<struct<name:string,value:string>>")
+    got = [r[0] for r in df.orderBy("i").select(tx.sent_date(F.col("h"), F.lit("0")).cast("string")).collect()]
+    assert got == ["2024-01-01"] * 2 + ["1970-01-01"] * 3
+    assert "octet_length" in str(tx.sent_date(F.col("h"), F.lit("0")))

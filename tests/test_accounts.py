@@ -160,3 +160,10 @@ def test_endings_are_dealt_out(spark):
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
     plan = acc.ending_dimension(rows, Limits(exploded_rows=100))._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_transfers_in_any_case(spark):
+    kinds = ["transfer", "Transfer", "TRANSFER", "transfers", "card", "", "\uff34ransfer", None]
+    df = spark.createDataFrame(list(enumerate(kinds)), "i int, transaction_type string").orderBy("i")
+    assert [r[0] for r in df.select(acc.is_transfer()).collect()] == [True] * 3 + [False] * 5
+    assert "octet_length" in str(acc.is_transfer())  # only texts of that size are lower-cased

@@ -135,3 +135,9 @@ def test_merchant(spark):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, e string, n string, d string, want string")
     got = df.select("i", clean.merchant_name(F.col("e"), F.col("n"), F.col("d")).alias("y")).orderBy("i").collect()
     assert [g["y"] for g in got] == [r[3] for r in rows]
+
+
+def test_a_flat_object_is_matched_once(column):
+    values = ['{"a": 1}', 'x {"a": 1} {"b": 2}', "{}", '{ open {"a": {"b": 1}}', "no", "", None, "}{"]
+    assert column(extract.first_json_object, values) == ['{"a": 1}', '{"a": 1}', "{}", '{"a": {"b": 1}}', None, None, None, None]
+    assert "RLIKE" not in str(extract.first_json_object(F.col("t"))).upper()

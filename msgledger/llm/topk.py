@@ -9,8 +9,9 @@ distance that can still matter, and an annulus is opened only if the triangle in
 a candidate that near. Pivots come from a bounded sample; they decide the work, not the result.
 
 Equal vectors are one class with its smallest ids, so a vector repeated any number of times is
-one candidate. Classes of an annulus are dealt to blocks of bounded size, and a block meets
-blocks of queries by an equality join.
+one candidate. Annuli are put together, or cut, to blocks that fill a worker's memory. A block is
+one partition: its candidates come first and are held, then the queries that look into it stream
+past, a row each. Nothing is broadcast, and the driver gets the sample and one row per annulus.
 """
 from __future__ import annotations
 
@@ -18,38 +19,58 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from msgledger.llm.common import map_arrow, small_batches, stage_table
 
 SAMPLE = 4096  # classes that pivots and first bounds come from
-BLOCK = 1024  # classes of a block, about
+BLOCK = 1024  # classes of a block at least, where there are cores for more blocks
+BLOCK_BYTES = 2**25  # of a block's vectors at most
+SLICE = 2048  # classes that are compared at once
 RINGS = 8
 MAX_PIVOTS = 256
 FIRST = 4  # annuli that are opened first
 LARGEST = 2.0**63
 
 
-def quantised(rows: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int]:
-    """(vec_id, v): 256 times each component, floored, as little-endian 64-bit numbers; the dimension."""
+def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(vec_id, x): the rows that take part."""
     x = F.col("x")
     bad = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    good = rows.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")).where(
+    return rows.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")).where(
         F.col("vec_id").isNotNull() & x.isNotNull() & ~bad)
-    dim = good.agg(F.max(F.size("x"))).first()[0] or 0
+
+
+def extent(good: DataFrame) -> tuple[int, float]:
+    """The dimension, and the size of the largest component."""
+    dim, largest = good.agg(F.max(F.size("x")), F.max(F.greatest(F.array_max("x"), -F.array_min("x")))).first()
+    return dim or 0, largest or 0.0
+
+
+def whole(largest: float) -> str:
+    """The shortest type for components up to ``largest`` once they are whole numbers."""
+    return next((f"<i{b}" for b in (2, 4) if 256 * largest < 2.0 ** (8 * b - 1) - 1), "<i8")
+
+
+def quantised(good: DataFrame, dim: int, kind: str) -> DataFrame:
+    """(vec_id, v): 256 times each component, floored, as little-endian numbers of type ``kind``."""
 
     def run(batch: pa.RecordBatch):
-        out = []
-        for values in batch.column(1):
-            v = np.zeros(dim)
-            found = values.values.to_numpy(zero_copy_only=False)
-            v[:len(found)] = np.floor(256 * found)
-            if np.abs(v).max(initial=0) >= LARGEST:
-                raise ValueError("a vector has a component that does not fit 64 bits")
-            out.append(v.astype("<i8").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "v"])
+        values = batch.column(1)
+        v = np.zeros((len(values), dim))
+        v[np.arange(dim) < values.value_lengths().to_numpy(zero_copy_only=False)[:, None]] = values.flatten().to_numpy(zero_copy_only=False)
+        v = np.floor(256 * v)
+        if np.abs(v).max(initial=0) >= LARGEST:
+            raise ValueError("a vector has a component that does not fit 64 bits")
+        yield pa.RecordBatch.from_arrays([batch.column(0), packed(v.astype(kind))], ["vec_id", "v"])
+
+    return map_arrow(good, run, "vec_id long, v binary")
+
 
-    return map_arrow(good, run, "vec_id long, v binary"), dim
+def packed(x: np.ndarray) -> pa.Array:
+    """Each row of numbers as bytes."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * np.int32(x.shape[1] * x.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(x))])
 
 
 def classes(rows: DataFrame, ids: int) -> DataFrame:
@@ -62,16 +83,17 @@ def classes(rows: DataFrame, ids: int) -> DataFrame:
     return few.groupBy("v").agg(F.min("vec_id").alias("id"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
 
 
-def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i8").reshape(-1, dim).astype(np.float64)
+def matrix(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim)
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers."""
-    top = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1)
-    if top < 2**53:
-        return (a @ b.T).astype(np.int64)
-    if top >= LARGEST and (np.abs(a) @ np.abs(b).T).max(initial=0) >= LARGEST:
+    """Exact inner products of whole numbers; as floats where these hold them."""
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
+    if most < 2**53:
+        kind = np.float32 if most < 2**24 else np.float64
+        return a.astype(kind) @ b.astype(kind).T
+    if most >= LARGEST and (np.abs(a) @ np.abs(b).T).max(initial=0) >= LARGEST:
         raise ValueError("an inner product may not fit 64 bits")
     return a.astype(np.int64) @ b.astype(np.int64).T
 
@@ -82,7 +104,7 @@ class Index:
     def __init__(self, sample: np.ndarray, sample_ids: list[list[int]], top: float, n: int):
         self.dim = sample.shape[1]
         self.top = top
-        self.sample, self.sample_ids = sample, sample_ids
+        self.sample = Classes(sample, np.array([i for ids in sample_ids for i in ids], np.int64), np.array([len(ids) for ids in sample_ids], np.int64))
         lifted = self.lift(sample)
         wanted = int(min(MAX_PIVOTS, max(4, n**0.5 / 16)))
         self.pivots = _spread(lifted, min(wanted, len(lifted)))
@@ -129,106 +151,213 @@ def _spread(points: np.ndarray, n: int) -> np.ndarray:
     return points[chosen]
 
 
-def best(found: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
-    return sorted(found, key=lambda x: (-x[0], x[1]))[:k]
-
-
-def _top(points: np.ndarray, ids: list[list[int]], floor: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
-    """For each row of scores, its k best (score, id) at or above its floor."""
-    out = []
-    for row, least in zip(points, floor, strict=True):
-        if len(row) > k:
-            least = max(least, np.partition(row, len(row) - k)[len(row) - k])
-        out.append(best([(int(row[j]), i) for j in np.flatnonzero(row >= least) for i in ids[j]], k))
-    return out
-
-
-def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int) -> DataFrame:
+class Classes:
+    """Vectors and, for each of them, its ids."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        self.x, self.ids, self.counts = x, ids, counts
+        self.starts = np.cumsum(counts) - counts
+
+    @classmethod
+    def of(cls, x: list[np.ndarray], ids: list[pa.Array]) -> Classes:
+        counts = [i.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for i in ids]
+        return cls(np.concatenate(x), np.concatenate([i.flatten().to_numpy(zero_copy_only=False) for i in ids]), np.concatenate(counts))
+
+    def rows(self, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of classes ``j``, and which of ``j`` each belongs to."""
+        n = self.counts[j]
+        which = np.repeat(np.arange(len(j)), n)
+        return self.ids[np.repeat(self.starts[j] - (np.cumsum(n) - n), n) + np.arange(len(which))], which
+
+
+class Best:
+    """The ``k`` best (score, id) of each query at or above its floor, which rises as they come."""
+
+    def __init__(self, q: np.ndarray, floor: np.ndarray, k: int):
+        self.q, self.floor, self.k = q, floor.copy(), k
+        self.row, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+
+    def add(self, held: Classes, low: int, high: int, rows: np.ndarray) -> None:
+        """Compare classes ``low`` to ``high`` with the queries of ``rows``."""
+        q = self.q[rows].astype(np.float64)
+        for lo in range(low, high, SLICE):
+            points = scores(q, held.x[lo:min(lo + SLICE, high)].astype(np.float64))
+            hit = np.flatnonzero(points >= self.floor[rows, None].astype(points.dtype))
+            last = points.shape[1] - self.k
+            if last > 0 and len(hit) > 8 * self.k * len(rows):
+                self.floor[rows] = np.maximum(self.floor[rows], np.partition(points, last, axis=1)[:, last].astype(np.int64))
+                hit = np.flatnonzero(points >= self.floor[rows, None].astype(points.dtype))
+            if len(hit):
+                r, j = np.divmod(hit, points.shape[1])
+                ids, which = held.rows(lo + j)
+                self._keep(rows[r][which], points.ravel()[hit].astype(np.int64)[which], ids)
+
+    def _keep(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        row, score, ids = np.concatenate((self.row, row)), np.concatenate((self.score, score)), np.concatenate((self.id, ids))
+        order = np.lexsort((ids, -score, row))
+        row, score, ids = row[order], score[order], ids[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        last = rank == self.k - 1
+        self.floor[row[last]] = np.maximum(self.floor[row[last]], score[last])
+        self.row, self.score, self.id = (x[rank < self.k] for x in (row, score, ids))
+
+
+def sample(candidates: DataFrame, n: int) -> DataFrame:
+    """The SAMPLE classes with the smallest hashes. Only about twice as many are sorted, so tasks send that much together."""
+    hashed = F.xxhash64("v")
+    if n > 2 * SAMPLE:
+        candidates = candidates.where(hashed < -(2**63) + 2**64 * 2 * SAMPLE // n)
+    return candidates.orderBy(hashed, "id").limit(SAMPLE)
+
+
+def deal(sizes: list[int], most: int) -> tuple[list[int], list[int]]:
+    """For annuli of these sizes the first block and the number of blocks: small ones share a block, a large one is cut."""
+    first, parts, block, left = [], [], -1, 0
+    for n in sizes:
+        m = -(-n // most)
+        if n > left:
+            block, left = block + 1, most if m == 1 else 0
+        first.append(block)
+        parts.append(m)
+        block, left = block + m - 1, max(0, left - n)
+    return first, parts
+
+
+def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int, kind: str) -> DataFrame:
     """(q, score, vec_id): the k best candidates of every query class.
 
     ``candidates``: classes (v, id, ids). ``queries``: (id, v), one row per class.
     """
-    norm = candidates.agg(F.count("*").alias("n"), F.max(_norm(dim)("v")).alias("top")).first()
+    spark = queries.sparkSession
+    norm = candidates.agg(F.count("*").alias("n"), F.max(_norm(dim, kind)("v")).alias("top")).first()
     n, top = norm["n"], norm["top"] or 0.0
-    drawn = candidates.orderBy(F.xxhash64("v"), "id").limit(SAMPLE).collect()
-    sample = np.frombuffer(b"".join(bytes(r["v"]) for r in drawn), "<i8").reshape(len(drawn), dim).astype(np.float64)
-    index = Index(sample, [list(r["ids"]) for r in drawn], top, n)
+    if not n:
+        return spark.createDataFrame([], "q long, score long, vec_id long")
+    drawn = sample(candidates, n).collect()
+    vectors = np.frombuffer(b"".join(bytes(r["v"]) for r in drawn), kind).reshape(-1, dim).astype(np.float64)
+    index = Index(vectors, [list(r["ids"]) for r in drawn], top, n)
 
-    def place(batch: pa.RecordBatch):
-        cell, distance = index.cells(matrix(batch.column(0), dim))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(distance)], ["v", "id", "ids", "cell", "far"])
+    def place(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        cell, distance = index.cells(matrix(batch.column(0), dim, kind).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(distance)], ["v", "ids", "cell", "far"])
 
-    keyed = stage_table(map_arrow(candidates.select("v", "id", "ids"), place, "v binary, id long, ids array<long>, cell long, far double"), "topk-keyed")
+    keyed = stage_table(map_arrow(candidates.select("v", "ids"), place, "v binary, ids array<long>, cell long, far double"), "topk-keyed")
     # At most MAX_PIVOTS * RINGS rows, whatever the size of the tables.
     annuli = keyed.groupBy("cell").agg(F.count("*").alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).orderBy("cell").collect()
     cell, low, high = (np.array([a[c] for a in annuli], t) for c, t in (("cell", np.int64), ("low", float), ("high", float)))
-    chunks = np.array([-(-a["n"] // BLOCK) for a in annuli], np.int64)
-    per_cell = F.create_map(*[F.lit(int(x)) for pair in zip(cell, chunks, strict=True) for x in pair]) if annuli else F.lit(None)
-    blocks = keyed if not annuli else keyed.withColumn("chunk", F.pmod(F.xxhash64("v"), per_cell[F.col("cell")]))
-    blocks = stage_table(blocks.groupBy("cell", "chunk").agg(
-        F.collect_list(F.struct("v", "ids")).alias("rows")), "topk-blocks") if annuli else None
-    if blocks is None:
-        return queries.sparkSession.createDataFrame([], "q long, score long, vec_id long")
+    cores = spark.sparkContext.defaultParallelism
+    most = max(1, min(BLOCK_BYTES // (dim * int(kind[2:])), max(BLOCK, -(-n // (4 * cores)))))
+    first_block, parts = deal([a["n"] for a in annuli], most)
+    blocks = first_block[-1] + parts[-1]
+    # The annuli of each block, as places in ``cell``.
+    start, stop = np.full(blocks, len(cell)), np.zeros(blocks, int)
+    for c, (b, m) in enumerate(zip(first_block, parts, strict=True)):
+        start[b:b + m], stop[b:b + m] = np.minimum(start[b:b + m], c), c + 1
+
+    def of_cell(values: list[int]) -> Column:
+        by = dict(zip(cell.tolist(), values, strict=True))
+        return F.get(F.array(*[F.lit(by.get(c, 0)).cast("bigint") for c in range(int(cell[-1]) + 1)]), F.col("cell").cast("int"))
+
+    block = of_cell(first_block) + F.pmod(F.xxhash64("v"), of_cell(parts))
+    dealt = keyed.select((block * HOLDS + F.col("cell")).alias("place"), F.lit(None).cast("bigint").alias("q"), "v", "ids",
+                         F.lit(None).cast("bigint").alias("floor"), F.lit(None).cast("binary").alias("wanted"))
+
+    def prepare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """The floor that the sample gives, and the annuli to open first, fixed here for both visits."""
+        q = matrix(batch.column(1), dim, kind)
+        best = Best(q, np.full(len(q), NOTHING), k)
+        best.add(index.sample, 0, len(index.sample.x), np.arange(len(q)))
+        order = np.argsort(index.bounds(q.astype(np.float64), cell, low, high), axis=1, kind="stable")[:, :FIRST]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.floor), pa.array(order.tolist(), pa.list_(pa.int64()))], ["id", "v", "floor", "near"])
 
     def open_annuli(choose: Callable) -> Callable:
         def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            q = matrix(batch.column(1), dim)
-            known = batch.column(2).to_numpy(zero_copy_only=False)
-            floor, bound = known.copy(), index.bounds(q, cell, low, high)
-            if len(index.sample):
-                seen = _top(scores(q, index.sample), index.sample_ids, np.full(len(q), np.iinfo(np.int64).min), k)
-                floor = np.array([max(f, s[-1][0] if len(s) == k else f) for f, s in zip(floor, seen, strict=True)], np.int64)
-            # Without k candidates so far, nothing bounds the search.
-            limit = np.where(floor == NOTHING, np.inf, index.reach(q, np.where(floor == NOTHING, 0, floor).astype(float)))
-            wanted = choose(bound, limit)
-            for c in np.flatnonzero(wanted.any(axis=0)):
-                rows = np.flatnonzero(wanted[:, c])
-                m = int(chunks[c])
-                ids, part, least = batch.column(0).take(pa.array(rows)).to_pylist(), q[rows].astype("<i8").tobytes(), floor[rows].tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([cell[c]] * m), pa.array(range(m), pa.int64()), pa.array([ids] * m, pa.list_(pa.int64())),
-                     pa.array([part] * m, pa.binary()), pa.array([least] * m, pa.list_(pa.int64()))],
-                    ["cell", "chunk", "q", "qv", "floor"])
+            q = matrix(batch.column(1), dim, kind).astype(np.float64)
+            floor = batch.column(2).to_numpy(zero_copy_only=False)
+            near = np.zeros((len(q), len(cell)), bool)
+            np.put_along_axis(near, batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(q), -1), True, axis=1)
+            wanted = choose(near, q, floor)
+            for b in range(blocks):
+                own = wanted[:, start[b]:stop[b]]
+                rows = np.flatnonzero(own.any(axis=1))
+                if len(rows):
+                    part = batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), (b + 1) * HOLDS - 1)), part.column(0), part.column(1),
+                         pa.nulls(len(rows), pa.list_(pa.int64())), part.column(2), packed(np.packbits(own[rows], axis=1))],
+                        ["place", "q", "v", "ids", "floor", "wanted"])
 
         return run
 
-    def near(bound: np.ndarray, limit: np.ndarray) -> np.ndarray:
-        order = np.argsort(bound, axis=1, kind="stable")[:, :FIRST]
-        out = np.zeros(bound.shape, bool)
-        np.put_along_axis(out, order, True, axis=1)
-        return out
-
-    def rest(bound: np.ndarray, limit: np.ndarray) -> np.ndarray:
-        return (bound <= limit[:, None]) & ~near(bound, limit)
-
-    def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int, int]] = []
-        for held, ids, part, floor in zip(*(batch.column(c) for c in ("rows", "q", "qv", "floor")), strict=True):
-            x = matrix(held.values.field("v"), dim)
-            q = np.frombuffer(part.as_py(), "<i8").reshape(-1, dim).astype(np.float64)
-            tops = _top(scores(q, x), held.values.field("ids").to_pylist(), np.array(floor.as_py(), np.int64), k)
-            found += [(i, s, v) for i, hits in zip(ids.as_py(), tops, strict=True) for s, v in hits]
-        yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], ["q", "score", "vec_id"])
+    def near_ones(near: np.ndarray, q: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        return near
+
+    def rest(near: np.ndarray, q: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        # Without k candidates so far, nothing bounds the search.
+        limit = np.where(floor == NOTHING, np.inf, index.reach(q, np.where(floor == NOTHING, 0, floor).astype(float)))
+        return (index.bounds(q, cell, low, high) <= limit[:, None]) & ~near
+
+    def answer(held: Classes, cells: np.ndarray, b: int, asks: pa.RecordBatch) -> pa.RecordBatch:
+        own = cell[start[b]:stop[b]]
+        left, right = np.searchsorted(cells, own, "left"), np.searchsorted(cells, own, "right")
+        bits = np.frombuffer(b"".join(asks.column(5).to_pylist()), np.uint8).reshape(asks.num_rows, -1)
+        wanted = np.unpackbits(bits, axis=1, count=len(own)).astype(bool)
+        best = Best(matrix(asks.column(2), dim, kind), asks.column(4).to_numpy(zero_copy_only=False), k)
+        c = 0
+        while c < len(own):  # neighbours that the same queries look into are compared together
+            end = c + 1
+            while end < len(own) and (wanted[:, end] == wanted[:, c]).all():
+                end += 1
+            if wanted[:, c].any():
+                best.add(held, left[c], right[end - 1], np.flatnonzero(wanted[:, c]))
+            c = end
+        return pa.RecordBatch.from_arrays([asks.column(1).take(pa.array(best.row)), pa.array(best.score), pa.array(best.id)], ["q", "score", "vec_id"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by place: of each block the candidates by annulus, then the queries."""
+        of, x, ids, cells, held = -1, [], [], [], None
+        for batch in batches:
+            places = batch.column(0).to_numpy(zero_copy_only=False)
+            asks = places % HOLDS == HOLDS - 1
+            turns = np.flatnonzero(np.diff(places // HOLDS * 2 + asks)) + 1
+            for lo, hi in zip([0, *turns], [*turns, len(places)], strict=True):
+                part = batch.slice(lo, hi - lo)
+                if lo == hi:
+                    continue
+                if places[lo] // HOLDS != of:
+                    of, x, ids, cells, held = int(places[lo] // HOLDS), [], [], [], None
+                if not asks[lo]:
+                    x.append(matrix(part.column(2), dim, kind))
+                    ids.append(part.column(3))
+                    cells.append(places[lo:hi] % HOLDS)
+                    continue
+                if held is None:
+                    held, cells = Classes.of(x, ids), np.concatenate(cells)
+                    x, ids = [], []
+                yield answer(held, cells, of, part)
 
     def visit(asking: DataFrame, choose: Callable) -> DataFrame:
-        asked = map_arrow(asking, open_annuli(choose), "cell long, chunk long, q array<long>, qv binary, floor array<long>")
-        met = asked.join(blocks, ["cell", "chunk"]).select("rows", "q", "qv", "floor")
-        return map_arrow(met, compare, "q long, score long, vec_id long")
-
-    asking = queries.select("id", "v")
-    first = stage_table(_best_of(visit(asking.withColumn("floor", F.lit(NOTHING)), near), k), "topk-first")
-    floors = first.groupBy("q").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
-    asking = asking.join(floors, asking["id"] == floors["q"], "left").select("id", "v", F.coalesce("floor", F.lit(NOTHING)).alias("floor"))
+        asked = map_arrow(asking, open_annuli(choose), "place long, q long, v binary, ids array<long>, floor long, wanted binary")
+        met = dealt.unionByName(asked).repartitionById(blocks, F.shiftright("place", 32).cast("int")).sortWithinPartitions("place")
+        return met.mapInArrow(compare, "q long, score long, vec_id long")
+
+    tasks = min(cores, -(-queries.count() // 500))
+    asking = queries.select("id", "v").repartition(max(1, tasks), "id")
+    asking = stage_table(map_arrow(asking, prepare, "id long, v binary, floor long, near array<long>"), "topk-asking")
+    first = stage_table(_best_of(visit(asking, near_ones), k), "topk-first")
+    floors = first.groupBy("q").agg(F.when(F.count("*") >= k, F.min("score")).alias("reached"))
+    asking = asking.join(floors, asking["id"] == floors["q"], "left").select("id", "v", F.greatest("floor", "reached").alias("floor"), "near")
     return _best_of(first.unionByName(visit(asking, rest)), k)
 
 
 NOTHING = -(2**63)
+HOLDS = 2**32  # places of a block: its annuli, and last its queries
 
 
-def _norm(dim: int):
+def _norm(dim: int, kind: str):
     @F.arrow_udf(T.DoubleType())
     def norm(v: pa.Array) -> pa.Array:
-        x = matrix(v, dim)
+        x = matrix(v, dim, kind).astype(np.float64)
         return pa.array((x * x).sum(axis=1))
 
     return norm
@@ -250,18 +379,16 @@ def top_k(rows: DataFrame, query_rows: DataFrame, k: int = 5, vec_id: str = "vec
     an empty table gives no rows.
     """
     small_batches(rows.sparkSession, 500)
-    every, dim = quantised(rows, vec_id, vector)
-    if not dim:
-        dim = 1
-    asked, wide = quantised(query_rows, vec_id, vector)
+    every, asked = usable(rows, vec_id, vector), usable(query_rows, vec_id, vector)
+    (dim, largest), (wide, most) = extent(every), extent(asked)
+    dim = max(1, dim)
     if wide > dim:
         raise ValueError("queries have more components than the rows")
-    if wide < dim:
-        asked = asked.withColumn("v", F.expr(f"rpad(v, {dim * 8}, X'00')"))
-    every, asked = stage_table(every, "topk-rows"), stage_table(asked.distinct(), "topk-queries")
-    held = stage_table(classes(every, k + 1), "topk-classes")
+    kind = whole(max(largest, most))
+    asked = stage_table(quantised(asked, dim, kind).distinct(), "topk-queries")
+    held = stage_table(classes(quantised(every, dim, kind), k + 1), "topk-classes")
     of = stage_table(asked.groupBy("v").agg(F.min("vec_id").alias("id")), "topk-asked")
-    found = stage_table(search(held, of, k + 1, dim), "topk-found")
+    found = stage_table(search(held, of, k + 1, dim, kind), "topk-found")
     names = asked.join(of, "v").select(F.col("vec_id").alias("query_id"), "id")
     pairs = names.join(found, F.col("id") == F.col("q")).where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

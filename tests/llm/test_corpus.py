@@ -8,6 +8,7 @@ import sys
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import types as T
@@ -92,6 +93,45 @@ def test_top_k_odd_rows(spark):
     assert [(r[2], r[3]) for r in short] == [(1, 2 * 256 * 256), (2, 0)]
 
 
+def test_top_k_sends_little_to_the_driver(spark):
+    """The sample is cut in the tasks, and queries are not broadcast: 4 MB reach the driver, however many tasks there are."""
+    rng = np.random.default_rng(23)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}), "vec_id long, embedding array<float>")
+    v = np.floor(256 * x.astype(float))
+    want = []
+    for i in range(0, len(v), 50):
+        score = v @ v[i]
+        best = [int(j) for j in np.lexsort((np.arange(len(v)), -score)) if j != i][:5]
+        want += [(i, rank, j, int(score[j])) for rank, j in enumerate(best, 1)]
+    conf, name = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    conf.set(name, "4m")
+    try:
+        found = topk.top_k(df, df.where("vec_id % 50 = 0")).select("query_id", "rank", "vec_id", "score").collect()
+    finally:
+        conf.remove(name)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(tuple(r) for r in found) == want
+
+
+def test_blocks_hold_what_fits():
+    sizes = [3, 4, 1, 9, 2, 8, 8, 17]
+    first, parts = topk.deal(sizes, 8)
+    assert (first, parts) == ([0, 0, 0, 1, 3, 4, 5, 6], [1, 1, 1, 2, 1, 1, 1, 3])
+    for b in range(first[-1] + parts[-1]):
+        assert sum(-(-n // m) for n, f, m in zip(sizes, first, parts, strict=True) if f <= b < f + m) <= 8
+
+
+def test_single_precision_only_where_exact():
+    rng = np.random.default_rng(29)
+    for most in (100, 2**12, 2**20, 2**29):
+        a, b = (rng.integers(-most, most + 1, size=(n, 7)) for n in (30, 50))
+        assert (topk.scores(a.astype(float), b.astype(float)).astype(np.int64) == a @ b.T).all()
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(8)
     x = rng.integers(-500, 500, size=(300, 5)).astype(float)

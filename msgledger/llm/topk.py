@@ -11,7 +11,8 @@ a candidate that near. Pivots come from a bounded sample; they decide the work,
 Equal vectors are one class with its smallest ids, so a vector repeated any number of times is
 one candidate. Annuli are put together, or cut, to blocks that fill a worker's memory. A block is
 one partition: its candidates come first and are held, then the queries that look into it stream
-past, a row each. Nothing is broadcast, and the driver gets the sample and one row per annulus.
+past, a row each. Neither side is ever broadcast, and the driver gets the sample and one row per
+annulus, whatever the size of the tables.
 """
 from __future__ import annotations
 
@@ -182,15 +183,17 @@ class Best:
         q = self.q[rows].astype(np.float64)
         for lo in range(low, high, SLICE):
             points = scores(q, held.x[lo:min(lo + SLICE, high)].astype(np.float64))
-            hit = np.flatnonzero(points >= self.floor[rows, None].astype(points.dtype))
+            some = np.flatnonzero(points.max(axis=1) >= self.floor[rows].astype(points.dtype))  # most queries have no hit
+            points, mine = points[some], rows[some]
+            hit = np.flatnonzero(points >= self.floor[mine, None].astype(points.dtype))
             last = points.shape[1] - self.k
-            if last > 0 and len(hit) > 8 * self.k * len(rows):
-                self.floor[rows] = np.maximum(self.floor[rows], np.partition(points, last, axis=1)[:, last].astype(np.int64))
-                hit = np.flatnonzero(points >= self.floor[rows, None].astype(points.dtype))
+            if last > 0 and len(hit) > 8 * self.k * len(mine):
+                self.floor[mine] = np.maximum(self.floor[mine], np.partition(points, last, axis=1)[:, last].astype(np.int64))
+                hit = np.flatnonzero(points >= self.floor[mine, None].astype(points.dtype))
             if len(hit):
                 r, j = np.divmod(hit, points.shape[1])
                 ids, which = held.rows(lo + j)
-                self._keep(rows[r][which], points.ravel()[hit].astype(np.int64)[which], ids)
+                self._keep(mine[r][which], points.ravel()[hit].astype(np.int64)[which], ids)
 
     def _keep(self, row: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         row, score, ids = np.concatenate((self.row, row)), np.concatenate((self.score, score)), np.concatenate((self.id, ids))
@@ -256,7 +259,7 @@ def search(candidates: DataFrame, queries: DataFrame, k: int, dim: int, kind: st
 
     def of_cell(values: list[int]) -> Column:
         by = dict(zip(cell.tolist(), values, strict=True))
-        return F.get(F.array(*[F.lit(by.get(c, 0)).cast("bigint") for c in range(int(cell[-1]) + 1)]), F.col("cell").cast("int"))
+        return F.get(F.expr(f"array({', '.join(f'{by.get(c, 0)}L' for c in range(int(cell[-1]) + 1))})"), F.col("cell").cast("int"))
 
     block = of_cell(first_block) + F.pmod(F.xxhash64("v"), of_cell(parts))
     dealt = keyed.select((block * HOLDS + F.col("cell")).alias("place"), F.lit(None).cast("bigint").alias("q"), "v", "ids",
